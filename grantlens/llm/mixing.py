@@ -19,7 +19,7 @@ from .common import prefix_sums
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Words in a block, slots in an output shard, most passes over a source.
-BLOCK = 128
+BLOCK = 64
 SHARD_SLOTS = 1024
 PASSES = 3
 #: Ids in one bucket of the prefix sums.
@@ -80,14 +80,16 @@ def targets(rows: DataFrame) -> DataFrame:
     before = up.rowsBetween(Window.unboundedPreceding, -1)
     since = up.rowsBetween(0, Window.unboundedFollowing)
     s = s.withColumn("level", (F.sum("source_size").over(every) - F.coalesce(F.sum("cap").over(before), F.lit(0.0))) / F.sum("weight").over(since))
-    s = s.withColumn("level", F.min(F.when(F.col("level") * F.col("weight") <= F.col("cap"), F.col("level"))).over(every))
+    # the first source in that order that the level leaves under its cap gives the level of all uncapped ones
+    fits = F.when(F.col("level") * F.col("weight") <= F.col("cap"), F.struct(F.row_number().over(up).alias("nth"), F.col("level")))
+    s = s.withColumn("fits", fits).withColumn("level", F.coalesce(F.min("fits").over(every)["level"], F.lit(0.0)))
     s = s.withColumn("target", F.least(F.col("cap"), F.col("level") * F.col("weight")))
     s = s.withColumn("n_blocks", F.ceil(F.col("source_size") / BLOCK))
     s = s.withColumn("passes", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0))
     s = s.withColumn("extra", F.least("n_blocks", F.round((F.col("target") - F.col("passes") * F.col("source_size")) / BLOCK).cast("long")))
     s = s.withColumn("slots", F.col("passes") * F.col("n_blocks") + F.col("extra"))
     s = s.withColumn("first_slot", F.coalesce(F.sum("slots").over(every.orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return s.withColumn("all_slots", F.sum("slots").over(every)).drop("cap", "level")
+    return s.withColumn("all_slots", F.sum("slots").over(every)).drop("cap", "level", "fits")
 
 
 def deck(sources: DataFrame) -> DataFrame:

@@ -107,10 +107,14 @@ def joined(found: Column) -> Column:
     return F.array_join(F.transform(found, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
 
 
+def _of_kind(kind: str):
+    return lambda x: x["kind"] == kind
+
+
 def report(found: DataFrame) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans."""
     base = F.filter("found", lambda x: x["kind"].isin(*BASE))
-    counts = [F.size(F.filter("found", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{k}") for k in BASE]
+    counts = [F.size(F.filter("found", _of_kind(k))).cast("long").alias(f"n_{k}") for k in BASE]
     return found.select("doc_id", *counts, F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("found")).alias("spans"))
 
 
