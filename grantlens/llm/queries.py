@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, secrets, sharding
+from . import media, mixing, packing, secrets, sharding, simhash
 from .common import read, saved
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(read(spark, sf_dir, "documents"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(read(spark, sf_dir, "documents"))
 
@@ -22,4 +26,13 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(secrets.findings(paths.drop("text"), ledger))
 
 
-QUERIES = {f.__name__: f for f in (op3_mixing, op5_sharding, op7_secrets)}
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.fingerprint_hex().alias("fingerprint"), "component_id")
+
+
+def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.stored(read(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op2_packing, op3_mixing, op5_sharding, op7_secrets, op9_simhash, op10_media)}
