@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import prefix_sums
+from .common import prefix_sums, saved
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Words in a block, slots in an output shard, most passes over a source.
@@ -23,7 +23,7 @@ BLOCK = 64
 SHARD_SLOTS = 1024
 PASSES = 3
 #: Ids in one bucket of the prefix sums.
-ID_BUCKET = 4096
+ID_BUCKET = 1024
 #: Slots that one row of the first level of the slot generator stands for.
 SLOT_CHUNK = 65536
 
@@ -122,13 +122,14 @@ def pieces(rows: DataFrame) -> DataFrame:
 
 def mixed(docs: DataFrame) -> DataFrame:
     """doc_id, size, source_size, target and taken of every row of docs."""
-    rows = sized(docs)
+    rows = saved(sized(docs), "sizes")
     sources = targets(rows)
     rows = laid_out(rows)
     taken = deck(sources).groupBy("skey", "block").agg(F.count("*").alias("times"))
     own = ["skey", "bucket", "n_before"]
-    got = pieces(rows).join(taken, ["skey", "block"]).groupBy(*own).agg(F.sum(F.expr("(hi - lo) * times")).alias("taken"))
-    got = got.select(*[F.col(c).alias(f"g_{c}") for c in own], "taken")
+    got = pieces(rows).join(taken.hint("merge"), ["skey", "block"]).groupBy(*own).agg(F.sum(F.expr("(hi - lo) * times")).alias("taken"))
+    # slots come from a few source rows, which would pass for a small table: these joins must not broadcast them
+    got = got.select(*[F.col(c).alias(f"g_{c}") for c in own], "taken").hint("merge")
     rows = rows.join(got, [F.col(c).eqNullSafe(F.col(f"g_{c}")) for c in own], "left")
     rows = rows.join(sources.select("skey", "source_size", "target"), "skey")
     return rows.select("doc_id", "size", "source_size", F.col("target").cast("double").alias("target"), F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
@@ -142,18 +143,18 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     """
     raw = docs.withColumn("_skey", F.when(F.col("source").isNull(), "2").otherwise(F.concat(F.lit("1"), F.col("source"))))
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    rows = sized(docs)
+    rows = saved(sized(docs), "sizes")
     sources = targets(rows)
     taken = deck(sources).groupBy("skey", "block").agg(F.count("*").alias("times"))
     # equal (skey, doc_id, size) rows lie next to each other in the layout, so numbering them by text keeps the layout
-    spans = pieces(laid_out(rows)).join(taken, ["skey", "block"])
+    spans = pieces(laid_out(rows)).join(taken.hint("merge"), ["skey", "block"])
     spans = spans.withColumn("pass", F.explode(F.expr("sequence(1, cast(times as int))")))
     per = spans.groupBy("skey", "doc_id", "size", "bucket", "n_before", "pass").agg(F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("spans"))
     per = per.groupBy("skey", "doc_id", "size", "bucket", "n_before").agg(F.collect_list(F.struct("pass", "spans")).alias("takes"))
     same = Window.partitionBy("skey", "doc_id", "size")
     per = per.withColumn("copy", F.row_number().over(same.orderBy("n_before")))
     raw = raw.withColumn("_size", size).filter("_size > 0").withColumn("_copy", F.row_number().over(Window.partitionBy("_skey", "doc_id", "_size").orderBy("text")))
-    per = per.select(F.col("skey").alias("_s"), F.col("doc_id").alias("_d"), F.col("size").alias("_z"), F.col("copy").alias("_c"), "takes")
+    per = per.select(F.col("skey").alias("_s"), F.col("doc_id").alias("_d"), F.col("size").alias("_z"), F.col("copy").alias("_c"), "takes").hint("merge")
     out = raw.join(per, (F.col("_skey") == F.col("_s")) & F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_size") == F.col("_z")) & (F.col("_copy") == F.col("_c")))
     out = out.withColumn("_words", F.expr(r"regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0)")).withColumn("_take", F.explode("takes"))
     out = out.withColumn("text", F.expr("array_join(flatten(transform(_take.spans, p -> slice(_words, cast(p.lo + 1 as int), cast(p.hi - p.lo as int)))), ' ')"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import media, mixing, packing, secrets, sharding, simhash
+from . import langid, media, mixing, packing, secrets, sharding, simhash
 from .common import read, saved
 
 
@@ -26,6 +26,10 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(secrets.findings(paths.drop("text"), ledger))
 
 
+def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.languages(read(spark, sf_dir, "documents"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.fingerprint_hex().alias("fingerprint"), "component_id")
@@ -35,4 +39,4 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.stored(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_packing, op3_mixing, op5_sharding, op7_secrets, op9_simhash, op10_media)}
+QUERIES = {f.__name__: f for f in (op2_packing, op3_mixing, op5_sharding, op7_secrets, op8_langid, op9_simhash, op10_media)}
