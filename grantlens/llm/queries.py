@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, media, mixing, packing, secrets, sharding, simhash
+from . import langid, media, mixing, packing, quality, secrets, sharding, simhash
 from .common import read, saved
 
 
@@ -16,6 +16,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(read(spark, sf_dir, "documents"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scored(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded(read(spark, sf_dir, "documents"))
 
@@ -39,4 +43,4 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.stored(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_packing, op3_mixing, op5_sharding, op7_secrets, op8_langid, op9_simhash, op10_media)}
+QUERIES = {f.__name__: f for f in (op2_packing, op3_mixing, op4_quality, op5_sharding, op7_secrets, op8_langid, op9_simhash, op10_media)}
