@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, media, mixing, packing, quality, secrets, sharding, simhash
+from . import ann, langid, media, mixing, packing, quality, secrets, sharding, simhash
 from .common import read, saved
 
 
@@ -24,6 +24,10 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded(read(spark, sf_dir, "documents"))
 
 
+def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.neighbours(read(spark, sf_dir, "embeddings"))
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = secrets.addressed(read(spark, sf_dir, "documents"))
     ledger = saved(secrets.scan(paths), "ledger")
@@ -43,4 +47,4 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.stored(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_packing, op3_mixing, op4_quality, op5_sharding, op7_secrets, op8_langid, op9_simhash, op10_media)}
+QUERIES = {f.__name__: f for f in (op2_packing, op3_mixing, op4_quality, op5_sharding, op6_ann, op7_secrets, op8_langid, op9_simhash, op10_media)}
