@@ -35,7 +35,7 @@ LINKS, OPEN, EXPAND = 24, 24, 8
 #: A vector goes to lists within this ratio of its nearest, and to so many at most.
 CLOSURE, COPIES = 1.05, 2
 #: The pruning ratio is that which keeps this share of the sample's own neighbours, for so many of the sample as queries.
-SHARE, TRIALS = 0.97, 256
+SHARE, TRIALS = 0.95, 256
 #: Vectors and queries of a list that one task takes.
 PART, QUERIES = 4096, 1024
 

@@ -305,7 +305,26 @@ def _scored(model):
         for batch in batches:
             for part in portions(batch, "text", 1 << 20):
                 got = predicted(pc.fill_null(part.column("text"), "").to_pylist(), m)
-                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in part.schema.names if c != "text"], pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())], [*[c for c in part.schema.names if c != "text"], "lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("held_out"), pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())], [c.split()[0] for c in RESULT.split(", ")])
+
+    return run
+
+
+def labelled(docs: DataFrame, model: Model) -> DataFrame:
+    """docs with lang_pred and lang_score; the texts pass through the workers once and aren't joined."""
+    spark = docs.sparkSession
+    short_batches(spark)
+    shared = spark.sparkContext.broadcast(model)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    return docs.mapInArrow(_labelled(shared), f"{fields}, lang_pred string, lang_score double")
+
+
+def _labelled(model):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in portions(batch, "text", 1 << 20):
+                got = predicted(pc.fill_null(part.column("text"), "").to_pylist(), model.value)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())], [*part.schema.names, "lang_pred", "lang_score"])
 
     return run
 

@@ -138,8 +138,8 @@ def mixed(docs: DataFrame) -> DataFrame:
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The mixture as documents: for each pass, a document's words in the blocks that the mix takes at least so often.
 
-    Columns of docs stay; text holds the words taken, space-joined, and n_chars their length. A document of which
-    nothing is taken doesn't appear.
+    Columns of docs stay; text is the text, or, where only some blocks are taken, their words space-joined; n_chars is
+    its length. A document of which nothing is taken doesn't appear.
     """
     raw = docs.withColumn("_skey", F.when(F.col("source").isNull(), "2").otherwise(F.concat(F.lit("1"), F.col("source"))))
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
@@ -157,7 +157,9 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     per = per.select(F.col("skey").alias("_s"), F.col("doc_id").alias("_d"), F.col("size").alias("_z"), F.col("copy").alias("_c"), "takes").hint("merge")
     out = raw.join(per, (F.col("_skey") == F.col("_s")) & F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_size") == F.col("_z")) & (F.col("_copy") == F.col("_c")))
     out = out.withColumn("_words", F.expr(r"regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0)")).withColumn("_take", F.explode("takes"))
-    out = out.withColumn("text", F.expr("array_join(flatten(transform(_take.spans, p -> slice(_words, cast(p.lo + 1 as int), cast(p.hi - p.lo as int)))), ' ')"))
+    words = "array_join(flatten(transform(_take.spans, p -> slice(_words, cast(p.lo + 1 as int), cast(p.hi - p.lo as int)))), ' ')"
+    whole = "aggregate(_take.spans, 0L, (n, p) -> n + p.hi - p.lo) = _size"
+    out = out.withColumn("text", F.expr(f"if({whole}, text, {words})"))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)

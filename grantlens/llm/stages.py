@@ -1,0 +1,65 @@
+"""The pipeline's stages. Each takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return documents' columns."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from . import langid, mixing, packing, secrets, simhash
+from .common import read, saved
+
+#: A document is rejected when its language is `und`, or less likely than this.
+LEAST_LANGUAGE_SCORE = 0.4
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a recognised language; lang becomes the predicted one. The model learns from the rows that come in."""
+    model = langid.fit(docs)
+    found = langid.labelled(docs, model)
+    kept = found.filter((F.col("lang_pred") != "und") & (F.col("lang_score") >= LEAST_LANGUAGE_SCORE))
+    return kept.withColumn("lang", F.col("lang_pred")).select(*docs.columns)
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the least id of each component of linked fingerprints; one of rows repeated with that id.
+
+    Documents without an id count as one document, which stays only where its whole component has no id.
+    """
+    found = simhash.near_duplicates(docs)
+    keep = found.groupBy("component_id").agg(F.min("doc_id").alias("keep_id")).select("keep_id")
+    # ids alone settle who stays; only then do texts move
+    return docs.join(keep.distinct(), F.col("doc_id").eqNullSafe(F.col("keep_id"))).dropDuplicates(["doc_id"]).select(*docs.columns)
+
+
+def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with findings replaced by [SECRET]."""
+    paths = secrets.addressed(docs)
+    ledger = saved(secrets.scan(paths), "ledger")
+    hits = secrets.findings(ledger.select("sha").distinct(), ledger)
+    return secrets.redacted(docs, hits.select("sha", "found"))
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mixture: one row for each pass over a document, with the words that the mix takes in that pass."""
+    return mixing.mixed_documents(docs)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all sequences."""
+    return packing.packed(docs)
+
+
+STAGES = [
+    ("language ID", language_stage),
+    ("SimHash near-dedup", near_duplicate_stage),
+    ("secret scans", secret_stage),
+    ("mixing to target weights", mixing_stage),
+    ("packing", packing_stage),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = saved(stage(spark, docs, sf_dir), name.split()[0])
+    return STAGES[-1][1](spark, docs, sf_dir)
