@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, langid, media, mixing, packing, quality, secrets, sharding, simhash
+from . import ann, langid, media, mixing, packing, passages, quality, secrets, sharding, simhash
 from .common import read, saved
 
 
+def op1_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.shared_passages(read(spark, sf_dir, "documents"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(read(spark, sf_dir, "documents"))
 
@@ -47,4 +51,4 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.stored(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_packing, op3_mixing, op4_quality, op5_sharding, op6_ann, op7_secrets, op8_langid, op9_simhash, op10_media)}
+QUERIES = {f.__name__: f for f in (op1_passages, op2_packing, op3_mixing, op4_quality, op5_sharding, op6_ann, op7_secrets, op8_langid, op9_simhash, op10_media)}
