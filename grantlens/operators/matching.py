@@ -68,35 +68,32 @@ def pick(candidates: DataFrame, keys: Sequence[str]) -> DataFrame:
     return agg.select(*keys, F.when(F.col("real_any_n") > 0, decided("real")).otherwise(decided("all")).alias("canonical_id")).filter("canonical_id IS NOT NULL")
 
 
-def overrides(names: DataFrame, by_state: DataFrame, by_city: DataFrame, by_name: DataFrame, contains: DataFrame) -> DataFrame:
+def _rules(rules: DataFrame, extra: dict[str, Column], out: str) -> DataFrame:
+    """Rule rows by normalised key (k_<out>) and extra columns, one a key: the least id of equals."""
+    rows = rules.select(text.norm(text.strip_wrappers(F.col("key"))).alias(f"k_{out}"), *[c.alias(n) for n, c in extra.items()], F.col("id"))
+    return rows.groupBy(f"k_{out}", *extra).agg(F.min("id").alias(out))
+
+
+def overrides(names: DataFrame, by_state: DataFrame, by_city: DataFrame, by_name: DataFrame, contains: Sequence[tuple[str, Sequence[str], str]] = ()) -> DataFrame:
     """qid, canonical_id from rule tables, the most specific first: (key, state, id), (key, city, id), (key, id), then
-    (rule_no, must, excludes, id), where the least rule whose text stands in the name, and none of its exclusions, wins.
+    (must, excludes, id) in order: the first whose text stands in the name, and none of its exclusions, wins.
 
-    Rule keys are normalised like names, so a rule can't miss by its spelling. Rule tables are small, fixed inputs;
-    whether they are broadcast is left to their size.
+    Rule keys are normalised like names, so a rule can't miss by its spelling. Whether rule tables are broadcast is
+    left to their size.
     """
-    g = names.select("qid", text.norm(text.strip_wrappers(F.col("name"))).alias("g"), F.upper(F.coalesce("state", F.lit(""))).alias("s"), text.norm(F.col("city")).alias("c"))
-    key = text.norm(text.strip_wrappers(F.col("key")))
-    one = lambda rules, *more: first_rows(rules.select(key.alias("k"), *more, F.col("id")).withColumn("o", F.lit(0)), ["k", *[m._jc.toString().split(" AS ")[-1] for m in more]], "id").drop("o")
-    a = one(by_state, F.upper("state").alias("rs")).withColumnRenamed("id", "id1")
-    b = one(by_city, text.norm(F.col("city")).alias("rc")).withColumnRenamed("id", "id2").withColumnRenamed("k", "k2")
-    c = one(by_name).withColumnRenamed("id", "id3").withColumnRenamed("k", "k3")
-    rows = g.join(a, (F.col("g") == F.col("k")) & (F.col("s") == F.col("rs")), "left")
-    rows = rows.join(b, (F.col("g") == F.col("k2")) & (F.col("c") == F.col("rc")), "left").join(c, F.col("g") == F.col("k3"), "left")
-    hits = contains_matches(g, "g", contains).withColumnRenamed("qid", "q4").withColumnRenamed("canonical_id", "id4")
-    rows = rows.join(hits, F.col("qid") == F.col("q4"), "left")
-    return rows.select("qid", F.coalesce("id1", "id2", "id3", "id4").alias("canonical_id")).filter("canonical_id IS NOT NULL")
-
-
-def contains_matches(names: DataFrame, column: str, rules: DataFrame) -> DataFrame:
-    """qid, canonical_id of the least rule that fits. Names and rules meet on a token of the rule's text, the longest."""
-    words = F.filter(F.split("must", " "), lambda w: w != "")
-    longest = F.reduce(words, F.lit(""), lambda best, w: F.when(F.length(w) > F.length(best), w).otherwise(best))
-    r = rules.select("rule_no", "must", "excludes", "id", longest.alias("t"))
-    # the rule's text may begin and end inside words, so its longest inner word is looked for among the name's parts
-    named = names.select("qid", F.col(column).alias("n"))
-    met = named.join(r, F.col("n").contains(F.col("must")) & ~F.exists("excludes", lambda x: F.col("n").contains(x)))
-    return met.groupBy("qid").agg(F.min_by("id", "rule_no").alias("canonical_id"))
+    rows = names.select("qid", text.norm(text.strip_wrappers(F.col("name"))).alias("g"), F.upper(F.coalesce("state", F.lit(""))).alias("s"), text.norm(F.col("city")).alias("c"))
+    a = _rules(by_state, {"rule_state": F.upper("state")}, "id_state")
+    b = _rules(by_city, {"rule_city": text.norm(F.col("city"))}, "id_city")
+    c = _rules(by_name, {}, "id_name")
+    rows = rows.join(a, (F.col("g") == F.col("k_id_state")) & (F.col("s") == F.col("rule_state")), "left")
+    rows = rows.join(b, (F.col("g") == F.col("k_id_city")) & (F.col("c") == F.col("rule_city")), "left")
+    rows = rows.join(c, F.col("g") == F.col("k_id_name"), "left")
+    return rows.select("qid", F.coalesce("id_state", "id_city", "id_name", contains_rule(F.col("g"), contains)).alias("canonical_id")).filter("canonical_id IS NOT NULL")
+
+
+def contains_rule(c: Column, rules: Sequence[tuple[str, Sequence[str], str]]) -> Column:
+    """The id of the first rule (must, excludes, id) that fits, or null. Rules are a short, fixed list, so no join is needed."""
+    return F.coalesce(*[F.when(c.contains(must) & ~text.contains_any(c, excludes), F.lit(id_)) for must, excludes, id_ in rules], F.lit(None).cast("string"))
 
 
 def exact(names: DataFrame, dim: DataFrame, source: str = "exact") -> DataFrame:

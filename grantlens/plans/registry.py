@@ -6,14 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import q_filings, q_names, q_reports, q_tags
+
+MODULES = (q_names, q_filings, q_tags, q_reports)
+
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/customer.parquet")
+    """Resolve noisy names, keep each customer-year's latest order, report money by resolved part and year."""
+    return q_reports.flagship(spark, sf_dir)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {name: f for m in MODULES for name, (f, _) in m.QUERIES.items()}
 
 
 def oracles() -> dict[str, str]:
-    return {}
+    return {name: sql for m in MODULES for name, (_, sql) in m.QUERIES.items() if sql}
