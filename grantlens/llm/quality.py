@@ -22,7 +22,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import short_batches
@@ -119,9 +119,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     known = labels.select("doc_id", "quality").filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
     counts = {r["quality"]: r["count"] for r in known.groupBy("quality").count().collect()}  # two rows
     texts = docs.select("doc_id", "text").filter(F.octet_length("text") <= TRAIN_BYTES)
-    usable = known.join(texts.select("doc_id"), "doc_id")
-    ranked = usable.withColumn("nth", F.row_number().over(Window.partitionBy("quality").orderBy(F.xxhash64("doc_id"), "doc_id")))
-    chosen = ranked.filter(F.col("nth") <= TRAIN_DOCS).select("doc_id", "quality").distinct()
+    usable = known.join(texts.select("doc_id"), "doc_id").distinct()
+    # the least hashes of each label: a sort that keeps TRAIN_DOCS rows a task, not one that gathers a label's rows
+    first = [usable.filter(F.col("quality") == q).orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_DOCS) for q in (0, 1)]
+    chosen = first[0].unionByName(first[1])
     rows = texts.join(F.broadcast(chosen), "doc_id").collect()  # TRAIN_DOCS a label at most
     return train(sorted((r["doc_id"], r["text"], r["quality"]) for r in rows), counts)
 
