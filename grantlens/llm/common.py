@@ -56,3 +56,15 @@ def prefix_sums(df: DataFrame, keys: list[str], bucket: str, order: list[Column]
     rows = df.withColumn("n_before", F.row_number().over(w) - 1).withColumn("_own", F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, 0)) - value)
     on = [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(by)]
     return rows.join(starts, on).withColumn(out, F.col("_start") + F.col("_own")).drop("_start", "_own", *[f"_k{i}" for i in range(len(by))])
+
+
+def boxed(docs: DataFrame) -> DataFrame:
+    """docs with box_ before all names: whatever they are, they can't clash with an operator's own columns."""
+    return docs.toDF(*[f"box_{c}" for c in docs.columns])
+
+
+def unboxed(rows: DataFrame, docs: DataFrame, **changed: Column) -> DataFrame:
+    """docs' columns out of boxed rows, with changed ones; n_chars, where there is one, follows a changed text."""
+    if "text" in changed and "n_chars" in docs.columns:
+        changed["n_chars"] = F.length(changed["text"])
+    return rows.select(*[(changed[f.name].cast(f.dataType) if f.name in changed else F.col(f"`box_{f.name}`")).alias(f.name) for f in docs.schema])

@@ -24,8 +24,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import short_batches
+from .common import boxed, short_batches
 from .words import mix, portions, spans_hash, word_bounds
 
 FOLDS = 5
@@ -311,19 +312,19 @@ def _scored(model):
 
 
 def labelled(docs: DataFrame, model: Model) -> DataFrame:
-    """docs with lang_pred and lang_score; the texts pass through the workers once and aren't joined."""
-    spark = docs.sparkSession
-    short_batches(spark)
-    shared = spark.sparkContext.broadcast(model)
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(_labelled(shared), f"{fields}, lang_pred string, lang_score double")
+    """docs, boxed, with lang_pred and lang_score; the texts pass through the workers once and aren't joined."""
+    short_batches(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    rows = boxed(docs)
+    fields = [*rows.schema, T.StructField("lang_pred", T.StringType()), T.StructField("lang_score", T.DoubleType())]
+    return rows.mapInArrow(_labelled(shared), T.StructType(fields))
 
 
 def _labelled(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in portions(batch, "text", 1 << 20):
-                got = predicted(pc.fill_null(part.column("text"), "").to_pylist(), model.value)
+            for part in portions(batch, "box_text", 1 << 20):
+                got = predicted(pc.fill_null(part.column("box_text"), "").to_pylist(), model.value)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())], [*part.schema.names, "lang_pred", "lang_score"])
 
     return run

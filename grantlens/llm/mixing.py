@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import prefix_sums, saved
+from .common import boxed, prefix_sums, saved, unboxed
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Words in a block, slots in an output shard, most passes over a source.
@@ -141,8 +141,6 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     Columns of docs stay; text is the text, or, where only some blocks are taken, their words space-joined; n_chars is
     its length. A document of which nothing is taken doesn't appear.
     """
-    raw = docs.withColumn("_skey", F.when(F.col("source").isNull(), "2").otherwise(F.concat(F.lit("1"), F.col("source"))))
-    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
     rows = saved(sized(docs), "sizes")
     sources = targets(rows)
     taken = deck(sources).groupBy("skey", "block").agg(F.count("*").alias("times"))
@@ -153,13 +151,11 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     per = per.groupBy("skey", "doc_id", "size", "bucket", "n_before").agg(F.collect_list(F.struct("pass", "spans")).alias("takes"))
     same = Window.partitionBy("skey", "doc_id", "size")
     per = per.withColumn("copy", F.row_number().over(same.orderBy("n_before")))
-    raw = raw.withColumn("_size", size).filter("_size > 0").withColumn("_copy", F.row_number().over(Window.partitionBy("_skey", "doc_id", "_size").orderBy("text")))
-    per = per.select(F.col("skey").alias("_s"), F.col("doc_id").alias("_d"), F.col("size").alias("_z"), F.col("copy").alias("_c"), "takes").hint("merge")
-    out = raw.join(per, (F.col("_skey") == F.col("_s")) & F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_size") == F.col("_z")) & (F.col("_copy") == F.col("_c")))
-    out = out.withColumn("_words", F.expr(r"regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0)")).withColumn("_take", F.explode("takes"))
-    words = "array_join(flatten(transform(_take.spans, p -> slice(_words, cast(p.lo + 1 as int), cast(p.hi - p.lo as int)))), ' ')"
-    whole = "aggregate(_take.spans, 0L, (n, p) -> n + p.hi - p.lo) = _size"
-    out = out.withColumn("text", F.expr(f"if({whole}, text, {words})"))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    raw = boxed(docs).withColumn("source_key", F.when(F.col("box_source").isNull(), "2").otherwise(F.concat(F.lit("1"), F.col("box_source"))))
+    raw = raw.withColumn("words", F.coalesce(F.regexp_count("box_text", F.lit(WORD)), F.lit(0)).cast("long")).filter("words > 0")
+    raw = raw.withColumn("own_copy", F.row_number().over(Window.partitionBy("source_key", "box_doc_id", "words").orderBy("box_text")))
+    out = raw.join(per.hint("merge"), (F.col("source_key") == F.col("skey")) & F.col("box_doc_id").eqNullSafe(F.col("doc_id")) & (F.col("words") == F.col("size")) & (F.col("own_copy") == F.col("copy")))
+    out = out.withColumn("parts", F.regexp_extract_all("box_text", F.lit(WORD), F.lit(0))).withColumn("take", F.explode("takes"))
+    some = "array_join(flatten(transform(take.spans, p -> slice(parts, cast(p.lo + 1 as int), cast(p.hi - p.lo as int)))), ' ')"
+    whole = "aggregate(take.spans, 0L, (n, p) -> n + p.hi - p.lo) = words"
+    return unboxed(out, docs, text=F.expr(f"if({whole}, box_text, {some})"))

@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import boxed, unboxed
+
 #: Fixed rules, by name: version, pattern, least length, the group that the length counts (0: all of the match).
 RULES = {
     "assign": (1, r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 8, 2),
@@ -120,9 +122,9 @@ def report(found: DataFrame) -> DataFrame:
 
 def redacted(docs: DataFrame, found: DataFrame) -> DataFrame:
     """docs with every finding replaced by [SECRET]; overlapping findings merge. found: sha and found, one row a blob."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    blobs = found.filter(F.size("found") > 0).select(F.col("sha").alias("_sha"), "found").dropDuplicates(["_sha"])
-    rows = docs.withColumn("_own", F.sha2(text.cast("binary"), 256)).join(blobs, F.col("_own") == F.col("_sha"), "left")
+    blobs = found.filter(F.size("found") > 0).select(F.col("sha").alias("blob"), "found").dropDuplicates(["blob"])
+    rows = boxed(docs).withColumn("text", F.coalesce(F.col("box_text"), F.lit("")))
+    rows = rows.withColumn("own", F.sha2(F.col("text").cast("binary"), 256)).join(blobs, F.col("own") == F.col("blob"), "left")
     begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(acc: Column, x: Column) -> Column:
@@ -131,7 +133,5 @@ def redacted(docs: DataFrame, found: DataFrame) -> DataFrame:
         return F.struct(F.greatest(acc["at"], x["end"]).alias("at"), more.alias("out"))
 
     clean = F.aggregate("found", begin, step, lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.length("text"))))
-    rows = rows.withColumn("text", F.when(F.col("found").isNull(), F.col("text")).otherwise(clean))
-    if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.when(F.col("found").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
-    return rows.select(*docs.columns)
+    dirty = rows.filter("found IS NOT NULL").withColumn("clean", clean)
+    return unboxed(rows.filter("found IS NULL"), docs).unionByName(unboxed(dirty, docs, text=F.col("clean")))

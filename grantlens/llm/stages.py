@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import langid, mixing, packing, secrets, simhash
-from .common import read, saved
+from .common import boxed, read, saved, unboxed
 
 #: A document is rejected when its language is `und`, or less likely than this.
 LEAST_LANGUAGE_SCORE = 0.4
@@ -17,7 +17,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     model = langid.fit(docs)
     found = langid.labelled(docs, model)
     kept = found.filter((F.col("lang_pred") != "und") & (F.col("lang_score") >= LEAST_LANGUAGE_SCORE))
-    return kept.withColumn("lang", F.col("lang_pred")).select(*docs.columns)
+    return unboxed(kept, docs, lang=F.col("lang_pred"))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,7 +28,8 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     found = simhash.near_duplicates(docs)
     keep = found.groupBy("component_id").agg(F.min("doc_id").alias("keep_id")).select("keep_id")
     # ids alone settle who stays; only then do texts move
-    return docs.join(keep.distinct(), F.col("doc_id").eqNullSafe(F.col("keep_id"))).dropDuplicates(["doc_id"]).select(*docs.columns)
+    rows = boxed(docs).withColumn("own_id", F.col("box_doc_id")).join(keep.distinct(), F.col("own_id").eqNullSafe(F.col("keep_id")))
+    return unboxed(rows.dropDuplicates(["own_id"]), docs)
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
