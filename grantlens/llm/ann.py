@@ -27,11 +27,13 @@ from .common import saved
 K = 20
 EVERY = 20
 #: Sampled vectors and numbers at most; vectors meant for a list; lists at most.
-SAMPLE, SAMPLE_NUMBERS = 20_000, 4_000_000
+SAMPLE, SAMPLE_NUMBERS = 8_192, 2_000_000
 LIST = 128
 MOST_LISTS = 2048
 #: Links of a centroid, centroids that a walk keeps open at least, nodes it expands at a time.
 LINKS, OPEN, EXPAND = 24, 24, 8
+#: Vectors that walk at a time: what a walk holds is this times the links that it follows.
+WALKERS = 256
 #: A vector goes to lists within this ratio of its nearest, and to so many at most.
 CLOSURE, COPIES = 1.05, 2
 #: The pruning ratio is that which keeps this share of the sample's own neighbours, for so many of the sample as queries.
@@ -141,9 +143,10 @@ def pruning_ratio(index: Index, sample: np.ndarray, lifted: np.ndarray) -> float
     near = np.argsort(-trials @ sample.T, axis=1)[:, 1 : K + 1]
     if not near.size:
         return 1.0
-    rows, lists = index.lists(lifted, CLOSURE, COPIES)
     holds = np.full((len(sample), len(index.centroids)), np.inf)
-    holds[rows, lists] = 0
+    for lo in range(0, len(sample), WALKERS):
+        rows, lists = index.lists(lifted[lo : lo + WALKERS], CLOSURE, COPIES)
+        holds[lo + rows, lists] = 0
     aimed = index.aim(trials)
     far = np.sqrt(np.maximum(0, (aimed**2).sum(1)[:, None] - 2 * aimed @ index.centroids.T + (index.centroids**2).sum(1)))
     need = [(far[i] + holds[near[i]]).min(axis=1) / far[i].min() for i in range(len(trials))]
@@ -181,8 +184,8 @@ def _assign(shared, ratio: float, most: int | None, aim: bool):
     def run(frames):
         index = shared.value
         for frame in frames:
-            for lo in range(0, len(frame), 512):
-                part = frame.iloc[lo : lo + 512]
+            for lo in range(0, len(frame), WALKERS):
+                part = frame.iloc[lo : lo + WALKERS]
                 x = _matrix(part["v"])
                 rows, lists = index.lists(index.aim(x) if aim else index.lift(x), ratio, most)
                 yield pd.DataFrame({"list": lists.astype(np.int32), "cid": part["cid"].to_numpy()[rows], "v": part["v"].to_numpy()[rows]})
