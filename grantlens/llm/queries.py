@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import ann, langid, media, mixing, packing, passages, quality, secrets, sharding, simhash
 from .common import read, saved
@@ -17,7 +18,7 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mixed(read(spark, sf_dir, "documents"))
+    return mixing.mixed(read(spark, sf_dir, "documents")).withColumn("target", F.round("target", 6))
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -121,7 +121,7 @@ def test_near_duplicates(spark):
     least = defaultdict(list)
     for p, ids in prints.items():
         least[roots[p]] += [d for d in ids if d is not None]
-    want = Counter((d, min(least[roots[p]])) for p, ids in prints.items() for d in ids)
+    want = Counter((d, min(least[roots[p]], default=None)) for p, ids in prints.items() for d in ids)
     assert Counter((r["doc_id"], r["component_id"]) for r in rows) == want
 
 
