@@ -38,8 +38,8 @@ WALKERS = 256
 CLOSURE, COPIES = 1.05, 2
 #: The pruning ratio is that which keeps this share of the sample's own neighbours, for so many of the sample as queries.
 SHARE, TRIALS = 0.95, 256
-#: Vectors and queries of a list that one task takes.
-PART, QUERIES = 4096, 1024
+#: Vectors and queries that one task takes.
+PART, QUERIES = 32_768, 1024
 
 
 @dataclass
@@ -195,21 +195,46 @@ def _assign(shared, ratio: float, most: int | None, aim: bool):
 
 def _best(k: int):
     def run(queries: pd.DataFrame, stored: pd.DataFrame) -> pd.DataFrame:
+        """The k + 1 best of a block of lists for each query of a block; of each list only for queries that chose it."""
         if not len(queries) or not len(stored):
             return pd.DataFrame({"qcid": [], "cid": [], "score": []}).astype({"qcid": "int64", "cid": "int64"})
-        q, v, ids = _matrix(queries["v"]), _matrix(stored["v"]), stored["cid"].to_numpy()
-        rough = q @ v.T
-        keep = min(len(v), 2 * k)
-        near = np.argpartition(-rough, keep - 1, axis=1)[:, :keep] if keep < len(v) else np.broadcast_to(np.arange(len(v)), rough.shape)
-        rows = np.repeat(np.arange(len(q)), keep)
-        score = exact(q[rows], v[near.ravel()])
-        out = pd.DataFrame({"qcid": queries["cid"].to_numpy()[rows], "cid": ids[near.ravel()], "score": score})
-        out = out.sort_values(["qcid", "score", "cid"], ascending=[True, False, True])
-        return out.groupby("qcid", sort=False).head(k + 1)
+        stored = stored.sort_values(["list", "cid"], kind="stable")
+        v, ids, lists = _matrix(stored["v"]), stored["cid"].to_numpy(), stored["list"].to_numpy()
+        edges = np.flatnonzero(np.concatenate(([True], lists[1:] != lists[:-1], [True])))
+        keep = COPIES * (k + 1)  # a vector may stand in so many lists
+        out = []
+        for lo in range(0, len(queries), WALKERS // 4):
+            part = queries.iloc[lo : lo + WALKERS // 4]
+            q, wanted = _matrix(part["v"]), [set(x) for x in part["lists"]]
+            rough = np.full((len(q), len(v)), -np.inf)
+            for i, j in zip(edges[:-1], edges[1:], strict=True):
+                rows = [n for n, w in enumerate(wanted) if lists[i] in w]
+                rough[rows, i:j] = q[rows] @ v[i:j].T
+            near = np.argpartition(-rough, keep - 1, axis=1)[:, :keep] if keep < len(v) else np.broadcast_to(np.arange(len(v)), rough.shape)
+            rows, near = np.repeat(np.arange(len(q)), near.shape[1]), near.ravel()
+            read = np.isfinite(rough[rows, near])
+            rows, near = rows[read], near[read]
+            out.append(pd.DataFrame({"qcid": part["cid"].to_numpy()[rows], "cid": ids[near], "score": exact(q[rows], v[near])}))
+        found = pd.concat(out).drop_duplicates(["qcid", "cid"]).sort_values(["qcid", "score", "cid"], ascending=[True, False, True])
+        return found.groupby("qcid", sort=False).head(k + 1)
 
     return run
 
 
+def blocks(sizes: dict[int, int], loads: dict[int, int]) -> list[tuple[int, int, int, int]]:
+    """(list, block, parts, turns): lists of neighbouring centroids share a block of up to PART vectors; a longer list is a block in
+    so many parts. turns: blocks of at most QUERIES that the block's queries come in. At most MOST_LISTS rows."""
+    held: list[tuple[list[int], int]] = []
+    room = 0
+    for number in sorted(sizes):
+        if sizes[number] > PART or sizes[number] > room:
+            held.append(([], -(-sizes[number] // PART)))
+            room = PART
+        held[-1][0].append(number)
+        room -= sizes[number]
+    return [(n, block, parts, max(1, -(-sum(loads.get(m, 0) for m in members) // QUERIES))) for block, (members, parts) in enumerate(held) for n in members]
+
+
 def fit(distinct: DataFrame) -> Index | None:
     """The index's centroids, from the bounded sample."""
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
@@ -236,13 +261,13 @@ def neighbours(vectors: DataFrame, k: int = K, every: int = EVERY) -> DataFrame:
     chosen = saved(asked.mapInPandas(_assign(shared, index.ratio, None, True), "list int, cid long, v array<double>"), "asked")
     stored = saved(distinct.select("cid", "v").mapInPandas(_assign(shared, CLOSURE, COPIES, False), "list int, cid long, v array<double>"), "postings")
     # one row a list: MOST_LISTS at most
-    sizes = stored.groupBy("list").agg(F.ceil(F.count("*") / PART).alias("parts"))
-    loads = chosen.groupBy("list").agg(F.ceil(F.count("*") / QUERIES).alias("blocks"))
-    plan = F.broadcast(sizes.join(loads, "list"))
-    left = chosen.join(plan, "list").withColumn("block", F.expr("pmod(xxhash64(cid), blocks)")).withColumn("part", F.explode(F.expr("sequence(0L, parts - 1)")))
-    right = stored.join(plan, "list").withColumn("part", F.expr("pmod(xxhash64(cid), parts)")).withColumn("block", F.explode(F.expr("sequence(0L, blocks - 1)")))
-    keys = ["list", "part", "block"]
-    found = left.select(*keys, "cid", "v").groupBy(*keys).cogroup(right.select(*keys, "cid", "v").groupBy(*keys)).applyInPandas(_best(k), "qcid long, cid long, score double")
+    sizes, loads = ({r["list"]: r["count"] for r in df.groupBy("list").count().collect()} for df in (stored, chosen))
+    plan = F.broadcast(spark.createDataFrame(blocks(sizes, loads), "list int, block int, parts long, turns long"))
+    left = chosen.join(plan, "list").groupBy("cid", "block", "parts", "turns").agg(F.first("v").alias("v"), F.collect_list("list").alias("lists"))
+    left = left.withColumn("turn", F.expr("pmod(xxhash64(cid), turns)")).withColumn("part", F.explode(F.expr("sequence(0L, parts - 1)")))
+    right = stored.join(plan, "list").withColumn("part", F.expr("pmod(xxhash64(cid), parts)")).withColumn("turn", F.explode(F.expr("sequence(0L, turns - 1)")))
+    keys = ["block", "part", "turn"]
+    found = left.select(*keys, "cid", "v", "lists").groupBy(*keys).cogroup(right.select(*keys, "cid", "v", "list").groupBy(*keys)).applyInPandas(_best(k), "qcid long, cid long, score double")
     found = found.groupBy("qcid", "cid").agg(F.max("score").alias("score"))
     by_query = Window.partitionBy("qcid").orderBy(F.desc("score"), "cid")
     found = found.withColumn("nth", F.row_number().over(by_query)).filter(F.col("nth") <= k + 1).drop("nth")
