@@ -267,7 +267,10 @@ def neighbours(vectors: DataFrame, k: int = K, every: int = EVERY) -> DataFrame:
     left = left.withColumn("turn", F.expr("pmod(xxhash64(cid), turns)")).withColumn("part", F.explode(F.expr("sequence(0L, parts - 1)")))
     right = stored.join(plan, "list").withColumn("part", F.expr("pmod(xxhash64(cid), parts)")).withColumn("turn", F.explode(F.expr("sequence(0L, turns - 1)")))
     keys = ["block", "part", "turn"]
-    found = left.select(*keys, "cid", "v", "lists").groupBy(*keys).cogroup(right.select(*keys, "cid", "v", "list").groupBy(*keys)).applyInPandas(_best(k), "qcid long, cid long, score double")
+    # both sides come from one plan: fresh columns keep them apart
+    left = left.select(*[F.col(c).alias(c) for c in [*keys, "cid", "v", "lists"]])
+    right = right.select(*[F.col(c).alias(c) for c in [*keys, "cid", "v", "list"]])
+    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(_best(k), "qcid long, cid long, score double")
     found = found.groupBy("qcid", "cid").agg(F.max("score").alias("score"))
     by_query = Window.partitionBy("qcid").orderBy(F.desc("score"), "cid")
     found = found.withColumn("nth", F.row_number().over(by_query)).filter(F.col("nth") <= k + 1).drop("nth")
