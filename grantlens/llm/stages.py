@@ -9,7 +9,7 @@ from . import langid, mixing, packing, secrets, simhash
 from .common import boxed, read, saved, unboxed
 
 #: A document is rejected when its language is `und`, or less likely than this.
-LEAST_LANGUAGE_SCORE = 0.4
+LEAST_LANGUAGE_SCORE = 0.3
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
