@@ -39,7 +39,7 @@ CLOSURE, COPIES = 1.05, 2
 #: The pruning ratio is that which keeps this share of the sample's own neighbours, for so many of the sample as queries.
 SHARE, TRIALS = 0.95, 256
 #: Vectors and queries that one task takes.
-PART, QUERIES = 32_768, 1024
+PART, QUERIES = 32_768, 4096
 
 
 @dataclass
@@ -221,18 +221,16 @@ def _best(k: int):
     return run
 
 
-def blocks(sizes: dict[int, int], loads: dict[int, int]) -> list[tuple[int, int, int, int]]:
-    """(list, block, parts, turns): lists of neighbouring centroids share a block of up to PART vectors; a longer list is a block in
-    so many parts. turns: blocks of at most QUERIES that the block's queries come in. At most MOST_LISTS rows."""
-    held: list[tuple[list[int], int]] = []
-    room = 0
+def blocks(sizes: dict[int, int]) -> list[tuple[int, int, int]]:
+    """(list, block, parts): lists of neighbouring centroids share a block of up to PART vectors; a longer list is a block in
+    so many parts. At most MOST_LISTS rows."""
+    out, block, room = [], -1, 0
     for number in sorted(sizes):
-        if sizes[number] > PART or sizes[number] > room:
-            held.append(([], -(-sizes[number] // PART)))
-            room = PART
-        held[-1][0].append(number)
+        if sizes[number] > room:
+            block, room = block + 1, PART
+        out.append((number, block, -(-sizes[number] // PART)))
         room -= sizes[number]
-    return [(n, block, parts, max(1, -(-sum(loads.get(m, 0) for m in members) // QUERIES))) for block, (members, parts) in enumerate(held) for n in members]
+    return out
 
 
 def fit(distinct: DataFrame) -> Index | None:
@@ -260,12 +258,14 @@ def neighbours(vectors: DataFrame, k: int = K, every: int = EVERY) -> DataFrame:
     asked = distinct.join(asking.select("cid").distinct(), "cid", "left_semi").select("cid", "v")
     chosen = saved(asked.mapInPandas(_assign(shared, index.ratio, None, True), "list int, cid long, v array<double>"), "asked")
     stored = saved(distinct.select("cid", "v").mapInPandas(_assign(shared, CLOSURE, COPIES, False), "list int, cid long, v array<double>"), "postings")
-    # one row a list: MOST_LISTS at most
-    sizes, loads = ({r["list"]: r["count"] for r in df.groupBy("list").count().collect()} for df in (stored, chosen))
-    plan = F.broadcast(spark.createDataFrame(blocks(sizes, loads), "list int, block int, parts long, turns long"))
-    left = chosen.join(plan, "list").groupBy("cid", "block", "parts", "turns").agg(F.first("v").alias("v"), F.collect_list("list").alias("lists"))
-    left = left.withColumn("turn", F.expr("pmod(xxhash64(cid), turns)")).withColumn("part", F.explode(F.expr("sequence(0L, parts - 1)")))
-    right = stored.join(plan, "list").withColumn("part", F.expr("pmod(xxhash64(cid), parts)")).withColumn("turn", F.explode(F.expr("sequence(0L, turns - 1)")))
+    # one row a list, and one a block: MOST_LISTS at most
+    sizes = {r["list"]: r["count"] for r in stored.groupBy("list").count().collect()}
+    plan = F.broadcast(spark.createDataFrame(blocks(sizes), "list int, block int, parts long"))
+    left = chosen.join(plan, "list").groupBy("cid", "block", "parts").agg(F.first("v").alias("v"), F.collect_list("list").alias("lists"))
+    loads = chosen.join(plan, "list").groupBy("block").agg(F.countDistinct("cid").alias("n")).collect()
+    turns = F.broadcast(spark.createDataFrame([(r["block"], -(-r["n"] // QUERIES)) for r in loads], "block int, turns long"))
+    left = left.join(turns, "block").withColumn("turn", F.expr("pmod(xxhash64(cid), turns)")).withColumn("part", F.explode(F.expr("sequence(0L, parts - 1)")))
+    right = stored.join(plan, "list").join(turns, "block").withColumn("part", F.expr("pmod(xxhash64(cid), parts)")).withColumn("turn", F.explode(F.expr("sequence(0L, turns - 1)")))
     keys = ["block", "part", "turn"]
     # both sides come from one plan: fresh columns keep them apart
     left = left.select(*[F.col(c).alias(c) for c in [*keys, "cid", "v", "lists"]])

@@ -138,9 +138,9 @@ def test_hot_lists_are_split_without_loss(spark, monkeypatch):
     rng = np.random.default_rng(6)
     rows = [(i, rng.normal(size=6).tolist(), 0, 1, "x") for i in range(400)]
     whole = {(r["query_id"], r["rank"], r["vec_id"]) for r in ann.neighbours(vectors(spark, rows)).collect()}
-    assert {b for _, b, _, _ in ann.blocks({1: 5, 2: 6, 3: 40, 4: 1}, {1: 9})} == {0}
+    assert {b for _, b, _ in ann.blocks({1: 5, 2: 6, 3: 40, 4: 1})} == {0}
     monkeypatch.setattr(ann, "PART", 30)
-    assert ann.blocks({1: 5, 2: 6, 3: 40, 4: 1, 5: 29, 6: 1}, {1: 9}) == [(1, 0, 1, 1), (2, 0, 1, 1), (3, 1, 2, 1), (4, 2, 1, 1), (5, 2, 1, 1), (6, 3, 1, 1)]
+    assert ann.blocks({1: 5, 2: 6, 3: 40, 4: 1, 5: 29, 6: 1}) == [(1, 0, 1), (2, 0, 1), (3, 1, 2), (4, 2, 1), (5, 2, 1), (6, 3, 1)]
     monkeypatch.setattr(ann, "QUERIES", 5)
     assert {(r["query_id"], r["rank"], r["vec_id"]) for r in ann.neighbours(vectors(spark, rows)).collect()} == whole
 
