@@ -180,19 +180,42 @@ def exact(q: np.ndarray, v: np.ndarray) -> np.ndarray:
     return out
 
 
-def _assign(shared, ratio: float, most: int | None, aim: bool):
+def _assign(shared):
+    """A row for each list that a vector goes to."""
+
     def run(frames):
         index = shared.value
         for frame in frames:
             for lo in range(0, len(frame), WALKERS):
                 part = frame.iloc[lo : lo + WALKERS]
-                x = _matrix(part["v"])
-                rows, lists = index.lists(index.aim(x) if aim else index.lift(x), ratio, most)
+                rows, lists = index.lists(index.lift(_matrix(part["v"])), CLOSURE, COPIES)
                 yield pd.DataFrame({"list": lists.astype(np.int32), "cid": part["cid"].to_numpy()[rows], "v": part["v"].to_numpy()[rows]})
 
     return run
 
 
+def _choose(shared, block_of: dict[int, int]):
+    """A row for each block that holds lists which a query reads, with those lists."""
+
+    def run(frames):
+        index = shared.value
+        blocks_of = np.full(len(index.centroids), -1, np.int32)
+        blocks_of[list(block_of)] = list(block_of.values())
+        for frame in frames:
+            for lo in range(0, len(frame), WALKERS):
+                part = frame.iloc[lo : lo + WALKERS]
+                rows, lists = index.lists(index.aim(_matrix(part["v"])), index.ratio, None)
+                held = blocks_of[lists] >= 0  # a list that no vector went to has no block
+                rows, lists = rows[held], lists[held]
+                key = rows.astype(np.int64) << 32 | blocks_of[lists]
+                order = np.argsort(key, kind="stable")
+                begin = np.flatnonzero(np.concatenate(([True], np.diff(key[order]) != 0))) if len(order) else np.zeros(0, np.int64)
+                first = order[begin]
+                yield pd.DataFrame({"block": blocks_of[lists[first]], "cid": part["cid"].to_numpy()[rows[first]], "v": part["v"].to_numpy()[rows[first]], "lists": [x.tolist() for x in np.split(lists[order].astype(np.int32), begin[1:])] if len(first) else []})
+
+    return run
+
+
 def _best(k: int):
     def run(queries: pd.DataFrame, stored: pd.DataFrame) -> pd.DataFrame:
         """The k + 1 best of a block of lists for each query of a block; of each list only for queries that chose it."""
@@ -256,16 +279,16 @@ def neighbours(vectors: DataFrame, k: int = K, every: int = EVERY) -> DataFrame:
     asking = rows.filter(F.col("vec_id") % every == 0).select("vec_id", "v").distinct()
     asking = asking.join(distinct.select("v", "cid"), "v").select("vec_id", "cid")
     asked = distinct.join(asking.select("cid").distinct(), "cid", "left_semi").select("cid", "v")
-    chosen = saved(asked.mapInPandas(_assign(shared, index.ratio, None, True), "list int, cid long, v array<double>"), "asked")
-    stored = saved(distinct.select("cid", "v").mapInPandas(_assign(shared, CLOSURE, COPIES, False), "list int, cid long, v array<double>"), "postings")
+    stored = saved(distinct.select("cid", "v").mapInPandas(_assign(shared), "list int, cid long, v array<double>"), "postings")
     # one row a list, and one a block: MOST_LISTS at most
-    sizes = {r["list"]: r["count"] for r in stored.groupBy("list").count().collect()}
-    plan = F.broadcast(spark.createDataFrame(blocks(sizes), "list int, block int, parts long"))
-    left = chosen.join(plan, "list").groupBy("cid", "block", "parts").agg(F.first("v").alias("v"), F.collect_list("list").alias("lists"))
-    loads = chosen.join(plan, "list").groupBy("block").agg(F.countDistinct("cid").alias("n")).collect()
-    turns = F.broadcast(spark.createDataFrame([(r["block"], -(-r["n"] // QUERIES)) for r in loads], "block int, turns long"))
-    left = left.join(turns, "block").withColumn("turn", F.expr("pmod(xxhash64(cid), turns)")).withColumn("part", F.explode(F.expr("sequence(0L, parts - 1)")))
-    right = stored.join(plan, "list").join(turns, "block").withColumn("part", F.expr("pmod(xxhash64(cid), parts)")).withColumn("turn", F.explode(F.expr("sequence(0L, turns - 1)")))
+    plan = blocks({r["list"]: r["count"] for r in stored.groupBy("list").count().collect()})
+    parts = {block: n for _, block, n in plan}
+    chosen = saved(asked.mapInPandas(_choose(shared, {number: block for number, block, _ in plan}), "block int, cid long, v array<double>, lists array<int>"), "asked")
+    turns = [(r["block"], parts[r["block"]], -(-r["count"] // QUERIES)) for r in chosen.groupBy("block").count().collect()]
+    turns = F.broadcast(spark.createDataFrame(turns, "block int, parts long, turns long"))
+    left = chosen.join(turns, "block").withColumn("turn", F.expr("pmod(xxhash64(cid), turns)")).withColumn("part", F.explode(F.expr("sequence(0L, parts - 1)")))
+    of = F.broadcast(spark.createDataFrame([(number, block) for number, block, _ in plan], "list int, block int"))
+    right = stored.join(of, "list").join(turns, "block").withColumn("part", F.expr("pmod(xxhash64(cid), parts)")).withColumn("turn", F.explode(F.expr("sequence(0L, turns - 1)")))
     keys = ["block", "part", "turn"]
     # both sides come from one plan: fresh columns keep them apart
     left = left.select(*[F.col(c).alias(c) for c in [*keys, "cid", "v", "lists"]])
