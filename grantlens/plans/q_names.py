@@ -69,9 +69,8 @@ def norm_text(spark, sf_dir):
 
 @query("SELECT doc_id, " + sql_strip("text", fixed.ABBREVIATIONS, NOISE) + " AS stripped FROM documents WHERE NOT regexp_matches(text, '[^\\x00-\\x7F]') UNION ALL SELECT doc_id, " + sql_norm("text") + " FROM documents WHERE regexp_matches(text, '[^\\x00-\\x7F]')")
 def strip_wrappers_text(spark, sf_dir):
-    """Wrappers go from plain ASCII texts; the others are only normalised (word bounds differ between dialects there)."""
-    plain = ~F.col("text").rlike(r"[^\x00-\x7F]")
-    return table(spark, sf_dir, "documents").select("doc_id", F.when(plain, text.strip_wrappers(F.col("text"), noise=NOISE)).otherwise(text.norm(F.col("text"))).alias("stripped"))
+    """Wrappers go from all texts. The SQL strips ASCII texts only (DuckDB's word bounds are ASCII), so it differs on others."""
+    return table(spark, sf_dir, "documents").select("doc_id", text.strip_wrappers(F.col("text"), noise=NOISE).alias("stripped"))
 
 
 @query("SELECT DISTINCT lower(trim(regexp_replace(text, '[\\s\\p{Z}]+', ' ', 'g'))) AS key FROM documents")
