@@ -21,15 +21,17 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each component of linked fingerprints; one of rows repeated with that id.
+    """One row of each component of linked fingerprints: of its rows with the least id, the one with the least text digest.
 
-    Documents without an id count as one document, which stays only where its whole component has no id.
+    Rows get keys of their own first, so rows that share an id, or have none, are told apart by where they link.
     """
-    found = simhash.near_duplicates(docs)
-    keep = found.groupBy("component_id").agg(F.min("doc_id").alias("keep_id")).select("keep_id")
-    # ids alone settle who stays; only then do texts move
-    rows = boxed(docs).withColumn("own_id", F.col("box_doc_id")).join(keep.distinct(), F.col("own_id").eqNullSafe(F.col("keep_id")))
-    return unboxed(rows.dropDuplicates(["own_id"]), docs)
+    keyed = saved(boxed(docs).withColumn("own_key", F.monotonically_increasing_id()), "keyed")
+    found = simhash.near_duplicates(keyed.select(F.col("own_key").alias("doc_id"), F.col("box_text").alias("text"))).select("doc_id", "component_id")
+    # keys, ids and digests alone settle who stays; only then do texts move
+    rank = F.struct(F.col("box_doc_id").isNull(), F.col("box_doc_id"), F.sha2(F.col("box_text").cast("binary"), 256), F.col("own_key"))
+    ranked = keyed.select("own_key", rank.alias("rank")).join(found, F.col("own_key") == F.col("doc_id"))
+    keep = ranked.groupBy("component_id").agg(F.min_by("own_key", "rank").alias("keep_key")).select("keep_key")
+    return unboxed(keyed.join(keep, F.col("own_key") == F.col("keep_key")), docs)
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
