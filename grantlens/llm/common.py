@@ -8,8 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Rows that one Arrow batch may hold; texts can be long, so batches are kept short.
-BATCH_ROWS = 256
+#: Bytes that one Arrow batch may hold, about; a longer text is a batch of its own.
+BATCH_BYTES = 4 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -17,9 +17,13 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def short_batches(spark: SparkSession) -> None:
-    """Long texts come in batches of few rows, so that a Python worker's memory stays bounded."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    """Batches are bounded by their bytes, not only their rows, so that a Python worker's memory stays bounded with long texts.
+
+    The bound is the session's, as plans are made late; a lower one stays.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < int(spark.conf.get(name).rstrip("b")) <= BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
 
 
 def shared_dir(spark: SparkSession) -> str:
