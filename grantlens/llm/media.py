@@ -1,16 +1,18 @@
 """Media columns in a chunk store with content-defined cuts.
 
 A text's payload is stored as the samples of an 8-bit mono WAV file. A rolling gear hash over the last 32 bytes cuts
-the file into chunks, so equal stretches of different files give equal chunks. Chunks are addressed by SHA-256 and kept
-once each; a file is an ordered list of digests. Reading back joins lists with the store, puts each file's chunks in
-order, checks every digest and the file's own, and decodes the samples.
+the file into chunks, so equal stretches of different files give equal chunks. Chunks are addressed by SHA-256; a file
+is an ordered list of digests. One pass over the texts writes lists and compressed chunks to a table in the shared
+folder; a task writes a chunk once, however many of its files hold it. Reading back takes that table alone: lists are
+joined with the chunks, deduplicated by digest, each file's chunks are put in order, every digest and the file's own are
+checked, and the samples are decoded.
 
-The chunks' bytes move at most twice, compressed: to their digest, and, for files of several chunks, to their file.
-Equal texts are one file. Files of one chunk are complete where their chunk lies.
+Equal texts are one file. A file of one chunk is read back where its chunk lies; only those of several chunks send bytes
+through joins, compressed: to their digest and to their file.
 
 Defined results for odd input: a null text is an empty payload, padded like any other; null ids and repeated rows stay
-rows; an empty table gives an empty result; a long text is many chunks, read back as a stream of rows; other columns
-are ignored.
+rows; an empty table gives an empty result; a long text is many chunks, read back as a stream of rows; a chunk or file
+that is missing or damaged fails the read; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import short_batches
+from .common import saved, short_batches
 from .words import mix, portions
 
 UNIT = 576
@@ -40,6 +42,7 @@ RATE = 8000
 #: Digests that a task remembers having sent, so that copies in one task go out once.
 REMEMBERED = 50_000
 GEAR = (mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.uint32)
+ENTRIES = "doc_id long, n_bytes long, file binary, digests array<binary>, digest binary, whole boolean, packed binary"
 READ_BACK = "file binary, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
 
 
@@ -114,61 +117,62 @@ def feature(samples: bytes, chunks: int) -> str:
     return f"chunks={chunks};sum={int(x.sum())};squares={int((x * x).sum())};peak={int(x.max())};low={int(x.min())};crossings={crossings}"
 
 
-def _texts(batch: pa.RecordBatch) -> Iterator[tuple[object, bytes]]:
-    for part in portions(batch, "text"):
-        for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True):
-            yield doc_id, (text or "").encode()
+def _texts(part: pa.RecordBatch) -> Iterator[tuple[object, bytes]]:
+    for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True):
+        yield doc_id, (text or "").encode()
 
 
-def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = []
-        for doc_id, raw in _texts(batch):
-            media = wav(payload(raw))
-            rows.append((doc_id, len(raw), hashlib.sha256(media).digest(), [d for d, _ in chunked(media)]))
-        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.binary()), pa.array([r[3] for r in rows], pa.list_(pa.binary()))], ["doc_id", "n_bytes", "file", "digests"])
-
-
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    sent: OrderedDict[bytes, None] = OrderedDict()
+def _encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A list row for each text, and a chunk row for each chunk that the task hasn't written yet."""
+    sent: OrderedDict[tuple[bytes, bool], None] = OrderedDict()
     pack = zstandard.ZstdCompressor(level=3)
+    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.binary()), pa.binary(), pa.bool_(), pa.binary()]
+    names = [c.split()[0] for c in ENTRIES.split(", ")]
     for batch in batches:
-        rows = []
-        for _, raw in _texts(batch):
-            for digest, part in chunked(wav(payload(raw))):
-                if digest in sent:
-                    sent.move_to_end(digest)
-                    continue
-                sent[digest] = None
-                if len(sent) > REMEMBERED:
-                    sent.popitem(last=False)
-                rows.append((digest, pack.compress(part)))
-        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.binary())], ["digest", "packed"])
-
-
-def file_lists(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, file (the media's SHA-256), digests (ordered)."""
-    return _source(docs).mapInArrow(_lists, "doc_id long, n_bytes long, file binary, digests array<binary>")
+        for part in portions(batch, "text"):
+            rows: list[tuple] = []
+            for doc_id, raw in _texts(part):
+                media = wav(payload(raw))
+                chunks = chunked(media)
+                whole = len(chunks) == 1
+                rows.append((doc_id, len(raw), chunks[0][0] if whole else hashlib.sha256(media).digest(), [d for d, _ in chunks], None, None, None))
+                for digest, data in chunks:
+                    if (digest, whole) in sent:
+                        sent.move_to_end((digest, whole))
+                        continue
+                    sent[digest, whole] = None
+                    if len(sent) > REMEMBERED:
+                        sent.popitem(last=False)
+                    rows.append((None, None, None, None, digest, whole, pack.compress(data)))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names)
+
+
+def put(docs: DataFrame) -> DataFrame:
+    """ENTRIES: the store, written to the shared folder and read again."""
+    short_batches(docs.sparkSession)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return saved(rows.mapInArrow(_encoded, ENTRIES), "media")
 
 
-def chunk_store(docs: DataFrame) -> DataFrame:
-    """digest, packed: each chunk once."""
-    return _source(docs).mapInArrow(_chunks, "digest binary, packed binary").groupBy("digest").agg(F.first("packed").alias("packed"))
+def file_lists(entries: DataFrame) -> DataFrame:
+    """doc_id, n_bytes, file (the media's SHA-256), digests (ordered)."""
+    return entries.filter("digests IS NOT NULL").select("doc_id", "n_bytes", "file", "digests")
 
 
-def _source(docs: DataFrame) -> DataFrame:
-    short_batches(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+def chunk_store(entries: DataFrame) -> DataFrame:
+    """digest, packed: each chunk of files of several chunks once."""
+    return entries.filter("NOT whole").groupBy("digest").agg(F.first("packed").alias("packed"))
 
 
-def read_files(lists: DataFrame, store: DataFrame) -> DataFrame:
+def read_files(entries: DataFrame) -> DataFrame:
     """READ_BACK, one row a distinct file: reconstructed, verified, decoded."""
-    files = lists.groupBy("file").agg(F.first("digests").alias("digests"))
+    alone = entries.filter("whole").select(F.col("digest").alias("file"), F.lit(1).alias("n"), F.lit(0).alias("nth"), "digest", "packed").mapInArrow(_assemble, READ_BACK)
+    names = [c.split()[0] for c in READ_BACK.split(", ")]
+    alone = alone.groupBy("file").agg(*[F.first(c).alias(c) for c in names[1:]])  # several tasks may have written it
+    files = file_lists(entries).filter(F.size("digests") > 1).groupBy("file").agg(F.first("digests").alias("digests"))
     wanted = files.select("file", F.size("digests").alias("n"), F.posexplode("digests").alias("nth", "digest"))
-    parts = wanted.join(store, "digest", "left").select("file", "n", "nth", "digest", "packed")
-    whole = parts.filter("n = 1").mapInArrow(_assemble, READ_BACK)
-    several = parts.filter("n > 1").repartition("file").sortWithinPartitions("file", "nth").mapInArrow(_assemble, READ_BACK)
-    return whole.unionByName(several)
+    parts = wanted.join(chunk_store(entries), "digest", "left").select("file", "n", "nth", "digest", "packed")
+    return alone.unionByName(parts.repartition("file").sortWithinPartitions("file", "nth").mapInArrow(_assemble, READ_BACK))
 
 
 def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,7 +202,8 @@ def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def stored(docs: DataFrame) -> DataFrame:
     """doc_id and n_bytes of every row with what reading its media back gives."""
-    lists = file_lists(docs)
-    back = read_files(lists, chunk_store(docs)).withColumnRenamed("file", "f")
-    rows = lists.select("doc_id", "n_bytes", "file")
-    return rows.join(back, F.col("file") == F.col("f")).drop("file", "f")
+    entries = put(docs)
+    back = read_files(entries).withColumnRenamed("file", "f")
+    rows = file_lists(entries).drop("digests").join(back, F.col("file") == F.col("f"), "left")
+    missing = F.raise_error(F.concat(F.lit("file is missing: "), F.hex("file"))).cast("long")
+    return rows.withColumn("payload_bytes", F.coalesce("payload_bytes", missing)).drop("file", "f")

@@ -12,6 +12,7 @@ import xxhash
 from fixtures import documents, empty, frame, prose
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from grantlens.llm import media, packing, passages, simhash
@@ -198,11 +199,17 @@ def test_an_insertion_moves_few_cuts():
     assert len(before & after) >= len(before) - 3
 
 
-def test_damage_is_found(spark):
-    lists = media.file_lists(frame(spark, documents()[:3]))
-    store = media.chunk_store(frame(spark, documents()[:1])).limit(0)
+def test_damage_is_found(spark, monkeypatch):
+    entries = media.put(frame(spark, [documents()[10], documents()[0]]))  # a file of several chunks, and one of one
+    assert media.chunk_store(entries).count() > 1
+    lost = media.chunk_store(entries).select(F.min("digest")).first()[0]
     with pytest.raises(Exception, match="missing or out of order"):
-        media.read_files(lists, store).collect()
+        media.read_files(entries.filter(F.col("digest").isNull() | (F.col("digest") != lost))).collect()
+    with pytest.raises(Exception, match="damaged"):
+        media.read_files(entries.withColumn("digest", F.when(F.col("whole"), F.lit(b"x" * 32)).otherwise(F.col("digest")))).collect()
+    monkeypatch.setattr(media, "read_files", lambda e, f=media.read_files: f(e).limit(1))
+    with pytest.raises(Exception, match="file is missing"):
+        media.stored(frame(spark, documents()[:6])).collect()
 
 
 def shared_runs(docs, n):
