@@ -48,6 +48,12 @@ def prefix_sums(df: DataFrame, keys: list[str], bucket: str, order: list[Column]
     """Adds out: the sum of value over the rows before this one, by keys, in the order of bucket and then order.
 
     Two levels, so that no task sorts all rows of a key: rows are summed within (keys, bucket), and only one row a
+def ranged(df: DataFrame, keys: list[str], out: str, name: str) -> DataFrame:
+    """df as a table sorted into ranges of keys (nulls first), with out: the number of a row's range, which no density of keys makes uneven."""
+    parts = df.repartitionByRange(*[F.col(k).asc_nulls_first() for k in keys]).withColumn(out, F.spark_partition_id())
+    return saved(parts, name)
+
+
     bucket goes through the window over keys. Null keys and buckets are groups of their own (null buckets first).
     Adds n_before too: the number of rows before this one in its (keys, bucket).
     """

@@ -1,9 +1,11 @@
 """Mixing sources to target weights (native).
 
-Words are packed into fixed-length blocks, source by source. The output is a deck of slots cut into shards: the deck
-holds each source's exact number of slots, and a pseudorandom permutation of slot numbers deals them out, so the
-source counts of a shard are a multinomial draw conditioned on the totals. Slot j of a source takes the block that the
-source's own index permutation gives for j, pass after pass, and blocks are joined by index.
+Words are packed into fixed-length blocks, source by source. The output is cut into shards of SHARD_SLOTS slots. Each
+slot draws its source, with the sources' shares of all slots, from a hash of its place; the counts of a shard are so a
+multinomial draw. A source's slots are numbered shard after shard. Draws over a source's number of slots (a few in the
+order of the square root of it) go to the sources that fell short, so totals are exact and no source passes its cap.
+Slot j of a source takes the block that the source's own index permutation gives for j, pass after pass, and blocks are
+joined by index.
 
 Defined results for odd input: a null text or one without words has size 0 and nothing is taken from it; null sources
 are one source, last in order; rows repeated in all columns are separate documents; null ids are documents of their
@@ -15,17 +17,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import boxed, prefix_sums, saved, unboxed
+from .common import boxed, prefix_sums, ranged, saved, unboxed
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Words in a block, slots in an output shard, most passes over a source.
 BLOCK = 64
 SHARD_SLOTS = 1024
 PASSES = 3
-#: Ids in one bucket of the prefix sums.
-ID_BUCKET = 1024
-#: Slots that one row of the first level of the slot generator stands for.
-SLOT_CHUNK = 65536
+#: Shards in one bucket of the prefix sums.
+SHARD_BUCKET = 1024
+#: Ranges of slots that draws are looked up in, about, and slots that a task of the generator makes.
+LOOKUPS, TASK_SLOTS = 1024, 1 << 18
 
 
 def stride(n: str, salt: str) -> str:
@@ -64,6 +66,11 @@ def sized(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", skey.alias("skey"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
 
 
+def known_sources(rows: DataFrame) -> DataFrame:
+    """targets(), one row a source, as a table of its own."""
+    return saved(targets(rows), "targets")
+
+
 def targets(rows: DataFrame) -> DataFrame:
     """By source: source_size, target, n_blocks, passes, extra (blocks of the last, partial pass), first slot, slots.
 
@@ -89,28 +96,56 @@ def targets(rows: DataFrame) -> DataFrame:
     s = s.withColumn("extra", F.least("n_blocks", F.round((F.col("target") - F.col("passes") * F.col("source_size")) / BLOCK).cast("long")))
     s = s.withColumn("slots", F.col("passes") * F.col("n_blocks") + F.col("extra"))
     s = s.withColumn("first_slot", F.coalesce(F.sum("slots").over(every.orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return s.withColumn("all_slots", F.sum("slots").over(every)).drop("cap", "level", "fits")
+    return s.drop("cap", "level", "fits")
 
 
-def deck(sources: DataFrame) -> DataFrame:
-    """One row a slot: shard, place in the deck, skey, pass and block."""
-    chunks = sources.filter("slots > 0").withColumn("from", F.explode(F.expr(f"sequence(0L, slots - 1, {SLOT_CHUNK}L)")))
-    chunks = chunks.repartition("skey", "from")
-    slots = chunks.withColumn("j", F.explode(F.expr(f"sequence(from, least(from + {SLOT_CHUNK - 1}L, slots - 1))")))
-    slots = slots.withColumn("pass", F.expr("j DIV n_blocks"))
-    slots = permute(slots, "j % n_blocks", "n_blocks", "rank", "block")
-    slots = permute(slots, "first_slot + j", "all_slots", "0", "place")
-    return slots.select(F.expr(f"place DIV {SHARD_SLOTS}").alias("shard"), "place", "skey", "pass", "block")
+def draws(sources: DataFrame) -> DataFrame:
+    """shard, skey, n: the source counts of each output shard, one multinomial draw a shard.
 
-
-def draws(slots: DataFrame) -> DataFrame:
-    """The source counts of each output shard."""
-    return slots.groupBy("shard", "skey").agg(F.count("*").alias("n"))
+    A slot's hash picks one of all slots, laid out source by source; the picked one's source is found by an equal key,
+    the range of slots that it lies in.
+    """
+    spark = sources.sparkSession
+    total = sources.agg(F.coalesce(F.sum("slots"), F.lit(0))).first()[0]
+    width = max(1, -(-total // LOOKUPS))
+    places = spark.range(0, total, 1, max(1, -(-total // TASK_SLOTS))).select(F.expr(f"id DIV {SHARD_SLOTS}").alias("shard"), F.expr(picked("id", max(1, total))).alias("pick"))
+    held = sources.filter("slots > 0").withColumn("lookup", F.explode(F.expr(f"sequence(first_slot DIV {width}L, (first_slot + slots - 1) DIV {width}L)")))
+    held = saved(held.select("lookup", "skey", "first_slot", (F.col("first_slot") + F.col("slots")).alias("past")), "lookups")  # LOOKUPS rows and one a source
+    met = places.withColumn("lookup", F.expr(f"pick DIV {width}L")).join(held, "lookup").filter("pick >= first_slot AND pick < past")
+    return met.groupBy("shard", "skey").agg(F.count("*").alias("n"))
+
+
+def picked(place: str, total: int) -> str:
+    """SQL: a pseudorandom number below total for a place, from 48 bits of its MD5."""
+    return f"cast(conv(substring(md5(cast({place} as string)), 1, 12), 16, 10) as bigint) % {total}L"
+
+
+def deck(sources: DataFrame, counts: DataFrame) -> DataFrame:
+    """One row a slot: shard, skey, pass and block. counts: draws()."""
+    counts = counts.withColumn("bucket", F.expr(f"shard DIV {SHARD_BUCKET}"))
+    firsts = prefix_sums(counts, ["skey"], "bucket", [F.col("shard")], F.col("n"), "first").select("shard", F.col("skey").alias("drawn_key"), "first", "n")
+    drawn = counts.groupBy("skey").agg(F.sum("n").alias("drawn"))
+    known = sources.select("skey", "rank", "n_blocks", "slots").join(drawn, "skey", "left").withColumn("drawn", F.coalesce("drawn", F.lit(0)))
+    known = known.withColumn("over", F.expr("greatest(drawn - slots, 0L)")).withColumn("short", F.expr("greatest(slots - drawn, 0L)"))
+    ahead = Window.partitionBy(F.lit(0)).orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)  # one row a source
+    known = saved(known.withColumn("over_from", F.coalesce(F.sum("over").over(ahead), F.lit(0))).withColumn("short_from", F.coalesce(F.sum("short").over(ahead), F.lit(0))), "drawn")
+    slots = firsts.join(known, F.col("drawn_key") == F.col("skey")).withColumn("j", F.explode(F.expr("sequence(first, first + n - 1)")))
+    spare = slots.filter("j >= slots").select("shard", F.expr("over_from + j - slots").alias("nth"))
+    lacking = known.filter("short > 0").withColumn("j", F.explode(F.expr("sequence(drawn, slots - 1)")))
+    lacking = lacking.select(F.expr("short_from + j - drawn").alias("nth"), "skey", "rank", "n_blocks", "j")
+    every = slots.filter("j < slots").select("shard", "skey", "rank", "n_blocks", "j").unionByName(spare.join(lacking, "nth").select("shard", "skey", "rank", "n_blocks", "j"))
+    return permute(every.withColumn("pass", F.expr("j DIV n_blocks")), "j % n_blocks", "n_blocks", "rank", "block").select("shard", "skey", "pass", "block")
+
+
+def takings(sources: DataFrame) -> DataFrame:
+    """skey, block, times, first_shard: how often the output shards take a block, and the first that does."""
+    slots = deck(sources, saved(draws(sources), "draws"))
+    return slots.groupBy("skey", "block").agg(F.count("*").alias("times"), F.min("shard").alias("first_shard"))
 
 
 def laid_out(rows: DataFrame) -> DataFrame:
     """Adds start: the document's first word in its source's sequence of words, in the order of ids."""
-    rows = rows.withColumn("bucket", F.floor(F.col("doc_id") / ID_BUCKET))
+    rows = ranged(rows, ["skey", "doc_id", "size"], "bucket", "layout")
     return prefix_sums(rows, ["skey"], "bucket", [F.col("doc_id"), F.col("size")], F.col("size"), "start")
 
 
@@ -121,18 +156,17 @@ def pieces(rows: DataFrame) -> DataFrame:
 
 
 def mixed(docs: DataFrame) -> DataFrame:
-    """doc_id, size, source_size, target and taken of every row of docs."""
+    """doc_id, size, source_size, target, taken and first_shard (the first output shard that takes of it) of every row of docs."""
     rows = saved(sized(docs), "sizes")
-    sources = targets(rows)
+    sources = known_sources(rows)
     rows = laid_out(rows)
-    taken = deck(sources).groupBy("skey", "block").agg(F.count("*").alias("times"))
     own = ["skey", "bucket", "n_before"]
-    got = pieces(rows).join(taken.hint("merge"), ["skey", "block"]).groupBy(*own).agg(F.sum(F.expr("(hi - lo) * times")).alias("taken"))
+    got = pieces(rows).join(takings(sources).hint("merge"), ["skey", "block"]).groupBy(*own).agg(F.sum(F.expr("(hi - lo) * times")).alias("taken"), F.min("first_shard").alias("first_shard"))
     # slots come from a few source rows, which would pass for a small table: these joins must not broadcast them
-    got = got.select(*[F.col(c).alias(f"g_{c}") for c in own], "taken").hint("merge")
+    got = got.select(*[F.col(c).alias(f"g_{c}") for c in own], "taken", "first_shard").hint("merge")
     rows = rows.join(got, [F.col(c).eqNullSafe(F.col(f"g_{c}")) for c in own], "left")
     rows = rows.join(sources.select("skey", "source_size", "target"), "skey")
-    return rows.select("doc_id", "size", "source_size", F.col("target").cast("double").alias("target"), F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+    return rows.select("doc_id", "size", "source_size", F.col("target").cast("double").alias("target"), F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "first_shard")
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
@@ -142,8 +176,7 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     its length. A document of which nothing is taken doesn't appear.
     """
     rows = saved(sized(docs), "sizes")
-    sources = targets(rows)
-    taken = deck(sources).groupBy("skey", "block").agg(F.count("*").alias("times"))
+    taken = takings(known_sources(rows)).drop("first_shard")
     # equal (skey, doc_id, size) rows lie next to each other in the layout, so numbering them by text keeps the layout
     spans = pieces(laid_out(rows)).join(taken.hint("merge"), ["skey", "block"])
     spans = spans.withColumn("pass", F.explode(F.expr("sequence(1, cast(times as int))")))

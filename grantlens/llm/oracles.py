@@ -53,12 +53,18 @@ level AS (SELECT ((SELECT sum(source_size) FROM w) - coalesce(sum(cap) FILTER (c
 t AS (SELECT *, least(cap, level * weight)::DOUBLE AS target, ceil(source_size / {b})::BIGINT AS n_blocks FROM w, level),
 q AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS passes FROM t),
 e AS (SELECT *, passes * n_blocks + least(n_blocks, round((target - passes * source_size) / {b})::BIGINT) AS slots FROM q),
-slots AS (SELECT source, rank, n_blocks, unnest(range(slots)) AS j FROM e WHERE slots > 0),
+f AS (SELECT *, coalesce(sum(slots) OVER (ORDER BY rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS first_slot FROM e),
+places AS (SELECT g, g // {mixing.SHARD_SLOTS} AS shard, ('0x' || substr(md5(g::VARCHAR), 1, 12))::BIGINT % (SELECT sum(slots)::BIGINT FROM e) AS pick FROM (SELECT unnest(range((SELECT sum(slots)::BIGINT FROM e))) AS g)),
+drawn AS (SELECT f.*, shard, row_number() OVER (PARTITION BY rank ORDER BY shard, g) - 1 AS j FROM places JOIN f ON pick >= first_slot AND pick < first_slot + f.slots),
+totals AS (SELECT f.*, coalesce(n, 0) AS n FROM f LEFT JOIN (SELECT rank, count(*) AS n FROM drawn GROUP BY rank) c ON f.rank = c.rank),
+spare AS (SELECT shard, row_number() OVER (ORDER BY rank, j) AS nth FROM drawn WHERE j >= slots),
+lacking AS (SELECT *, row_number() OVER (ORDER BY rank, j) AS nth FROM (SELECT source, rank, n_blocks, unnest(range(n, slots::BIGINT)) AS j FROM totals WHERE slots > n)),
+slots AS (SELECT source, rank, n_blocks, shard, j FROM drawn WHERE j < slots UNION ALL SELECT source, rank, n_blocks, shard, j FROM spare JOIN lacking ON spare.nth = lacking.nth),
 {_rounds("slots", "j % n_blocks", "n_blocks", "rank", "p")},
-taken AS (SELECT source, v AS block, count(*) AS times FROM p{mixing.ROUNDS} GROUP BY source, v),
+taken AS (SELECT source, v AS block, count(*) AS times, min(shard) AS first_shard FROM p{mixing.ROUNDS} GROUP BY source, v),
 pieces AS (SELECT rid, source, start, size, unnest(range((start // {b})::BIGINT, ((start + size - 1) // {b})::BIGINT + 1)) AS block FROM placed WHERE size > 0),
-got AS (SELECT p.rid, sum((least(p.start + p.size, (p.block + 1) * {b}) - greatest(p.start, p.block * {b})) * t.times)::BIGINT AS taken FROM pieces p JOIN taken t ON p.block = t.block AND p.source IS NOT DISTINCT FROM t.source GROUP BY p.rid)
-SELECT r.doc_id, r.size, e.source_size, round(e.target, 6) AS target, coalesce(g.taken, 0) AS taken FROM placed r JOIN e ON r.source IS NOT DISTINCT FROM e.source LEFT JOIN got g ON r.rid = g.rid"""
+got AS (SELECT p.rid, sum((least(p.start + p.size, (p.block + 1) * {b}) - greatest(p.start, p.block * {b})) * t.times)::BIGINT AS taken, min(first_shard) AS first_shard FROM pieces p JOIN taken t ON p.block = t.block AND p.source IS NOT DISTINCT FROM t.source GROUP BY p.rid)
+SELECT r.doc_id, r.size, e.source_size, round(e.target, 6) AS target, coalesce(g.taken, 0) AS taken, g.first_shard FROM placed r JOIN e ON r.source IS NOT DISTINCT FROM e.source LEFT JOIN got g ON r.rid = g.rid"""
 
 
 ORACLES: dict[str, str] = {"op3_mixing": _mixing(), "op7_secrets": _secrets()}

@@ -63,7 +63,7 @@ def test_mixing_reruns_agree_and_documents_carry_the_words_taken(spark):
         assert r["n_chars"] == len(r["text"])
         words[r["doc_id"]] += len(WORD.findall(r["text"]))
     want = Counter()
-    for d, _, _, _, n in first:
+    for d, _, _, _, n, _ in first:
         want[d] += n
     assert words == +want
 
@@ -74,10 +74,33 @@ def test_permutations_are_one_to_one(spark):
         assert df.agg(F.countDistinct("p"), F.min("p"), F.max("p")).first() == (n, 0, n - 1)
 
 
-def test_deck_holds_each_source_exactly(spark):
-    sources = mixing.targets(mixing.sized(frame(spark)))
-    drawn = {r["skey"]: r["n"] for r in mixing.draws(mixing.deck(sources)).groupBy("skey").agg(F.sum("n").alias("n")).collect()}
-    assert drawn == {r["skey"]: r["slots"] for r in sources.collect() if r["slots"]}
+def test_deck_follows_the_draws_and_holds_each_source_exactly(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SHARD_SLOTS", 16)
+    sources = mixing.known_sources(mixing.sized(frame(spark)))
+    slots = {r["skey"]: r["slots"] for r in sources.collect() if r["slots"]}
+    drawn = Counter({(r["shard"], r["skey"]): r["n"] for r in mixing.draws(sources).collect()})
+    total = sum(slots.values())
+    starts = dict(zip(sorted(slots), [sum(slots[k] for k in sorted(slots) if k < s) for s in sorted(slots)], strict=True))
+    want = Counter()
+    for place in range(total):
+        pick = int(hashlib.md5(str(place).encode()).hexdigest()[:12], 16) % total
+        want[place // 16, max((s for s in slots if starts[s] <= pick), key=starts.get)] += 1
+    assert drawn == want
+    rows = mixing.deck(sources, mixing.draws(sources)).collect()
+    assert Counter(r["skey"] for r in rows) == slots
+    dealt = Counter((r["shard"], r["skey"]) for r in rows)
+    assert Counter(r["shard"] for r in rows) == Counter(p // 16 for p in range(total))
+    of = Counter()
+    for (_, s), n in drawn.items():
+        of[s] += n
+    moved = sum(max(0, of[s] - slots[s]) for s in slots)
+    assert sum((drawn - dealt).values()) == moved
+
+
+def test_a_source_with_sparse_and_null_ids(spark):
+    docs = [(i * 10**15 if i % 3 else None, f"w{i} " * (i + 1), "en", "a") for i in range(60)]
+    rows = mixing.mixed(frame(spark, docs)).collect()
+    assert Counter((r["doc_id"], r["size"], r["taken"]) for r in rows) == Counter((d, i + 1, i + 1) for i, (d, _, _, _) in enumerate(docs))
 
 
 def test_sharding_law(spark):
