@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import ann, langid, media, mixing, packing, passages, quality, secrets, sharding, simhash
-from .common import read, saved
+from .common import read
 
 
 def op1_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,8 +35,7 @@ def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = secrets.addressed(read(spark, sf_dir, "documents"))
-    ledger = saved(secrets.scan(paths), "ledger")
-    return secrets.report(secrets.findings(paths.drop("text"), ledger))
+    return secrets.report(secrets.findings(paths.drop("text"), secrets.incremental(paths)))
 
 
 def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,19 +1,24 @@
 """Secret scans over an incremental blob ledger (native).
 
 A blob is a text, addressed by its SHA-256, so any number of paths (documents, historical versions) share one blob.
-The ledger holds which (blob, rule, rule version) pairs were scanned and what was found. scan() looks only at pairs
-that the ledger lacks; findings() joins what the ledger has back to all paths.
+The ledger is a stored table of which (blob, rule, rule version) were scanned and what was found. scan() looks only at
+those that the ledger lacks, incremental() appends them to it, and findings() joins what the ledger has for the current
+versions back to all paths. The ledger's folder is named by the session's grantlens.secrets.ledger; without that, a run
+has one of its own in the shared folder.
 
 Defined results for odd input: a null text is the empty blob; an empty text has no finding; repeated rows are paths of
-their own; null ids stay; an empty table gives an empty result; columns beside doc_id and text are ignored.
+their own; null ids stay; a row that two runs both appended counts once; an empty table gives an empty result; columns
+beside doc_id and text are ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import boxed, unboxed
+from .common import boxed, shared_dir, unboxed
 
 #: Fixed rules, by name: version, pattern, least length, the group that the length counts (0: all of the match).
 RULES = {
@@ -25,13 +30,22 @@ RULES = {
 #: The kinds every result counts, in their order among spans with one start.
 BASE = ("assign", "access", "hex")
 LEDGER = "sha string, rule string, version int, spans array<struct<start:int,end:int>>"
+LEDGER_FOLDER = "grantlens.secrets.ledger"
+#: Matches of a text that are placed together.
+PLACED = 256
+
+
+def bound(value: Column, body) -> Column:
+    """body(value), with value computed once: inside another lambda an expression would be computed for each element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def spans_of(text: Column, rule: str) -> Column:
     """Array of (start, end) of the rule's matches, in code points; matches under the least length are dropped.
 
     The text between matches comes from split(), the matches from regexp_extract_all(); their lengths, summed in
-    turn, give the places.
+    turn, give the places. Sums run over PLACED matches at a time, then over those groups, so the work grows with the
+    matches and not with their square.
     """
     _, pattern, least, group = RULES[rule]
     # a run of one class of characters that is too short can't hold a long one, so the length goes into the pattern
@@ -45,16 +59,25 @@ def spans_of(text: Column, rule: str) -> Column:
         F.transform(counted, lambda x: F.length(x)).alias("counted"),
     )
     none = F.array().cast("array<struct<start:int,end:int,counted:int>>")
-    start = F.struct(F.lit(0).alias("at"), none.alias("found"))
+    length = lambda x: x["gap"] + F.coalesce(x["len"], F.lit(0))
 
     def step(acc: Column, x: Column) -> Column:
         begin = acc["at"] + x["gap"]
-        end = begin + F.coalesce(x["len"], F.lit(0))
+        end = acc["at"] + length(x)
         hit = F.array(F.struct(begin.alias("start"), end.alias("end"), x["counted"].alias("counted")))
         return F.struct(end.alias("at"), F.when(x["len"].isNull(), acc["found"]).otherwise(F.concat(acc["found"], hit)).alias("found"))
 
-    found = F.aggregate(parts, start, step, lambda acc: acc["found"])
-    kept = F.filter(found, lambda x: x["counted"] >= least)
+    first = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("begins"))
+
+    def grouped(all_parts: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(all_parts) - 1) / PLACED).cast("int")), lambda g: F.slice(all_parts, g * PLACED + 1, F.lit(PLACED)))
+
+    def placed(groups: Column) -> Column:
+        sums = F.transform(groups, lambda g: F.aggregate(g, F.lit(0), lambda n, x: n + length(x)))
+        begins = F.aggregate(sums, first, lambda acc, n: F.struct((acc["at"] + n).alias("at"), F.concat(acc["begins"], F.array(acc["at"])).alias("begins")), lambda acc: acc["begins"])
+        return F.zip_with(groups, begins, lambda g, at: F.aggregate(g, F.struct(at.alias("at"), none.alias("found")), step, lambda acc: acc["found"]))
+
+    kept = F.filter(F.flatten(bound(bound(parts, grouped), placed)), lambda x: x["counted"] >= least)
     places = F.transform(kept, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))
     nothing = F.array().cast("array<struct<start:int,end:int>>")
     return F.when(F.regexp_like(text, F.lit(pattern)), places).otherwise(nothing)
@@ -94,13 +117,30 @@ def scan(paths: DataFrame, ledger: DataFrame | None = None, rules: list[str] | N
     return rows.groupBy("sha", "rule", "version").agg(F.first("spans").alias("spans"))
 
 
+def stored(spark: SparkSession, folder: str) -> DataFrame | None:
+    """The ledger in a folder, or None where there is none yet."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        return None
+    return spark.read.schema(LEDGER).parquet(folder)
+
+
+def incremental(paths: DataFrame, folder: str | None = None, rules: list[str] | None = None) -> DataFrame:
+    """The ledger in folder after what it lacks of these paths was scanned and appended: all of it, earlier runs' rows too."""
+    spark = paths.sparkSession
+    folder = folder or spark.conf.get(LEDGER_FOLDER, None) or f"{shared_dir(spark)}/ledger-{uuid.uuid4().hex}"
+    scan(paths, stored(spark, folder), rules).write.mode("append").parquet(folder)
+    return stored(spark, folder)
+
+
 def findings(paths: DataFrame, ledger: DataFrame, rules: list[str] | None = None) -> DataFrame:
-    """Every path with its findings: doc_id, sha, found (array of start, order, end, kind, sorted)."""
+    """Every path with its findings by the rules' current versions: doc_id, sha, found (array of start, order, end, kind, sorted)."""
     rules = rules or list(RULES)
     rank = F.create_map(*[x for i, r in enumerate(rules) for x in (F.lit(r), F.lit(i))])
-    hits = ledger.filter(F.col("rule").isin(rules) & (F.size("spans") > 0))
+    current = F.create_map(*[x for r in rules for x in (F.lit(r), F.lit(RULES[r][0]))])
+    hits = ledger.filter(F.col("rule").isin(rules) & (F.col("version") == current[F.col("rule")]) & (F.size("spans") > 0))
     hits = hits.select("sha", F.transform("spans", lambda x: F.struct(x["start"].alias("start"), rank[F.col("rule")].alias("rank"), x["end"].alias("end"), F.col("rule").alias("kind"))).alias("part"))
-    hits = hits.groupBy("sha").agg(F.array_sort(F.flatten(F.collect_list("part"))).alias("found"))
+    hits = hits.groupBy("sha").agg(F.array_sort(F.flatten(F.collect_set("part"))).alias("found"))
     none = F.array().cast("array<struct<start:int,rank:int,end:int,kind:string>>")
     return paths.join(hits, "sha", "left").withColumn("found", F.coalesce("found", none))
 

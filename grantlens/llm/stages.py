@@ -13,7 +13,11 @@ LEAST_LANGUAGE_SCORE = 0.3
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a recognised language; lang becomes the predicted one. The model learns from the rows that come in."""
+    """Documents with a recognised language; lang becomes the predicted one. The model learns from the rows that come in.
+
+    A null, empty or letterless text is rejected; so is every text if no row has a language to learn from. Null ids and
+    repeated rows are judged by their texts like any other row.
+    """
     model = langid.fit(docs)
     found = langid.labelled(docs, model)
     kept = found.filter((F.col("lang_pred") != "und") & (F.col("lang_score") >= LEAST_LANGUAGE_SCORE))
@@ -23,7 +27,8 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each component of linked fingerprints: of its rows with the least id, the one with the least text digest.
 
-    Rows get keys of their own first, so rows that share an id, or have none, are told apart by where they link.
+    Rows get keys of their own first, so rows that share an id, or have none, are told apart by where they link. Null
+    and wordless texts are one component, of which one row stays.
     """
     keyed = saved(boxed(docs).withColumn("own_key", F.monotonically_increasing_id()), "keyed")
     found = simhash.near_duplicates(keyed.select(F.col("own_key").alias("doc_id"), F.col("box_text").alias("text"))).select("doc_id", "component_id")
@@ -35,20 +40,26 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with findings replaced by [SECRET]."""
-    paths = secrets.addressed(docs)
-    ledger = saved(secrets.scan(paths), "ledger")
+    """All documents, with findings replaced by [SECRET]; scans only what the ledger lacks.
+
+    A null text stays null, an empty one empty; null ids and repeated rows stay rows, each with its findings replaced.
+    """
+    ledger = secrets.incremental(secrets.addressed(docs))
     hits = secrets.findings(ledger.select("sha").distinct(), ledger)
     return secrets.redacted(docs, hits.select("sha", "found"))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mixture: one row for each pass over a document, with the words that the mix takes in that pass."""
+    """The mixture: one row for each pass over a document, with the words that the mix takes in that pass.
+
+    Null and wordless texts have nothing to take and go; a null source is a source; null ids and repeated rows are
+    documents of their own.
+    """
     return mixing.mixed_documents(docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all sequences."""
+    """The pieces of all sequences. A null or empty text is its end token; null ids and repeated rows are packed as they come."""
     return packing.packed(docs)
 
 

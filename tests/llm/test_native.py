@@ -172,6 +172,47 @@ def test_ledger_scans_only_what_it_lacks(spark):
     assert not set(pairs) & seen
 
 
+def test_a_ledger_on_disk_is_read_and_extended(spark, tmp_path):
+    docs, folder = documents(), f"{tmp_path}/ledger"
+    first = secrets.incremental(secrets.addressed(frame(spark, docs[:12])), folder).count()
+    paths = secrets.addressed(frame(spark, docs))
+    assert first == len(secrets.RULES) * len({t or "" for _, t, _, _ in docs[:12]})
+    whole = secrets.incremental(paths, folder)
+    assert whole.count() == len(secrets.RULES) * len({t or "" for _, t, _, _ in docs})
+    again = secrets.incremental(paths, folder)
+    assert again.count() == whole.count()  # nothing was left to scan
+    assert secrets.scan(paths, again).count() == 0
+    got = {r["doc_id"]: r["spans"] for r in secrets.report(secrets.findings(paths.drop("text"), again)).collect()}
+    assert got[12] == ",".join(plain_spans(docs[11][1]))
+
+
+def test_a_new_version_of_a_rule_is_scanned_and_alone_counts(spark, tmp_path, monkeypatch):
+    docs, folder = [(1, "password=abcdefgh1", "en", "a"), (2, "token: zzzzzzzzzz", "en", "a")], f"{tmp_path}/ledger"
+    paths = secrets.addressed(frame(spark, docs))
+    old = secrets.incremental(paths, folder).count()
+    monkeypatch.setitem(secrets.RULES, "assign", (2, secrets.RULES["assign"][1].replace("|token", ""), 8, 2))
+    ledger = secrets.incremental(paths, folder)
+    assert ledger.count() == old + 2
+    rows = {r["doc_id"]: r for r in secrets.report(secrets.findings(paths.drop("text"), ledger)).collect()}
+    assert (rows[1]["spans"], rows[1]["n_assign"]) == ("assign:0:18", 1)
+    assert (rows[2]["spans"], rows[2]["n_assign"]) == ("", 0)
+
+
+def test_a_ledger_row_that_two_runs_appended_counts_once(spark):
+    paths = secrets.addressed(frame(spark, [(1, "password=abcdefgh1", "en", "a")]))
+    ledger = secrets.scan(paths)
+    rows = secrets.report(secrets.findings(paths.drop("text"), ledger.unionByName(ledger))).collect()
+    assert [(r["spans"], r["n_assign"]) for r in rows] == [("assign:0:18", 1)]
+
+
+def test_a_text_with_very_many_matches(spark):
+    text = "é token=abcdefgh " * 100_000
+    paths = secrets.addressed(frame(spark, [(1, text, "en", "a")]))
+    row = secrets.report(secrets.findings(paths.drop("text"), secrets.scan(paths))).first()
+    assert row["n_assign"] == 100_000
+    assert row["spans"] == ",".join(f"assign:{17 * i + 2}:{17 * i + 16}" for i in range(100_000))
+
+
 def test_redaction(spark):
     docs = frame(spark)
     paths = secrets.addressed(docs)
