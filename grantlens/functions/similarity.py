@@ -34,8 +34,9 @@ def ratio(a: Column, b: Column) -> Column:
     return F.when(total == 0, F.lit(100.0)).otherwise(F.lit(200.0) * lcs(a, b) / total)
 
 
-def sorted_tokens(c: Column) -> Column:
-    return F.array_join(F.array_sort(F.filter(F.split(c, r"\s+"), lambda t: t != "")), " ")
+def sorted_tokens(c: Column, distinct: bool = False) -> Column:
+    found = F.filter(F.split(c, r"\s+"), lambda t: t != "")
+    return F.array_join(F.array_sort(F.array_distinct(found) if distinct else found), " ")
 
 
 def token_sort_ratio(a: Column, b: Column) -> Column:

@@ -13,8 +13,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed, text
+from ..functions.lineage import cut
 from ..functions.numbering import first_rows
-from ..functions.similarity import could_reach, scores
+from ..functions.similarity import scores, sorted_tokens
 
 HOME_CLASSES = ("IPEDS-US", "non-IPEDS-US")
 
@@ -28,7 +29,7 @@ def prepared(dim: DataFrame) -> DataFrame:
         F.when(F.instr("name", "-") > 0, text.norm(F.substring_index("name", "-", 1))).alias("prefix"),
         F.upper(F.coalesce("state", F.lit(""))).alias("up_state"),
         text.norm(F.col("city")).alias("norm_city"),
-        F.upper("name").rlike("|".join(fixed.OFFICE_WORDS)).alias("office"),
+        F.upper("name").rlike(fixed.OFFICES).alias("office"),
         name.contains(fixed.SEAT_WORDS).alias("seat"),
     )
 
@@ -43,29 +44,43 @@ def next_surrogate(dim: DataFrame, prefix: str = "SG") -> DataFrame:
     return dim.agg(F.coalesce(F.max(F.regexp_extract("canonical_id", rf"^{prefix}(\d+)$", 1).try_cast("long")), F.lit(0)).alias("top"))
 
 
-def pick(candidates: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """keys and canonical_id where one candidate stands out; one aggregate, combined before the shuffle.
-
-    candidates: keys, canonical_id (distinct by key), office, seat, up_state, norm_city, q_state, q_city. Offices drop
-    out if others remain. Then: a single one; the only one in the city and state; the only one in the state; the only
-    seat in the state, or anywhere if the state has none.
-    """
-    here = (F.col("q_state") != "") & (F.col("up_state") == F.col("q_state"))
-    near = here & (F.col("q_city") != "") & (F.col("norm_city") == F.col("q_city"))
-    every = F.lit(True)
-    tests = {"any": every, "state": here, "city": near, "seat": F.col("seat"), "state_seat": here & F.col("seat")}
+def _pools(tests: dict[str, Column]) -> list[Column]:
+    """For each test, among members that are no offices and among all: how many pass, and the least id of those."""
     found = []
-    for pool, member in (("real", ~F.col("office")), ("all", every)):
+    for pool, member in (("real", ~F.col("office")), ("all", F.lit(True))):
         for name, test in tests.items():
             found += [F.count_if(member & test).alias(f"{pool}_{name}_n"), F.min(F.when(member & test, F.col("canonical_id"))).alias(f"{pool}_{name}")]
-    agg = candidates.groupBy(*keys).agg(*found)
+    return found
+
 
-    def decided(pool: str) -> Column:
+def _decided() -> Column:
+    """The id that stands out, from _pools() of any, state, city, seat and state_seat; counts that are null are 0."""
+
+    def among(pool: str) -> Column:
         only = lambda test: F.when(F.col(f"{pool}_{test}_n") == 1, F.col(f"{pool}_{test}"))
         seats = F.when(F.col(f"{pool}_state_n") > 0, only("state_seat")).otherwise(only("seat"))
         return F.coalesce(only("any"), only("city"), only("state"), seats)
 
-    return agg.select(*keys, F.when(F.col("real_any_n") > 0, decided("real")).otherwise(decided("all")).alias("canonical_id")).filter("canonical_id IS NOT NULL")
+    return F.when(F.col("real_any_n") > 0, among("real")).otherwise(among("all"))
+
+
+def pick(asked: DataFrame, members: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """asked, with the canonical_id of the member of its keys that stands out; rows without one go.
+
+    Offices drop out if others remain. Then: a single one; the only one in the city and state; the only one in the
+    state; the only seat in the state, or anywhere if the state has none. asked: keys, q_state, q_city. members: keys,
+    canonical_id (distinct by key), office, seat, up_state, norm_city.
+
+    All of that needs counts of a key's members only, by key, state and city. They are taken once, so no row of asked
+    ever meets a key's members one by one, however many share the key.
+    """
+    every, keys = F.lit(True), list(keys)
+    by_key = members.groupBy(*keys).agg(*_pools({"any": every, "seat": F.col("seat")}))
+    placed = members.filter("up_state <> ''")
+    by_state = placed.groupBy(*keys, F.col("up_state").alias("q_state")).agg(*_pools({"state": every, "state_seat": F.col("seat")}))
+    by_city = placed.filter("norm_city <> ''").groupBy(*keys, F.col("up_state").alias("q_state"), F.col("norm_city").alias("q_city")).agg(*_pools({"city": every}))
+    met = asked.join(by_key, keys).join(by_state, [*keys, "q_state"], "left").join(by_city, [*keys, "q_state", "q_city"], "left")
+    return met.withColumn("canonical_id", _decided()).filter("canonical_id IS NOT NULL").select(*asked.columns, "canonical_id")
 
 
 def _rules(rules: DataFrame, extra: dict[str, Column], out: str) -> DataFrame:
@@ -74,9 +89,17 @@ def _rules(rules: DataFrame, extra: dict[str, Column], out: str) -> DataFrame:
     return rows.groupBy(f"k_{out}", *extra).agg(F.min("id").alias(out))
 
 
-def overrides(names: DataFrame, by_state: DataFrame, by_city: DataFrame, by_name: DataFrame, contains: Sequence[tuple[str, Sequence[str], str]] = ()) -> DataFrame:
-    """qid, canonical_id from rule tables, the most specific first: (key, state, id), (key, city, id), (key, id), then
-    (must, excludes, id) in order: the first whose text stands in the name, and none of its exclusions, wins.
+def federation(members: dict[str, Sequence[str]], shared: Sequence[str], ids: dict[str, str]) -> list[tuple[str, str]]:
+    """(key, id) rules for colleges of federations. members: a seat's colleges that no other has; shared: names that others
+    have too, which count only with the seat's name behind them; ids: the federation's id by seat."""
+    alone = [(name, ids[seat]) for seat, names in members.items() for name in names]
+    return alone + [(f"{name} {seat}", ident) for name in shared for seat, ident in ids.items()]
+
+
+def overrides(names: DataFrame, by_state: DataFrame, by_city: DataFrame, by_name: DataFrame, contains: Sequence[tuple[str, Sequence[str], str]] = (), by_member: DataFrame | None = None) -> DataFrame:
+    """qid, canonical_id from rule tables, the most specific first: (key, state, id), (key, city, id), (key, id), by_member
+    (key, id: colleges of a federation), then (must, excludes, id) in order: the first whose text stands in the name, and
+    none of its exclusions, wins.
 
     Rule keys are normalised like names, so a rule can't miss by its spelling. Whether rule tables are broadcast is
     left to their size.
@@ -88,7 +111,11 @@ def overrides(names: DataFrame, by_state: DataFrame, by_city: DataFrame, by_name
     rows = rows.join(a, (F.col("g") == F.col("k_id_state")) & (F.col("s") == F.col("rule_state")), "left")
     rows = rows.join(b, (F.col("g") == F.col("k_id_city")) & (F.col("c") == F.col("rule_city")), "left")
     rows = rows.join(c, F.col("g") == F.col("k_id_name"), "left")
-    return rows.select("qid", F.coalesce("id_state", "id_city", "id_name", contains_rule(F.col("g"), contains)).alias("canonical_id")).filter("canonical_id IS NOT NULL")
+    if by_member is None:
+        rows = rows.withColumn("id_member", F.lit(None).cast("string"))
+    else:
+        rows = rows.join(_rules(by_member, {}, "id_member"), F.col("g") == F.col("k_id_member"), "left")
+    return rows.select("qid", F.coalesce("id_state", "id_city", "id_name", "id_member", contains_rule(F.col("g"), contains)).alias("canonical_id")).filter("canonical_id IS NOT NULL")
 
 
 def contains_rule(c: Column, rules: Sequence[tuple[str, Sequence[str], str]]) -> Column:
@@ -96,12 +123,12 @@ def contains_rule(c: Column, rules: Sequence[tuple[str, Sequence[str], str]]) ->
     return F.coalesce(*[F.when(c.contains(must) & ~text.contains_any(c, excludes), F.lit(id_)) for must, excludes, id_ in rules], F.lit(None).cast("string"))
 
 
-def exact(names: DataFrame, dim: DataFrame, source: str = "exact") -> DataFrame:
+def exact(names: DataFrame, dim: DataFrame) -> DataFrame:
     """qid, canonical_id, tier: by name and state, by name, by prefix, first for the normalised and then for the stripped name.
 
     All six look-ups are one join of probes with an index of keys; the least tier that is decided wins.
     """
-    d = prepared(dim).dropDuplicates(["canonical_id", "norm_name", "up_state"])
+    d = prepared(dim)
     keyed = F.array(
         F.struct(F.lit("ns").alias("kind"), F.concat_ws("|", "norm_name", "up_state").alias("key")),
         F.struct(F.lit("n").alias("kind"), F.col("norm_name").alias("key")),
@@ -120,7 +147,7 @@ def exact(names: DataFrame, dim: DataFrame, source: str = "exact") -> DataFrame:
             F.struct(F.lit(3 * i + 3).alias("tier"), F.lit("p").alias("kind"), F.col(col).alias("key"), F.col(col).alias("q")),
         ]
     asked = q.select("qid", "q_state", "q_city", F.explode(F.array(*probes)).alias("x")).select("qid", "q_state", "q_city", "x.*").filter("q <> ''").drop("q")
-    found = pick(asked.join(index, ["kind", "key"]), ["qid", "tier"])
+    found = pick(asked, index, ["kind", "key"])
     return found.groupBy("qid").agg(F.min_by("canonical_id", "tier").alias("canonical_id"), F.min("tier").alias("tier"))
 
 
@@ -155,13 +182,53 @@ def national(names: DataFrame, dim: DataFrame, floor: float = 93, margin: float
     return fit.select("qid", "q").join(margins(scored, "q", floor, margin), "q")
 
 
+def telling_tokens(c: Column, share: float, common: Sequence[str]) -> Column:
+    """Tokens of a name with more than 1 - share of its letters: what shares at least `share` of the name has one of them.
+
+    Longer tokens come first, frequent ones last, so frequent ones are rarely needed.
+    """
+    frequent = F.array(*[F.lit(t) for t in common]).cast("array<string>")
+    ranked = F.array_sort(F.transform(text.tokens(c), lambda t: F.struct(F.array_contains(frequent, t).alias("frequent"), (-F.length(t)).alias("size"), t.alias("t"))))
+    start = F.struct(F.lit(0).alias("letters"), F.array().cast("array<string>").alias("taken"))
+    enough = (1 - share) * F.length(c)
+
+    def step(acc: Column, x: Column) -> Column:
+        more = acc["letters"] <= enough
+        return F.struct((acc["letters"] - x["size"]).alias("letters"), F.when(more, F.concat(acc["taken"], F.array(x["t"]))).otherwise(acc["taken"]).alias("taken"))
+
+    return F.aggregate(ranked, start, step, lambda acc: acc["taken"])
+
+
+def state_pairs(queries: DataFrame, entries: DataFrame, kind: str, floor: float, common: Sequence[str] = fixed.COMMON_TOKENS) -> DataFrame:
+    """q, q_state, n: the distinct pairs of a state that may reach the floor. queries: q, q_state; entries: n, q_state.
+
+    A plain or token-sort ratio needs lengths that are near enough, so names meet on state and length. A token-set ratio
+    also reaches the floor where one name's tokens are nearly all in the other, so names meet on the telling tokens of
+    either as well. No state's names are paired with all of its entries.
+    """
+    share = floor / (200 - floor)  # of the longer text that the shorter one has at least
+    a = queries.select("q", "q_state").distinct()
+    b = entries.select("n", "q_state").distinct()
+    if kind == "token_set":
+        a, b = a.withColumn("a_size", F.length(sorted_tokens(F.col("q"), True))), b.withColumn("size", F.length(sorted_tokens(F.col("n"), True)))
+    else:
+        a, b = a.withColumn("a_size", F.length("q")), b.withColumn("size", F.length("n"))
+    lengths = F.sequence(F.ceil(F.col("a_size") * share - 1e-6).cast("int"), F.floor(F.col("a_size") / share + 1e-6).cast("int"))
+    pairs = a.withColumn("size", F.explode(lengths)).join(b, ["q_state", "size"]).select("q", "q_state", "n")
+    if kind != "token_set":
+        return pairs
+    tokens = lambda df, c, found: df.select(c, "q_state", F.explode(found).alias("t"))
+    for mine, theirs in ((telling_tokens, lambda c, *_: text.tokens(c)), (lambda c, *_: text.tokens(c), telling_tokens)):
+        met = tokens(a, "q", mine(F.col("q"), share, common)).join(tokens(b, "n", theirs(F.col("n"), share, common)), ["q_state", "t"])
+        pairs = pairs.unionByName(met.select("q", "q_state", "n"))
+    return pairs.distinct()
+
+
 def in_state(names: DataFrame, dim: DataFrame, kind: str, floor: float, margin: float, least: int = 6) -> DataFrame:
     """qid with margins() columns, by similarity to names in the same state. names: qid, q, q_state."""
     d = prepared(dim).select(F.col("up_state").alias("q_state"), F.col("norm_name").alias("n"), "canonical_id").distinct()
     fit = names.filter((F.length("q") >= least) & (F.col("q_state") != ""))
-    pairs = fit.select("q", "q_state").distinct().join(d.select("q_state", "n").distinct(), "q_state")
-    if kind != "token_set":
-        pairs = pairs.filter(could_reach(F.col("q"), F.col("n"), floor))
+    pairs = state_pairs(fit, d, kind, floor)
     pairs = pairs.withColumn("score", scores(kind)("q", "n")).filter(F.col("score") >= floor)
     scored = pairs.join(d, ["q_state", "n"]).withColumn("key", F.concat_ws("\x01", "q", "q_state"))
     return fit.withColumn("key", F.concat_ws("\x01", "q", "q_state")).join(margins(scored, "key", floor, margin), "key").drop("key")
@@ -172,18 +239,17 @@ def has_similar(names: DataFrame, dim: DataFrame, floor: float = 85) -> DataFram
     return in_state(names, dim, "token_set", floor, 0, least=0).select("qid").distinct()
 
 
-def cascade(names: DataFrame, dim: DataFrame, rules: dict[str, DataFrame] | None = None, save=None) -> DataFrame:
+def cascade(names: DataFrame, dim: DataFrame, rules: dict[str, DataFrame] | None = None, save=cut) -> DataFrame:
     """qid, canonical_id, decision_source; each tier sees only what the ones before left open.
 
-    save: cuts lineage between tiers (a function of a DataFrame), for plans over large inputs.
+    save: cuts lineage between tiers (a function of a DataFrame), so that no tier is computed twice.
     """
-    save = save or (lambda df: df)
     out = []
     left = names
 
-    def settle(found: DataFrame, source: str) -> None:
+    def settle(found: DataFrame, tier: str) -> None:
         nonlocal left
-        found = save(found.select("qid", "canonical_id", F.lit(source).alias("decision_source")))
+        found = save(found.select("qid", "canonical_id", F.lit(tier).alias("decision_source")))
         out.append(found)
         left = left.join(found.select("qid"), "qid", "left_anti")
 

@@ -1,5 +1,6 @@
 """Operators on small tables: text, similarity, matching, minting, sources, sinks, streams."""
 
+import random
 import zlib
 
 import pytest
@@ -195,3 +196,15 @@ def test_flagship(spark, small):
     df = registry.flagship(spark, small)
     assert df.columns == ["canonical_id", "year", "n", "total"]
     assert df.count() > 0
+
+
+@pytest.mark.parametrize(("kind", "floor"), [("token_sort", 92), ("token_set", 85), ("token_set", 95), ("ratio", 80)])
+def test_pairs_of_a_state_lose_none_that_reaches_the_floor(spark, kind, floor):
+    rng = random.Random(floor)
+    words = ["UNIVERSITY", "COLLEGE", "OF", "STATE", "ALPHA", "ALPHAS", "BETA", "GAMMA", "DELTA", "NORTHERN", "NORTHEN", "A", "TEXAS", "MINING"]
+    name = lambda: " ".join(rng.choice(words) for _ in range(rng.randint(1, 6)))
+    q, n = [(name(), rng.choice("XY")) for _ in range(150)], [(name(), rng.choice("XY")) for _ in range(150)]
+    got = {tuple(r) for r in matching.state_pairs(spark.createDataFrame(q, "q string, q_state string"), spark.createDataFrame(n, "n string, q_state string"), kind, floor).collect()}
+    want = {(a, s, b) for a, s in q for b, z in n if s == z and similarity.SCORERS[kind](a, b) >= floor}
+    assert want <= got
+    assert want
