@@ -11,8 +11,7 @@ VERDICTS = "array<struct<id:int,type:string,name:string,country:string>>"
 
 
 def _synonyms() -> Column:
-    pairs = [(word, label) for label, words in fixed.LABEL_SYNONYMS.items() for word in words.split()]
-    return F.create_map(*[F.lit(x) for p in pairs for x in p])
+    return F.create_map(*[F.lit(x) for p in fixed.LABEL_SYNONYMS.items() for x in p])
 
 
 def label_set(raw: Column) -> Column:

@@ -8,8 +8,12 @@ from pyspark.sql import DataFrame
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """df as a reliable checkpoint in the folder of spark.checkpoint.dir; a folder of our own only where none is named."""
+    """df as a reliable checkpoint in the folder of spark.checkpoint.dir. Where none is named, a local run gets a temporary
+    folder; on a cluster that would be no shared place."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="grantlens-"))
+        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not named and sc.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="grantlens-"))
     return df.checkpoint()

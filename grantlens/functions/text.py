@@ -22,7 +22,7 @@ def norm(c: Column) -> Column:
 
 
 def noise_pattern(phrases: Sequence[str]) -> str:
-    return r"\b(" + "|".join(p.replace(" (OF)", r"(?:\s+OF)?") for p in phrases) + r")\b"
+    return r"\b(" + "|".join(phrases) + r")\b"
 
 
 def strip_wrappers(c: Column, abbreviations: Sequence[tuple[str, str]] = fixed.ABBREVIATIONS, noise: Sequence[str] = fixed.NOISE) -> Column:

@@ -33,9 +33,14 @@ def disposition_pivot(rows: DataFrame, by: str, column: str, values: Sequence[st
     return rows.groupBy(by).agg(*[F.count_if(F.col(column) == v).alias(f"n_{v.lower()}") for v in values])
 
 
-def accuracy(rows: DataFrame, source: str, correct: Column) -> DataFrame:
-    """source, n, accuracy."""
-    return rows.groupBy(source).agg(F.count("*").alias("n"), F.avg(correct.cast("double")).alias("accuracy"))
+def counters(rows: DataFrame, tests: dict[str, Column]) -> DataFrame:
+    """One row: how many rows pass each test, and all; one aggregate, combined before the shuffle."""
+    return rows.agg(F.count("*").alias("recorded"), *[F.count_if(F.coalesce(test, F.lit(False))).alias(name) for name, test in tests.items()])
+
+
+def accuracy(rows: DataFrame, by: str, correct: Column) -> DataFrame:
+    """by, n, accuracy."""
+    return rows.groupBy(by).agg(F.count("*").alias("n"), F.avg(correct.cast("double")).alias("accuracy"))
 
 
 def coverage_gaps(expected: DataFrame, log: DataFrame, key: str) -> DataFrame:

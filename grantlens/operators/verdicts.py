@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed, text
 from ..functions.numbering import numbered
-from ..functions.similarity import scores
+from ..functions.similarity import could_reach, scores
+from .matching import token_pairs
 
 
-def foreign_signal(country: Column, state: Column, code: Column, home: Sequence[str] = ("", "US", "USA", "United States"), states: Sequence[str] = fixed.STATES) -> Column:
+def foreign_signal(country: Column, state: Column, code: Column, home: Sequence[str] = tuple(fixed.HOME_COUNTRIES), states: Sequence[str] = fixed.STATES) -> Column:
     """Whether an address points abroad: a country that isn't home, a state of two letters or more that isn't one, or a postal code of another shape."""
     country, state, code = (F.coalesce(c, F.lit("")) for c in (country, state, code))
     return ~country.isin(*home) | ((F.length(state) >= 2) & ~F.upper(state).isin(*states)) | ((code != "") & ~code.rlike(fixed.ZIP_PATTERN))
@@ -24,10 +25,9 @@ def territory_name(state: Column, foreign: Column) -> Column:
     return F.when(foreign, "").otherwise(F.coalesce(F.try_element_at(names, F.upper(state)), state))
 
 
-def heavy_rename(raw: Column, proposed: Column, floor: float = 55, subunits: Sequence[str] = fixed.SUBUNIT_WORDS) -> Column:
+def heavy_rename(raw: Column, proposed: Column, floor: float = 55, subunits: str = fixed.SUBUNITS) -> Column:
     """Whether a proposed name has little left of the raw one, and the raw one names no part of an institution."""
-    pattern = r"\b(" + "|".join(subunits) + r")\b"
-    return (scores("ratio")(text.norm(text.strip_wrappers(raw)), text.norm(proposed)) < floor) & ~text.norm(raw).rlike(pattern)
+    return (scores("ratio")(text.norm(text.strip_wrappers(raw)), text.norm(proposed)) < floor) & ~text.norm(raw).rlike(subunits)
 
 
 def no_shared_token(raw: Column, proposed: Column) -> Column:
@@ -99,6 +99,17 @@ def longest_anchor(texts: DataFrame, key: str, column: str, anchors: DataFrame)
     return met.groupBy(key).agg(F.min_by("anchor", F.struct(-F.length("anchor"), F.col("anchor"))).alias("anchor"))
 
 
+def snapped(names: DataFrame, anchors: DataFrame, floor: float = 90) -> DataFrame:
+    """q, anchor, score: the nearest anchor of each name by ratio, the least of equals, if it is near enough.
+
+    Names and anchors meet on a shared word, so a name that shares none has no anchor; a distinct pair is scored once.
+    """
+    pairs = token_pairs(names, anchors.select(F.col("anchor").alias("n")), common=())
+    near = pairs.filter(could_reach(F.col("q"), F.col("n"), floor)).withColumn("score", scores("ratio")("q", "n")).filter(F.col("score") >= floor)
+    best = near.groupBy("q").agg(F.min(F.struct((-F.col("score")).alias("away"), F.col("n").alias("anchor"))).alias("best"))
+    return best.select("q", "best.anchor", (-F.col("best.away")).alias("score"))
+
+
 def pattern_queue(rows: DataFrame, pattern: Column, amount: str) -> DataFrame:
     """pattern, n, total: the review queue by recurring pattern, the largest first."""
     return rows.groupBy(pattern.alias("pattern")).agg(F.count("*").alias("n"), F.sum(amount).alias("total")).orderBy(F.desc("n"), F.desc("total"), "pattern")

@@ -32,11 +32,14 @@ def sql_norm(c: str) -> str:
 
 
 def sql_strip(c: str, abbreviations, noise) -> str:
-    out = sql_norm(c)
+    """strip_wrappers() in DuckDB, whose word bounds are ASCII: after sql_norm a word ends at a space, and with two between
+    words each has bounds of its own."""
+    out = f"' ' || replace({sql_norm(c)}, ' ', '  ') || ' '"
+    wide = lambda p: p.replace(" ", "  ")
     for short, full in abbreviations:
-        out = f"regexp_replace({out}, '\\b{short}\\b', '{full}', 'g')"
-    words = "|".join(p.replace(" (OF)", "(?:\\s+OF)?") for p in noise)
-    return f"trim(regexp_replace(regexp_replace({out}, '\\b({words})\\b', ' ', 'g'), '\\s+', ' ', 'g'))"
+        out = f"regexp_replace({out}, ' {wide(short)} ', ' {wide(full)} ', 'g')"
+    words = "|".join(wide(p) for p in noise)
+    return f"trim(regexp_replace(regexp_replace({out}, ' ({words}) ', ' ', 'g'), '\\s+', ' ', 'g'))"
 
 
 def sql_lcs(a: str, b: str) -> str:

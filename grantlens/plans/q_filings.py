@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import text
 from ..operators import dedupe
 from ..sources import index, returns
+from . import stages
 from .common import registry, table
 
 QUERIES, query = registry()
@@ -54,9 +55,13 @@ def cap_per_type(spark, sf_dir):
     return index.capped(table(spark, sf_dir, "events"), "event_type", "event_id", 25).select("event_type", "event_id")
 
 
-@query(None)
+#: CRC-32 bit by bit, as DuckDB has no crc32.
+SQL_CRC = "xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split({c}, ''), lambda ch: ascii(ch)::BIGINT)), lambda acc, b: list_reduce(list_concat([xor(acc, b)], range(8)), lambda x, i: CASE WHEN (x & 1) = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END)), 4294967295::BIGINT)"
+
+
+@query(f"SELECT doc_id, ({SQL_CRC.format(c='doc_id::VARCHAR')} % 16)::BIGINT AS shard FROM documents")
 def crc_shard(spark, sf_dir):
-    """CRC-32 shards; DuckDB has no crc32, so tests hold this against zlib."""
+    """Shards by CRC-32 of an id."""
     return table(spark, sf_dir, "documents").select("doc_id", text.shard(F.col("doc_id").cast("string"), 16).alias("shard"))
 
 
@@ -102,14 +107,14 @@ def latest_filing_grants(spark, sf_dir):
     return dedupe.latest_filing_grants(line_grants(spark, sf_dir), "o_custkey", "y", "xml_file").drop("tie")
 
 
-@query("""WITH s AS (SELECT event_id, event_type, value, event_id % 3 AS shard FROM events WHERE event_id % 3 < 2), m AS (SELECT event_id, event_type, value FROM events WHERE user_id % 4 = 0)
+@query("""WITH s AS (SELECT event_id, event_type, value, event_id % 3 AS shard FROM events), m AS (SELECT event_id, event_type, value FROM events WHERE user_id % 4 = 0)
 SELECT event_id, event_type, round(value, 6) AS value FROM m UNION ALL SELECT event_id, event_type, round(value + (shard + 1), 6) FROM s WHERE event_id NOT IN (SELECT event_id FROM m)""")
 def shard_merge(spark, sf_dir):
     """Shards of a log, one repeated, merged into a master."""
     e = table(spark, sf_dir, "events").select("event_id", "event_type", "value", "user_id")
     master = e.filter("user_id % 4 = 0").select("event_id", "event_type", "value", F.lit(0).alias("pos"))
     shard = lambda n, pos: e.filter(f"event_id % 3 = {n}").select("event_id", "event_type", (F.col("value") + (n + 1)).alias("value"), F.lit(pos).alias("pos"))
-    return dedupe.merge_shards(master, [shard(0, 1), shard(1, 2), shard(1, 3)], "event_id", "pos").select("event_id", "event_type", F.round("value", 6).alias("value"))
+    return dedupe.merge_shards(master, [shard(0, 1), shard(1, 2), shard(1, 3), shard(2, 4)], "event_id", "pos").select("event_id", "event_type", F.round("value", 6).alias("value"))
 
 
 @query("SELECT s_suppkey, CASE WHEN s_nationkey % 5 = 0 THEN 'changed' ELSE s_name END AS s_name FROM supplier UNION ALL SELECT s_suppkey + 1000000, 'new' FROM supplier WHERE s_nationkey % 5 = 0")
@@ -141,6 +146,7 @@ def customer_returns(spark: SparkSession, sf_dir: str, variants: bool = False, b
     inner = F.concat(
         tag("RecipientBusinessName", "RecipientNameBusiness", tag("BusinessNameLine1Txt", "BusinessNameLine1", part)),
         F.when(F.col("l_suppkey") % 3 == 0, F.concat(F.lit("<USAddress>"), tag("CityNm", "City", F.col("l_suppkey").cast("string")), F.lit("<ZIPCd>01234</ZIPCd></USAddress>"))).when(F.col("l_suppkey") % 3 == 1, F.concat(F.lit("<ForeignAddress><CountryCd>"), F.col("l_returnflag"), F.lit("</CountryCd></ForeignAddress>"))).otherwise(""),
+        tag("RecipientEIN", "EINOfRecipient", F.lpad(F.col("l_suppkey").cast("string"), 9, "0")),
         tag("Amt", "AmountOfCashGrant", F.col("l_quantity").cast("decimal(12,2)").cast("string")),
         tag("PurposeOfGrantTxt", "PurposeOfGrant", F.col("l_linestatus")),
     )
@@ -154,10 +160,10 @@ def customer_returns(spark: SparkSession, sf_dir: str, variants: bool = False, b
     return o.select(F.concat(F.lit("/x/"), F.col("o_orderkey").cast("string"), F.lit("_public.xml")).alias("path"), value.alias("value"))
 
 
-XML_SQL = """SELECT o_orderkey || '_public.xml' AS xml_file, 'Filer ' || o_custkey AS filer_name, lpad(o_custkey::VARCHAR, 9, '0') AS filer_ein, year(o_orderdate)::VARCHAR AS return_year, o_orderstatus = 'F' AS filer_support_org, 'Part & ' || lpad(l_partkey::VARCHAR, 9, '0') AS grantee,
+XML_SQL = """SELECT o_orderkey || '_public.xml' AS xml_file, 'Filer ' || o_custkey AS filer_name, lpad(o_custkey::VARCHAR, 9, '0') AS filer_ein, year(o_orderdate)::VARCHAR AS return_year, o_orderstatus = 'F' AS filer_support_org, 'Part & ' || lpad(l_partkey::VARCHAR, 9, '0') AS grantee, lpad(l_suppkey::VARCHAR, 9, '0') AS recipient_ein,
  CASE WHEN l_suppkey % 3 = 0 THEN l_suppkey::VARCHAR ELSE '' END AS grantee_city, CASE WHEN l_suppkey % 3 = 0 THEN '01234' ELSE '' END AS grantee_zip, CASE l_suppkey % 3 WHEN 0 THEN 'US' WHEN 1 THEN l_returnflag ELSE '' END AS grantee_country, CASE l_suppkey % 3 WHEN 0 THEN 'US' WHEN 1 THEN 'Foreign' ELSE '' END AS grantee_addr_type,
  l_quantity::DECIMAL(12,2)::VARCHAR AS grant_amount, l_linestatus AS grant_purpose FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
-XML_COLUMNS = ["xml_file", "filer_name", "filer_ein", "return_year", "filer_support_org", "grantee", "grantee_city", "grantee_zip", "grantee_country", "grantee_addr_type", "grant_amount", "grant_purpose"]
+XML_COLUMNS = ["xml_file", "filer_name", "filer_ein", "return_year", "filer_support_org", "grantee", "recipient_ein", "grantee_city", "grantee_zip", "grantee_country", "grantee_addr_type", "grant_amount", "grant_purpose"]
 
 
 @query(XML_SQL)
@@ -172,9 +178,60 @@ def xml_variants(spark, sf_dir):
     return returns.grants(returns.filings(customer_returns(spark, sf_dir, variants=True))).select(*XML_COLUMNS)
 
 
-@query("SELECT o_orderkey || '_public.xml' AS xml_file, CASE WHEN o_orderkey % 7 = 0 THEN 'malformed' ELSE 'ok' END AS status, CASE WHEN o_orderkey % 7 = 0 THEN '0001-01-01 00:00:00' ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS return_ts FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)")
+@query("SELECT o_orderkey || '_public.xml' AS xml_file, CASE WHEN o_orderkey % 7 = 0 THEN 'malformed' ELSE 'ok' END AS status, CASE WHEN o_orderkey % 7 = 0 THEN '0001-01-01 00:00:00' ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS return_ts, o_orderkey::VARCHAR AS submission_id FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)")
 def xml_malformed_skipped(spark, sf_dir):
-    return returns.filings(customer_returns(spark, sf_dir, broken=True)).select("xml_file", "status", F.date_format("return_ts", "yyyy-MM-dd HH:mm:ss").alias("return_ts"))
+    return returns.filings(customer_returns(spark, sf_dir, broken=True)).select("xml_file", "status", F.date_format("return_ts", "yyyy-MM-dd HH:mm:ss").alias("return_ts"), "submission_id")
+
+
+@query(XML_SQL + " WHERE o_orderstatus <> 'F'")
+def xml_unflagged(spark, sf_dir):
+    """Returns of flagged filers left out instead of marked."""
+    return returns.grants(returns.filings(customer_returns(spark, sf_dir)), keep_flagged=False).select(*XML_COLUMNS)
+
+
+@query("""WITH r AS (SELECT o_orderkey, o_orderstatus, o_orderkey % 7 = 0 AS bad, EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_quantity >= 45) AS bearing FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem))
+SELECT count(*) AS recorded, count(*) FILTER (NOT bad AND bearing) AS kept, count(*) FILTER (NOT bad AND NOT bearing) AS deleted, count(*) FILTER (bad) AS failed, count(*) FILTER (o_orderstatus = 'F') AS supporting_org FROM r""")
+def run_counters(spark, sf_dir):
+    """What became of each return of a run."""
+    files = returns.filings(customer_returns(spark, sf_dir, broken=True))
+    bearing = returns.grants(files).filter(F.col("grant_amount").cast("double") >= 45).select(F.col("xml_file").alias("k")).distinct()
+    log = files.join(bearing, F.col("xml_file") == F.col("k"), "left").withColumn("grant_bearing", F.col("k").isNotNull())
+    return stages.run_counters(log)
+
+
+@query("""SELECT o_orderkey || '_public.xml' AS xml_file FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem) AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')
+AND (o_custkey, year(o_orderdate)) NOT IN (SELECT (o_custkey, year(o_orderdate)) FROM orders WHERE o_orderpriority = '1-URGENT')""")
+def exclusions_and_prior(spark, sf_dir):
+    """Filings without excluded filers (a segment's customers) and without filer-years emitted before (those with an urgent order)."""
+    ein = lambda c: F.lpad(F.col(c).cast("string"), 9, "0")
+    gone = table(spark, sf_dir, "customer").filter("c_mktsegment = 'BUILDING'").select(ein("c_custkey").alias("filer_ein"))
+    prior = table(spark, sf_dir, "orders").filter("o_orderpriority = '1-URGENT'").select(ein("o_custkey").alias("filer_ein"), F.year("o_orderdate").cast("string").alias("return_year"))
+    return stages.wanted(returns.filings(customer_returns(spark, sf_dir)), prior, gone).select("xml_file")
+
+
+@query("""SELECT '/x/' || o_orderkey || '_public.xml' AS path, CASE WHEN o_orderstatus = 'F' THEN '990PF' ELSE '990' END AS form_type FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem) AND o_orderstatus <> 'P'""")
+def manifest_scan(spark, sf_dir):
+    """Only returns that a manifest lists; some that it lists are gone."""
+    o = table(spark, sf_dir, "orders").filter("o_orderstatus <> 'P'")
+    manifest = o.select(F.concat(F.lit("/x/"), F.col("o_orderkey").cast("string"), F.lit("_public.xml")).alias("xml_path"), F.when(F.col("o_orderstatus") == "F", "990PF").otherwise("990").alias("form_type"))
+    gone = manifest.select(F.concat("xml_path", F.lit(".gone")).alias("xml_path"), "form_type")
+    return returns.listed(customer_returns(spark, sf_dir), manifest.unionByName(gone)).select("path", "form_type")
+
+
+@query("""WITH f AS (SELECT 'index_' || strftime(ts, '%Y-%m-%d') || '_' || event_id || '.csv' AS key, ts FROM events) SELECT 'key' AS mode, '/base/named.csv' AS path UNION ALL SELECT 'latest', '/base/' || arg_max(key, (regexp_extract(key, '\\d{4}-\\d{2}-\\d{2}'), ts)) FROM f""")
+def index_resolution(spark, sf_dir):
+    """The index by a named key, and the latest one where none is named; a named file is covered by a test."""
+    key = F.concat(F.lit("index_"), F.date_format("ts", "yyyy-MM-dd"), F.lit("_"), F.col("event_id").cast("string"), F.lit(".csv"))
+    files = table(spark, sf_dir, "events").select(key.alias("key"), F.col("ts").alias("modified"))
+    return spark.createDataFrame([("key", index.resolve(files, "/base/", index_key="named.csv")), ("latest", index.resolve(files, "/base"))], "mode string, path string")
+
+
+@query("""SELECT p_partkey, lower(p_name || CASE WHEN p_size % 2 = 0 THEN ' Foundation' ELSE '' END || ' ' || p_brand || ' ' || p_type) AS grantee_match, p_size % 2 = 0 AS grantee_support_org FROM part""")
+def grantee_flags(spark, sf_dir):
+    """The text that searches run on, and the flag of supporting organisations."""
+    name = F.concat("p_name", F.when(F.col("p_size") % 2 == 0, " Foundation").otherwise(""))
+    rows = table(spark, sf_dir, "part").select("p_partkey", name.alias("grantee"), F.col("p_brand").alias("grantee_addr1"), F.col("p_type").alias("grantee_addr2"))
+    return stages.with_match_columns(rows).select("p_partkey", "grantee_match", "grantee_support_org")
 
 
 @query("""SELECT c_custkey, CASE WHEN r_name = 'AMERICA' THEN n_name WHEN c_custkey % 2 = 0 THEN 'P' || n_nationkey ELSE '' END AS state, CASE WHEN r_name = 'AMERICA' THEN 'US' WHEN c_custkey % 2 = 0 THEN r_name ELSE '' END AS country, CASE WHEN r_name = 'AMERICA' THEN 'US' WHEN c_custkey % 2 = 0 THEN 'Foreign' ELSE '' END AS type

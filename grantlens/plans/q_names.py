@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 from ..functions import fixed, similarity, text
 from ..functions.lineage import cut
 from ..operators import grams, matching, reporting, verdicts
+from . import stages
 from .common import registry, sql_lcs, sql_norm, sql_strip, table
 
 QUERIES, query = registry()
 
 # ---- what the queries are shown on ----------------------------------------------------------------------------
-NOISE = ["THE", "OF", "TO", "AND (OF)", "DE LA"]
+NOISE = ["THE", "OF", "TO", r"AND(?:\s+OF)?", "DE LA"]
 
 
 def strip_sql(c: str) -> str:
@@ -67,9 +68,8 @@ def norm_text(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", text.norm(F.col("text")).alias("norm"))
 
 
-@query("SELECT doc_id, " + sql_strip("text", fixed.ABBREVIATIONS, NOISE) + " AS stripped FROM documents WHERE NOT regexp_matches(text, '[^\\x00-\\x7F]') UNION ALL SELECT doc_id, " + sql_norm("text") + " FROM documents WHERE regexp_matches(text, '[^\\x00-\\x7F]')")
+@query("SELECT doc_id, " + sql_strip("text", fixed.ABBREVIATIONS, NOISE) + " AS stripped FROM documents")
 def strip_wrappers_text(spark, sf_dir):
-    """Wrappers go from all texts. The SQL strips ASCII texts only (DuckDB's word bounds are ASCII), so it differs on others."""
     return table(spark, sf_dir, "documents").select("doc_id", text.strip_wrappers(F.col("text"), noise=NOISE).alias("stripped"))
 
 
@@ -99,6 +99,20 @@ def override_coalesce(spark, sf_dir):
     return matching.overrides(names, by_state, by_city, by_name, [("HOLD", ["XX"], "C1"), ("HOUSE", [], "C2")])
 
 
+COLLEGES = ({"SEAT ONE": ["BUILDING COLLEGE", "MACHINERY COLLEGE"], "SEAT TWO": ["AUTOMOBILE COLLEGE"]}, ["FURNITURE COLLEGE"], {"SEAT ONE": "F1", "SEAT TWO": "F2"})
+
+
+@query("""WITH q AS (SELECT c_custkey AS qid, c_mktsegment AS g, c_custkey % 3 AS k FROM customer)
+SELECT qid, CASE WHEN g = 'BUILDING' AND k = 0 THEN 'N1' WHEN g IN ('BUILDING', 'MACHINERY') AND k = 0 THEN 'F1' WHEN g = 'AUTOMOBILE' AND k = 0 THEN 'F2' WHEN g = 'FURNITURE' AND k = 1 THEN 'F1' WHEN g = 'FURNITURE' AND k = 2 THEN 'F2' ELSE 'C1' END AS canonical_id FROM q""")
+def federation_members(spark, sf_dir):
+    """Colleges of federations: after rules by name, before rules by parts of names; shared names count with their seat only."""
+    seat = F.when(F.col("c_custkey") % 3 == 1, " Seat One").when(F.col("c_custkey") % 3 == 2, " Seat Two").otherwise("")
+    names = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("qid"), F.concat(F.lit("The "), F.initcap("c_mktsegment"), F.lit(" College"), seat).alias("name"), F.lit("").alias("state"), F.lit("").alias("city"))
+    none = spark.createDataFrame([], "key string, state string, city string, id string")
+    by_name = spark.createDataFrame([("Building College", "N1")], "key string, id string")
+    return matching.overrides(names, none.drop("city"), none.drop("state"), by_name, [("COLLEGE", [], "C1")], spark.createDataFrame(matching.federation(*COLLEGES), "key string, id string"))
+
+
 @query("SELECT p_partkey, CASE WHEN p_name LIKE '%ring%' AND p_name NOT LIKE '%red%' AND p_name NOT LIKE '%old%' THEN 'A' WHEN p_name LIKE '%ed w%' THEN 'B' WHEN p_name LIKE '%red%' THEN 'C' END AS rule FROM part")
 def contains_rules(spark, sf_dir):
     rules = [("ring", ["red", "old"], "A"), ("ed w", [], "B"), ("red", [], "C")]
@@ -129,7 +143,7 @@ def pick_cascade(spark, sf_dir):
     part = table(spark, sf_dir, "part")
     info = matching.prepared(dimension(spark, sf_dir)).join(part.select(F.col("p_partkey").alias("pos"), F.col("p_name").alias("shared")), "pos").drop("pos")
     q = part.select(F.col("p_partkey").alias("qid"), F.col("p_name").alias("shared"), F.upper("p_brand").alias("q_state"), F.concat(F.lit("C"), F.col("p_size").cast("string")).alias("q_city"))
-    return matching.pick(q.join(info, "shared"), ["qid"])
+    return matching.pick(q, info, ["shared"]).select("qid", "canonical_id")
 
 
 # ---- similarity -----------------------------------------------------------------------------------------------
@@ -275,6 +289,24 @@ def reconcile_guesses(spark, sf_dir):
     return rows.select("q", verdicts.reconcile(F.col("rule"), F.col("n"), F.col("cosine"), 0.5, F.length("rule") < 10).alias("decision"))
 
 
+@query(f"WITH {TYPOS}, anchors AS (SELECT DISTINCT upper(p_name) AS n FROM part), pairs AS (SELECT DISTINCT t.q, a.n FROM typos t JOIN anchors a ON len(list_intersect(string_split(t.q, ' '), string_split(a.n, ' '))) > 0), scored AS (SELECT q, n, {sql_ratio('q', 'n')} AS score FROM pairs) SELECT q, arg_min(n, (-score, n)) AS anchor, round(max(score), 6) AS score FROM scored WHERE score >= 85 GROUP BY q")
+def snap_to_anchor(spark, sf_dir):
+    """Typos snapped to the names that they come from."""
+    anchors = table(spark, sf_dir, "part").select(F.upper("p_name").alias("anchor")).distinct()
+    return verdicts.snapped(typo_names(spark, sf_dir).select("q").distinct(), anchors, 85).withColumn("score", F.round("score", 6))
+
+
+@query("""WITH q AS (SELECT DISTINCT c_mktsegment AS s, c_custkey % 4 AS k FROM customer) SELECT s || k AS qid, CASE WHEN k IN (0, 1) AND s IN ('BUILDING', 'MACHINERY') THEN s END AS known_id FROM q WHERE k IN (0, 1) AND s IN ('BUILDING', 'MACHINERY')""")
+def known_abroad(spark, sf_dir):
+    """Names from verdicts found under their formal name, as they are or without "The"; others not."""
+    key = F.col("k")
+    said = table(spark, sf_dir, "customer").select("c_mktsegment", (F.col("c_custkey") % 4).alias("k")).distinct()
+    name = F.when(key == 0, F.initcap("c_mktsegment")).when(key == 1, F.concat(F.lit("The "), F.initcap("c_mktsegment"))).otherwise(F.concat(F.initcap("c_mktsegment"), F.lit(" Works")))
+    said = said.select(F.concat("c_mktsegment", key.cast("string")).alias("qid"), name.alias("v_name"))
+    known = spark.createDataFrame([(f"{s} FOREIGN", s) for s in ("BUILDING", "MACHINERY")], "n string, known_id string")
+    return stages.known_abroad(said, known)
+
+
 WATERFALL = [("^(red|blue)", "US", "", 0.95, "colour"), ("rod$", "NA", "NA", 0.9, "na_trigger"), ("^old", "foreign", "", 0.8, "foreign_word"), ("gizmo", "NCI", "NCI", 1.0, "hard_nci")]
 
 
@@ -295,19 +327,19 @@ def rename_guard(spark, sf_dir):
     return rows.select("raw", "proposed", verdicts.heavy_rename(F.col("raw"), F.col("proposed")).alias("heavy"), verdicts.no_shared_token(F.col("raw"), F.col("proposed")).alias("unshared"))
 
 
-@query("""WITH c AS (SELECT c_custkey, CASE WHEN n_regionkey = 1 THEN 'US' WHEN c_nationkey % 3 = 0 THEN 'United States' ELSE n_name END AS country, CASE c_custkey % 4 WHEN 0 THEN 'TX' WHEN 1 THEN 'PR' WHEN 2 THEN 'ON' ELSE '' END AS state,
+@query("""WITH c AS (SELECT c_custkey, CASE WHEN n_regionkey = 1 THEN 'US' WHEN c_nationkey % 3 = 0 THEN 'United States' WHEN c_custkey % 11 = 0 THEN 'Puerto Rico' WHEN c_custkey % 11 = 1 THEN 'Guam' ELSE n_name END AS country, CASE c_custkey % 4 WHEN 0 THEN 'TX' WHEN 1 THEN 'PR' WHEN 2 THEN 'ON' ELSE '' END AS state,
   CASE WHEN c_custkey % 5 = 0 THEN 'K1A 0B1' WHEN c_custkey % 5 = 1 THEN '' ELSE lpad((c_custkey % 100000)::VARCHAR, 5, '0') END AS zip FROM customer JOIN nation ON c_nationkey = n_nationkey)
-SELECT c_custkey, country NOT IN ('', 'US', 'USA', 'United States') OR state = 'ON' OR (zip <> '' AND NOT regexp_matches(zip, '^[0-9]{5}(-[0-9]{4})?$')) AS intended, country NOT IN ('', 'United States') OR state = 'ON' OR (zip <> '' AND NOT regexp_matches(zip, '^[0-9]{5}(-[0-9]{4})?$')) AS literal,
-  CASE WHEN country NOT IN ('', 'US', 'USA', 'United States') THEN '' WHEN state = 'PR' THEN 'Puerto Rico' ELSE state END AS territory FROM c""")
+SELECT c_custkey, country NOT IN ('', 'US', 'USA', 'United States', 'Puerto Rico', 'Guam') OR state = 'ON' OR (zip <> '' AND NOT regexp_matches(zip, '^[0-9]{5}(-[0-9]{4})?$')) AS intended, country NOT IN ('', 'United States') OR state = 'ON' OR (zip <> '' AND NOT regexp_matches(zip, '^[0-9]{5}(-[0-9]{4})?$')) AS literal,
+  CASE WHEN country NOT IN ('', 'US', 'USA', 'United States', 'Puerto Rico', 'Guam') THEN '' WHEN state = 'PR' THEN 'Puerto Rico' ELSE state END AS territory FROM c""")
 def foreign_signal(spark, sf_dir):
     """The intended rule, and the literal one, by which `US` isn't home."""
     c = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     key = F.col("c_custkey")
-    country = F.when(F.col("n_regionkey") == 1, "US").when(F.col("c_nationkey") % 3 == 0, "United States").otherwise(F.col("n_name"))
+    country = F.when(F.col("n_regionkey") == 1, "US").when(F.col("c_nationkey") % 3 == 0, "United States").when(key % 11 == 0, "Puerto Rico").when(key % 11 == 1, "Guam").otherwise(F.col("n_name"))
     state = F.when(key % 4 == 0, "TX").when(key % 4 == 1, "PR").when(key % 4 == 2, "ON").otherwise("")
     code = F.when(key % 5 == 0, "K1A 0B1").when(key % 5 == 1, "").otherwise(F.lpad((key % 100000).cast("string"), 5, "0"))
     c = c.select("c_custkey", country.alias("country"), state.alias("state"), code.alias("zip"))
-    home = ("", "US", "USA", "United States")
+    home = tuple(fixed.HOME_COUNTRIES)
     signal = lambda h: verdicts.foreign_signal(F.col("country"), F.col("state"), F.col("zip"), h)
     return c.select("c_custkey", signal(home).alias("intended"), signal(("", "United States")).alias("literal"), verdicts.territory_name(F.col("state"), ~F.col("country").isin(*home)).alias("territory"))
 

@@ -21,12 +21,15 @@ class Parsed:
     log: DataFrame
 
 
-def parse(found: DataFrame, done: DataFrame | None = None, recipients: Callable[[Column], Column] | None = text.keyword_filter) -> Parsed:
-    """PARSED rows of new returns, and their log: every return is logged, malformed ones too. found: path, value; done: xml_file.
+def parse(
+    found: DataFrame, done: DataFrame | None = None, recipients: Callable[[Column], Column] | None = text.keyword_filter, prior: DataFrame | None = None, exclusions: DataFrame | None = None
+) -> Parsed:
+    """PARSED rows of new returns, and their log: every return is logged, malformed ones too. found: path, value; done:
+    xml_file; prior: filer_ein, return_year already emitted; exclusions: filer_ein to leave out.
 
     The log's grant_bearing says whether a return has a grant that is kept.
     """
-    files = returns.filings(found)
+    files = wanted(returns.filings(found), prior, exclusions)
     if done is not None:
         files = index.unprocessed(files, done, "xml_file")
     files = files.withColumn("form_type", F.when(F.col("value").contains("<IRS990PF"), "990PF").otherwise("990"))
@@ -39,6 +42,22 @@ def parse(found: DataFrame, done: DataFrame | None = None, recipients: Callable[
     return Parsed(rows.select(*tables.PARSED.names, "pos"), log)
 
 
+def wanted(files: DataFrame, prior: DataFrame | None = None, exclusions: DataFrame | None = None) -> DataFrame:
+    """Filings without those of filers to leave out, and without those of a filer and year emitted before."""
+    if exclusions is not None:
+        files = index.unprocessed(files, exclusions, "filer_ein")
+    if prior is not None:
+        pairs = prior.select(F.trim("filer_ein").alias("_e"), F.trim("return_year").alias("_y")).distinct()
+        files = files.join(pairs, (F.col("filer_ein") == F.col("_e")) & (F.col("return_year") == F.col("_y")), "left_anti")
+    return files
+
+
+def run_counters(log: DataFrame) -> DataFrame:
+    """One row about a log of parse(): recorded, kept (with a grant), deleted (without), failed, and supporting organisations."""
+    ok = F.col("status") == "ok"
+    return reporting.counters(log, {"kept": ok & F.col("grant_bearing"), "deleted": ok & ~F.col("grant_bearing"), "failed": ~ok, "supporting_org": F.col("filer_support_org")})
+
+
 def log_upload(log: DataFrame) -> DataFrame:
     """The log in the upload's order and names."""
     return log.withColumn("funder_support_org", F.col("filer_support_org")).select(*tables.LOG_UPLOAD.names)
@@ -63,7 +82,7 @@ def match(grants: DataFrame, dim: DataFrame, rules: dict | None = None, answers:
     """
     d = dim.withColumn("name", F.col("grantee_normalized")).withColumn("pos", F.monotonically_increasing_id())
     k = _key("grantee", "grantee_city", "grantee_state")
-    rows = grants.withColumn("k0", k[0]).withColumn("k1", k[1]).withColumn("k2", k[2]).withColumn("place", F.xxhash64("xml_file", "pos"))
+    rows = grants.withColumn("k0", k[0]).withColumn("k1", k[1]).withColumn("k2", k[2]).withColumn("place", F.monotonically_increasing_id())
     names = first_rows(rows.select("k0", "k1", "k2", "place", F.col("grantee").alias("name"), F.col("grantee_city").alias("city"), F.col("grantee_state").alias("state"), F.col("grantee_country").alias("country"), F.col("grantee_zip").alias("zip")), ["k0", "k1", "k2"], "place")
     names = cut(names.withColumn("qid", F.xxhash64("k0", "k1", "k2")))
     d = cut(d)
@@ -94,9 +113,9 @@ def verdict_outcomes(left: DataFrame, dim: DataFrame, answers: DataFrame | None,
     q = proposed.select("qid", text.strip_wrappers(F.col("name")).alias("q"), F.upper(F.coalesce("state", F.lit(""))).alias("q_state"))
     tops = matching.national(q, dim, 88, 0).select("qid", F.col("top").alias("national_top"))
     alike = matching.has_similar(q.withColumn("q", text.norm(F.col("q"))), dim).withColumn("similar", F.lit(True))
-    abroad = matching.prepared(dim).select("canonical_id", F.col("norm_name").alias("n")).groupBy("n").agg(F.min("canonical_id").alias("known_id"))
-    formal = text.norm(F.concat(F.col("v_name"), F.lit(" (Foreign)")))
-    said = said.join(again, "qid", "left").join(tops, "qid", "left").join(alike, "qid", "left").join(abroad, formal == F.col("n"), "left").drop("n")
+    known = matching.prepared(dim).groupBy(F.col("norm_name").alias("n")).agg(F.min("canonical_id").alias("known_id"))
+    abroad = known_abroad(said.filter("v_name IS NOT NULL").select("qid", "v_name"), known)
+    said = said.join(again, "qid", "left").join(tops, "qid", "left").join(alike, "qid", "left").join(abroad, "qid", "left")
     said = said.withColumn("similar", F.coalesce("similar", F.lit(False)))
     said = said.withColumn("signal", verdicts.foreign_signal(F.col("country"), F.col("state"), F.col("zip")))
     said = said.withColumn("flagship", text.norm(F.col("name")).rlike(flagship) if flagship else F.lit(False))
@@ -105,8 +124,8 @@ def verdict_outcomes(left: DataFrame, dim: DataFrame, answers: DataFrame | None,
     done = cut(verdicts.dispositions(said))
     foreign = F.col("v_type") == "foreign"
     mints = done.filter("outcome = 'mint'").withColumn("shown_name", F.when(foreign, F.concat(F.col("v_name"), F.lit(" (Foreign)"))).otherwise(F.col("v_name")))
-    # hashes stand in for row order: any fixed order does, as long as names that are alike share an id
-    mints = mints.withColumn("order", F.shiftrightunsigned("qid", 1)).withColumn("key", text.norm(F.col("shown_name")))
+    # numbered in the order in which the grants name them first
+    mints = mints.withColumn("order", F.col("place")).withColumn("key", text.norm(F.col("shown_name")))
     new = verdicts.mint(mints, "shown_name", "order", matching.next_surrogate(dim))
     new = cut(new.join(first_rows(mints.select("key", "order", "shown_name", "state", "city", "v_country", "v_type"), ["key"], "order").drop("order"), "key"))
     mapped = mints.select("qid", "key").join(new.select("key", F.col("canonical_id").alias("minted_id")), "key").drop("key")
@@ -120,12 +139,25 @@ def verdict_outcomes(left: DataFrame, dim: DataFrame, answers: DataFrame | None,
     return out, rows
 
 
+def known_abroad(said: DataFrame, known: DataFrame) -> DataFrame:
+    """qid, known_id of verdicts abroad whose formal name is known, as it is or without wrappers ("The"). said: qid, v_name; known: n, known_id."""
+    name = F.col("v_name")
+    keys = F.array(*[F.struct(F.lit(i).alias("rank"), text.norm(F.concat(c, F.lit(" (Foreign)"))).alias("key")) for i, c in enumerate((name, text.strip_wrappers(name)))])
+    asked = said.select("qid", F.explode(keys).alias("k")).select("qid", "k.*")
+    return asked.join(known, F.col("key") == F.col("n")).groupBy("qid").agg(F.min_by("known_id", "rank").alias("known_id"))
+
+
+def with_match_columns(rows: DataFrame) -> DataFrame:
+    """Adds grantee_match (the text that searches run on) and grantee_support_org."""
+    out = rows.withColumn("grantee_match", F.lower(F.concat_ws(" ", "grantee", "grantee_addr1", "grantee_addr2")))
+    return out.withColumn("grantee_support_org", F.lower("grantee").contains("foundation"))
+
+
 def tag(matched: DataFrame, classifier: Callable[[Column], Column]) -> DataFrame:
     """GRANTS rows: each distinct purpose classified once, uid blank."""
     rows = matched.withColumn("place", F.xxhash64("xml_file", "grantee", "grant_amount"))
     out = tagging.classify_once(rows, "grant_purpose", "place", classifier)
-    out = out.withColumn("uid", F.lit("")).withColumn("grantee_match", F.lower(F.concat_ws(" ", "grantee", "grantee_addr1", "grantee_addr2")))
-    return out.withColumn("grantee_support_org", F.lower("grantee").contains("foundation")).select(*tables.GRANTS.names)
+    return with_match_columns(out.withColumn("uid", F.lit(""))).select(*tables.GRANTS.names)
 
 
 #: A classifier by words, for runs without a model.

@@ -34,6 +34,20 @@ def latest_snapshot(files: DataFrame) -> DataFrame:
     return files.filter(F.lower("key").rlike(r"\.csv(\.gz)?$")).agg(F.max_by("key", rank).alias("key"))
 
 
+def resolve(files: DataFrame, base: str, index_file: str | None = None, index_key: str | None = None) -> str:
+    """The index to read: the named file, which must exist; else the named key under base; else the latest one of files (key, modified)."""
+    if index_file:
+        spark = files.sparkSession
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(index_file)
+        if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+            raise FileNotFoundError(index_file)
+        return index_file
+    key = index_key or latest_snapshot(files).first()["key"]  # one row
+    if key is None:
+        raise FileNotFoundError(f"no index under {base}")
+    return f"{base.rstrip('/')}/{key}"
+
+
 def in_scope(c: Column, forms: Sequence[str] = FORMS) -> Column:
     """A form type in scope, whatever its case and punctuation."""
     return F.coalesce(text.header_norm(c).isin(*forms), F.lit(False))

@@ -62,7 +62,7 @@ def block(tags: Sequence[str]) -> str:
 
 def unprefixed(c: Column) -> Column:
     """Element names without namespace prefixes."""
-    return F.regexp_replace(c, r"(</?)\w+:(?=\w)", "$1")
+    return F.when(c.rlike(r"</?\w+:\w"), F.regexp_replace(c, r"(</?)\w+:(?=\w)", "$1")).otherwise(c)
 
 
 def flagged(value: Column, tags: Sequence[str] = fixed.FILER_FLAGS) -> Column:
@@ -70,7 +70,8 @@ def flagged(value: Column, tags: Sequence[str] = fixed.FILER_FLAGS) -> Column:
     hit = F.lit(False)
     for t in tags:
         hit = hit | (F.upper(F.trim(F.regexp_extract(value, rf"<{t}(?:\s[^>]*)?>([^<]*)<", 1))) == "X")
-    return hit
+    # one search tells most returns apart: those where no element of them all holds X
+    return F.when(value.rlike(rf"<({'|'.join(tags)})(?:\s[^>]*)?>\s*[xX]\s*<"), hit).otherwise(F.lit(False))
 
 
 def address(g: Column) -> Column:
@@ -95,6 +96,12 @@ def read_returns(spark: SparkSession, path: str) -> DataFrame:
     return df.select(F.col("_metadata.file_path").alias("path"), "value")
 
 
+def listed(returns: DataFrame, manifest: DataFrame) -> DataFrame:
+    """The returns (path, value) that a manifest lists, with its form_type; listed ones that are gone drop out."""
+    of = manifest.groupBy(F.col("xml_path").alias("listed_path")).agg(F.min("form_type").alias("form_type"))
+    return returns.join(of, F.col("path") == F.col("listed_path")).drop("listed_path")
+
+
 def filings(returns: DataFrame) -> DataFrame:
     """One row a return that has a filer: its file, header fields, flag, status and text. status: ok or malformed."""
     df = returns.withColumn("value", unprefixed(F.col("value")))
@@ -124,7 +131,8 @@ def grants(files: DataFrame, keep_flagged: bool = True) -> DataFrame:
     df = files.filter("status = 'ok'")
     if not keep_flagged:
         df = df.filter("NOT filer_support_org")
-    blocks = F.flatten(F.array(*[F.regexp_extract_all("value", F.lit(block([t])), F.lit(0)) for t in fixed.GROUPS]))
+    none = F.array().cast("array<string>")
+    blocks = F.flatten(F.array(*[F.when(F.col("value").contains(f"{t}"), F.regexp_extract_all("value", F.lit(block([t])), F.lit(0))).otherwise(none) for t in fixed.GROUPS]))
     df = df.select("xml_file", "filer_name", "filer_ein", "return_year", "filer_support_org", F.posexplode(blocks).alias("pos", "block"))
     inner = F.regexp_replace(F.regexp_replace("block", r"^<[^>]*>", "<g>"), r"</[^>]*>$", "</g>")
     df = df.withColumn("g", F.from_xml(inner, GROUP, {"rowTag": "g", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}))

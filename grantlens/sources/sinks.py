@@ -23,8 +23,10 @@ def as_text(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def write_increment(df: DataFrame, schema: T.StructType, path: str, stamp: str) -> None:
-    """A text increment under stamp=..., written again if a run is repeated."""
-    as_text(df, schema).write.mode("overwrite").option("header", True).option("escape", '"').option("emptyValue", "").csv(f"{path}/stamp={stamp}")
+    """A text increment under stamp=..., written again if a run is repeated. Each file begins with a byte order mark, as part
+    of its first header, for spreadsheets."""
+    out = as_text(df, schema)
+    out.toDF("\ufeff" + out.columns[0], *out.columns[1:]).write.mode("overwrite").option("header", True).option("escape", '"').option("emptyValue", "").csv(f"{path}/stamp={stamp}")
 
 
 def write_stage(df: DataFrame, path: str, stamp: str) -> None:

@@ -42,6 +42,11 @@ def read_skip_list(spark: SparkSession, path: str) -> DataFrame:
     return rows.filter((F.col("xml_file") != "") & ~F.lower("xml_file").isin(*headers)).distinct()
 
 
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """xml_path, form_type of returns that were fetched before."""
+    return read_text_table(spark, path, MANIFEST).filter("xml_path <> ''").distinct()
+
+
 def read_pairs(spark: SparkSession, path: str) -> DataFrame:
     """filer_ein, return_year already emitted."""
     return read_text_table(spark, path, schema("filer_ein, return_year")).distinct()
