@@ -129,6 +129,8 @@ def deck(sources: DataFrame, counts: DataFrame) -> DataFrame:
     known = known.withColumn("over", F.expr("greatest(drawn - slots, 0L)")).withColumn("short", F.expr("greatest(slots - drawn, 0L)"))
     ahead = Window.partitionBy(F.lit(0)).orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)  # one row a source
     known = saved(known.withColumn("over_from", F.coalesce(F.sum("over").over(ahead), F.lit(0))).withColumn("short_from", F.coalesce(F.sum("short").over(ahead), F.lit(0))), "drawn")
+    # a number of partitions that is named isn't folded: few small rows become very many slots
+    firsts = firsts.repartition(int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions")), "shard", "drawn_key")
     slots = firsts.join(known, F.col("drawn_key") == F.col("skey")).withColumn("j", F.explode(F.expr("sequence(first, first + n - 1)")))
     spare = slots.filter("j >= slots").select("shard", F.expr("over_from + j - slots").alias("nth"))
     lacking = known.filter("short > 0").withColumn("j", F.explode(F.expr("sequence(drawn, slots - 1)")))
