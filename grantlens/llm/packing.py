@@ -9,12 +9,13 @@ The order's low bits come from a hash of the id: copies, which share a cell, can
 
 Defined results for odd input: a null or empty text is the end token alone; null ids are documents of their own;
 repeated rows are packed as often as they come; an empty table gives an empty result; a text may be longer than many
-sequences; strings of special tokens in a text are ordinary text; other columns are ignored.
+sequences; the string of a special token in a text is that token, as in the vocabulary's own file; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -124,13 +125,19 @@ def ranks_path() -> str:
 
 @lru_cache(maxsize=2)
 def encoder(path: str):
-    """The vocabulary of byte_bpe_50k.json in the library that encodes it fastest; its ids are the same."""
+    """The vocabulary of byte_bpe_50k.json, its special tokens too, in the library that encodes it fastest; the ids are the same."""
     import public_tokenizers
     import tiktoken
 
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        special = {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
+    return tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
+
+
+def token_ids(enc, text: str) -> np.ndarray:
+    return enc.encode_to_numpy(text, allowed_special="all")
 
 
 class Packer:
@@ -195,7 +202,7 @@ def _packed(path: str, special: int):
                 text = text or ""
                 mark = xxhash.xxh128_digest(text)
                 if known is None or known[0] != mark:  # copies follow one another
-                    known = mark, np.concatenate((enc.encode_to_numpy(text, disallowed_special=()), end)).astype(np.uint32, copy=False)
+                    known = mark, np.concatenate((token_ids(enc, text), end)).astype(np.uint32, copy=False)
                 packer.add(doc_id, known[1])
             if packer.rows:
                 yield _batch(packer.rows)
