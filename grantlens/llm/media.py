@@ -43,7 +43,9 @@ RATE = 8000
 REMEMBERED = 50_000
 GEAR = (mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.uint32)
 ENTRIES = "doc_id long, n_bytes long, file binary, digests array<binary>, digest binary, whole boolean, packed binary"
-READ_BACK = "file binary, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+READ_BACK = "file binary, payload_bytes long, payload_digest binary, tail_crc32 long, media_bytes long, chunks long, sum long, squares long, peak long, low long, crossings long"
+#: A file's feature, spelled from these columns.
+FEATURES = ["chunks", "sum", "squares", "peak", "low", "crossings"]
 
 
 def payload(raw: bytes) -> bytes:
@@ -111,10 +113,11 @@ def chunked(media: bytes) -> list[tuple[bytes, bytes]]:
     return out
 
 
-def feature(samples: bytes, chunks: int) -> str:
+def features(samples: bytes, chunks: int) -> tuple[int, ...]:
+    """FEATURES of a file: its chunks, and sums, extremes and crossings of the middle of its samples."""
     x = np.frombuffer(samples, np.uint8).astype(np.int64)
     crossings = int(np.count_nonzero(np.diff((x >= 128).astype(np.int8))))
-    return f"chunks={chunks};sum={int(x.sum())};squares={int((x * x).sum())};peak={int(x.max())};low={int(x.min())};crossings={crossings}"
+    return chunks, int(x.sum()), int((x * x).sum()), int(x.max()), int(x.min()), crossings
 
 
 def _texts(part: pa.RecordBatch) -> Iterator[tuple[object, bytes]]:
@@ -165,14 +168,14 @@ def chunk_store(entries: DataFrame) -> DataFrame:
 
 
 def read_files(entries: DataFrame) -> DataFrame:
-    """READ_BACK, one row a distinct file: reconstructed, verified, decoded."""
+    """READ_BACK, one row a distinct file: reconstructed, verified, decoded. Several tasks may have written a file of one
+    chunk; all its rows are verified, and one stays."""
     alone = entries.filter("whole").select(F.col("digest").alias("file"), F.lit(1).alias("n"), F.lit(0).alias("nth"), "digest", "packed").mapInArrow(_assemble, READ_BACK)
-    names = [c.split()[0] for c in READ_BACK.split(", ")]
-    alone = alone.groupBy("file").agg(*[F.first(c).alias(c) for c in names[1:]])  # several tasks may have written it
     files = file_lists(entries).filter(F.size("digests") > 1).groupBy("file").agg(F.first("digests").alias("digests"))
     wanted = files.select("file", F.size("digests").alias("n"), F.posexplode("digests").alias("nth", "digest"))
     parts = wanted.join(chunk_store(entries), "digest", "left").select("file", "n", "nth", "digest", "packed")
-    return alone.unionByName(parts.repartition("file").sortWithinPartitions("file", "nth").mapInArrow(_assemble, READ_BACK))
+    found = alone.unionByName(parts.repartition("file").sortWithinPartitions("file", "nth").mapInArrow(_assemble, READ_BACK))
+    return found.groupBy("file").agg(*[F.first(c).alias(c) for c in (x.split()[0] for x in READ_BACK.split(", ")) if c != "file"])
 
 
 def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,8 +196,8 @@ def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if hashlib.sha256(media).digest() != file:
                 raise ValueError(f"file {file.hex()} is damaged")
             samples = samples_of(media)
-            rows.append((file, len(samples), hashlib.sha256(samples).hexdigest(), zlib.crc32(samples[-32:]), len(media), file.hex(), feature(samples, n)))
-        kinds = [pa.binary(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+            rows.append((file, len(samples), hashlib.sha256(samples).digest(), zlib.crc32(samples[-32:]), len(media), *features(samples, n)))
+        kinds = [pa.binary(), pa.int64(), pa.binary(), *[pa.int64()] * 8]
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], [c.split()[0] for c in READ_BACK.split(", ")])
     if parts:
         raise ValueError("the last file is incomplete")
@@ -206,4 +209,6 @@ def stored(docs: DataFrame) -> DataFrame:
     back = read_files(entries).withColumnRenamed("file", "f")
     rows = file_lists(entries).drop("digests").join(back, F.col("file") == F.col("f"), "left")
     missing = F.raise_error(F.concat(F.lit("file is missing: "), F.hex("file"))).cast("long")
-    return rows.withColumn("payload_bytes", F.coalesce("payload_bytes", missing)).drop("file", "f")
+    spelled = F.concat_ws(";", *[F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in FEATURES])
+    digest = lambda c: F.lower(F.hex(c))
+    return rows.select("doc_id", "n_bytes", F.coalesce("payload_bytes", missing).alias("payload_bytes"), digest("payload_digest").alias("payload_sha256"), "tail_crc32", "media_bytes", digest("file").alias("media_sha256"), spelled.alias("feature"))
