@@ -293,10 +293,11 @@ def held_out(folds: int, fold: int):
 
 def fit(docs: DataFrame) -> Model:
     """Trains on the driver, on the bounded sample that the module's docstring states."""
-    known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(FOLDS, 0) & (F.octet_length("text") <= TRAIN_BYTES))
+    known = docs.filter(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(FOLDS, 0) & (F.octet_length("text") <= TRAIN_BYTES))
     ranked = known.select("lang", "doc_id", F.xxhash64("doc_id").alias("h")).withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id")))
-    chosen = ranked.filter(F.col("nth") <= TRAIN_DOCS).select("doc_id")
-    rows = known.join(F.broadcast(chosen.distinct()), "doc_id").select("doc_id", "text", "lang").collect()  # TRAIN_DOCS a language
+    chosen = ranked.filter(F.col("nth") <= TRAIN_DOCS).select("doc_id", "lang").distinct()
+    # one text an id and language, however often it stands in the table, so TRAIN_DOCS rows a language at most reach the driver
+    rows = known.join(F.broadcast(chosen), ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text")).collect()
     return train([(r["text"], r["lang"]) for r in sorted(rows, key=lambda r: (r["lang"], r["doc_id"]))])
 
 

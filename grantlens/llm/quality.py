@@ -4,12 +4,13 @@ Two zstandard dictionaries are built from pieces of good and of bad labelled tex
 block with each; the difference of the two sizes, over the larger, is its one feature. A logistic curve fitted on
 labelled texts that neither dictionary has seen turns it into a probability of label 1.
 
-Fitting takes at most TRAIN_DOCS rows a label (those with the least hash of their id) of at most TRAIN_BYTES bytes.
+Fitting takes at most TRAIN_DOCS ids a label (those with the least hash) and of each id one text, the least, of at most
+TRAIN_BYTES bytes.
 Label counts over all training rows weigh the curve. Every text is scored whole, block after block.
 
 Defined results for odd input: null and empty texts have no difference and score as the curve has it there; with one
-label only, or none, all texts score that label's share (or 0.5); a null label teaches nothing; an id labelled twice
-counts for both rows; null ids count as the text 'null' for the held-out rule; repeated rows stay rows; an empty table
+label only, or none, all texts score that label's share (or 0.5); a null label teaches nothing; an id with both
+labels counts for both; null ids count as the text 'null' for the held-out rule; repeated rows stay rows; an empty table
 gives an empty result; other columns are ignored.
 """
 
@@ -123,7 +124,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     # the least hashes of each label: a sort that keeps TRAIN_DOCS rows a task, not one that gathers a label's rows
     first = [usable.filter(F.col("quality") == q).orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_DOCS) for q in (0, 1)]
     chosen = first[0].unionByName(first[1])
-    rows = texts.join(F.broadcast(chosen), "doc_id").collect()  # TRAIN_DOCS a label at most
+    ids = F.broadcast(chosen.select("doc_id").distinct())
+    # one text an id, however often it stands in the table, so TRAIN_DOCS rows a label at most reach the driver
+    rows = texts.join(ids, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text")).join(F.broadcast(chosen), "doc_id").collect()
     return train(sorted((r["doc_id"], r["text"], r["quality"]) for r in rows), counts)
 
 
