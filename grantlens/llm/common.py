@@ -27,13 +27,17 @@ def short_batches(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; one of our own only where it names none, as in tests."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder that the cluster names in spark.checkpoint.dir, or the context's checkpoint folder.
+
+    Where neither is named, a local run gets a temporary folder of its own; on a cluster that would be no shared place.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
     sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="grantlens-"))
+    if sc.master.split("[")[0] != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="grantlens-"))
     return sc.getCheckpointDir().rstrip("/")
 
 
@@ -44,16 +48,16 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def prefix_sums(df: DataFrame, keys: list[str], bucket: str, order: list[Column], value: Column, out: str) -> DataFrame:
-    """Adds out: the sum of value over the rows before this one, by keys, in the order of bucket and then order.
-
-    Two levels, so that no task sorts all rows of a key: rows are summed within (keys, bucket), and only one row a
 def ranged(df: DataFrame, keys: list[str], out: str, name: str) -> DataFrame:
     """df as a table sorted into ranges of keys (nulls first), with out: the number of a row's range, which no density of keys makes uneven."""
     parts = df.repartitionByRange(*[F.col(k).asc_nulls_first() for k in keys]).withColumn(out, F.spark_partition_id())
     return saved(parts, name)
 
 
+def prefix_sums(df: DataFrame, keys: list[str], bucket: str, order: list[Column], value: Column, out: str) -> DataFrame:
+    """Adds out: the sum of value over the rows before this one, by keys, in the order of bucket and then order.
+
+    Two levels, so that no task sorts all rows of a key: rows are summed within (keys, bucket), and only one row a
     bucket goes through the window over keys. Null keys and buckets are groups of their own (null buckets first).
     Adds n_before too: the number of rows before this one in its (keys, bucket).
     """
