@@ -3,7 +3,8 @@
 A text's payload is stored as the samples of an 8-bit mono WAV file. A rolling gear hash over the last 32 bytes cuts
 the file into chunks, so equal stretches of different files give equal chunks. Chunks are addressed by SHA-256; a file
 is an ordered list of digests. One pass over the texts writes lists and compressed chunks to a table in the shared
-folder; a task writes a chunk once, however many of its files hold it. Reading back takes that table alone: lists are
+folder; a task writes a chunk once, however many of its files hold it. Chunks are compressed with a dictionary, trained on
+SAMPLE texts of at most SAMPLE_BYTES (those with the least hash) and kept in the same table. Reading back takes that table alone: lists are
 joined with the chunks, deduplicated by digest, each file's chunks are put in order, every digest and the file's own are
 checked, and the samples are decoded.
 
@@ -39,6 +40,8 @@ LEAST, USUAL, MOST = 2048, 8192, 65536
 WINDOW = 32
 HEADER = 44
 RATE = 8000
+#: Bytes of the dictionary, texts that it is trained on, and bytes of those at most.
+DICTIONARY, SAMPLE, SAMPLE_BYTES = 112_640, 400, 16_000
 #: Digests that a task remembers having sent, so that copies in one task go out once.
 REMEMBERED = 50_000
 GEAR = (mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.uint32)
@@ -125,10 +128,27 @@ def _texts(part: pa.RecordBatch) -> Iterator[tuple[object, bytes]]:
         yield doc_id, (text or "").encode()
 
 
-def _encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def dictionary(docs: DataFrame) -> bytes:
+    """A dictionary for chunks of texts like these; empty where there is too little to learn from."""
+    short = docs.select("text").filter(F.octet_length("text").between(1, SAMPLE_BYTES))
+    texts = short.orderBy(F.xxhash64("text"), "text").limit(SAMPLE).collect()
+    try:
+        return zstandard.train_dictionary(DICTIONARY, [wav(payload(r["text"].encode())) for r in texts]).as_bytes()
+    except (zstandard.ZstdError, ValueError):
+        return b""
+
+
+def known(raw: bytes) -> dict:
+    return {"dict_data": zstandard.ZstdCompressionDict(raw)} if raw else {}
+
+
+def _encoded(shared):
+    return lambda batches: encoded(batches, zstandard.ZstdCompressor(level=3, write_dict_id=False, **known(shared.value)))
+
+
+def encoded(batches: Iterator[pa.RecordBatch], pack: zstandard.ZstdCompressor) -> Iterator[pa.RecordBatch]:
     """A list row for each text, and a chunk row for each chunk that the task hasn't written yet."""
     sent: OrderedDict[tuple[bytes, bool], None] = OrderedDict()
-    pack = zstandard.ZstdCompressor(level=3)
     kinds = [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.binary()), pa.binary(), pa.bool_(), pa.binary()]
     names = [c.split()[0] for c in ENTRIES.split(", ")]
     for batch in batches:
@@ -151,10 +171,14 @@ def _encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def put(docs: DataFrame) -> DataFrame:
-    """ENTRIES: the store, written to the shared folder and read again."""
-    short_batches(docs.sparkSession)
+    """ENTRIES: the store, written to the shared folder and read again. The row without a digest's bytes is the dictionary."""
+    spark = docs.sparkSession
+    short_batches(spark)
+    learned = dictionary(docs)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return saved(rows.mapInArrow(_encoded, ENTRIES), "media")
+    shared = spark.sparkContext.broadcast(learned)  # DICTIONARY bytes
+    own = spark.createDataFrame([(None, None, None, None, b"", None, learned)], ENTRIES)
+    return saved(rows.mapInArrow(_encoded(shared), ENTRIES).unionByName(own), "media")
 
 
 def file_lists(entries: DataFrame) -> DataFrame:
@@ -170,16 +194,21 @@ def chunk_store(entries: DataFrame) -> DataFrame:
 def read_files(entries: DataFrame) -> DataFrame:
     """READ_BACK, one row a distinct file: reconstructed, verified, decoded. Several tasks may have written a file of one
     chunk; all its rows are verified, and one stays."""
-    alone = entries.filter("whole").select(F.col("digest").alias("file"), F.lit(1).alias("n"), F.lit(0).alias("nth"), "digest", "packed").mapInArrow(_assemble, READ_BACK)
+    learned = entries.filter(F.octet_length("digest") == 0).select("packed").first()["packed"]  # one row
+    assemble = _assemble(entries.sparkSession.sparkContext.broadcast(bytes(learned)))
+    alone = entries.filter("whole").select(F.col("digest").alias("file"), F.lit(1).alias("n"), F.lit(0).alias("nth"), "digest", "packed").mapInArrow(assemble, READ_BACK)
     files = file_lists(entries).filter(F.size("digests") > 1).groupBy("file").agg(F.first("digests").alias("digests"))
     wanted = files.select("file", F.size("digests").alias("n"), F.posexplode("digests").alias("nth", "digest"))
     parts = wanted.join(chunk_store(entries), "digest", "left").select("file", "n", "nth", "digest", "packed")
-    found = alone.unionByName(parts.repartition("file").sortWithinPartitions("file", "nth").mapInArrow(_assemble, READ_BACK))
+    found = alone.unionByName(parts.repartition("file").sortWithinPartitions("file", "nth").mapInArrow(assemble, READ_BACK))
     return found.groupBy("file").agg(*[F.first(c).alias(c) for c in (x.split()[0] for x in READ_BACK.split(", ")) if c != "file"])
 
 
-def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    unpack = zstandard.ZstdDecompressor()
+def _assemble(shared):
+    return lambda batches: assembled(batches, zstandard.ZstdDecompressor(**known(shared.value)))
+
+
+def assembled(batches: Iterator[pa.RecordBatch], unpack: zstandard.ZstdDecompressor) -> Iterator[pa.RecordBatch]:
     parts: list[bytes] = []
     for batch in batches:
         rows = []
