@@ -165,13 +165,33 @@ def redacted(docs: DataFrame, found: DataFrame) -> DataFrame:
     blobs = found.filter(F.size("found") > 0).select(F.col("sha").alias("blob"), "found").dropDuplicates(["blob"])
     rows = boxed(docs).withColumn("text", F.coalesce(F.col("box_text"), F.lit("")))
     rows = rows.withColumn("own", F.sha2(F.col("text").cast("binary"), 256)).join(blobs, F.col("own") == F.col("blob"), "left")
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    dirty = rows.filter("found IS NOT NULL").withColumn("clean", without(F.col("text"), F.col("found")))
+    return unboxed(rows.filter("found IS NULL"), docs).unionByName(unboxed(dirty, docs, text=F.col("clean")))
 
-    def step(acc: Column, x: Column) -> Column:
-        fresh = x["start"] >= acc["at"]
-        more = F.when(fresh, F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, x["start"] - acc["at"]), F.lit("[SECRET]"))).otherwise(acc["out"])
-        return F.struct(F.greatest(acc["at"], x["end"]).alias("at"), more.alias("out"))
 
-    clean = F.aggregate("found", begin, step, lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.length("text"))))
-    dirty = rows.filter("found IS NOT NULL").withColumn("clean", clean)
-    return unboxed(rows.filter("found IS NULL"), docs).unionByName(unboxed(dirty, docs, text=F.col("clean")))
+def without(text: Column, found: Column) -> Column:
+    """text with its findings (not none, sorted by start) replaced. PLACED findings at a time work on their own stretch of
+    the text, so time grows with the findings and the text, not with their product."""
+    groups = F.transform(F.sequence(F.lit(0), F.floor((F.size(found) - 1) / PLACED).cast("int")), lambda g: F.slice(found, g * PLACED + 1, F.lit(PLACED)))
+    first = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("begins"))
+
+    def stretch(group: Column, begin: Column) -> Column:
+        end = F.greatest(begin, F.array_max(F.transform(group, lambda x: x["end"])))
+
+        def step(part: Column):
+            def more(acc: Column, x: Column) -> Column:
+                out = F.when(x["start"] >= acc["at"], F.concat(acc["out"], F.substring(part, acc["at"] - begin + 1, x["start"] - acc["at"]), F.lit("[SECRET]"))).otherwise(acc["out"])
+                return F.struct(F.greatest(acc["at"], x["end"]).alias("at"), out.alias("out"))
+
+            return F.aggregate(group, F.struct(begin.alias("at"), F.lit("").alias("out")), more, lambda acc: acc["out"])
+
+        return bound(F.substring(text, begin + 1, end - begin), step)
+
+    def joined_up(of: Column) -> Column:
+        # how far the findings of the groups before reach: where a group's stretch begins
+        reach = F.transform(of, lambda g: F.array_max(F.transform(g, lambda x: x["end"])))
+        begins = F.aggregate(reach, first, lambda acc, e: F.struct(F.greatest(acc["at"], e).alias("at"), F.concat(acc["begins"], F.array(acc["at"])).alias("begins")), lambda acc: acc["begins"])
+        return F.array_join(F.zip_with(of, begins, stretch), "")
+
+    rest = F.substring(text, F.array_max(F.transform(found, lambda x: x["end"])) + 1, F.length(text))
+    return F.concat(bound(groups, joined_up), rest)

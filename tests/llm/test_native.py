@@ -213,6 +213,26 @@ def test_a_text_with_very_many_matches(spark):
     assert row["spans"] == ",".join(f"assign:{17 * i + 2}:{17 * i + 16}" for i in range(100_000))
 
 
+def plain_redaction(text):
+    out, at = "", 0
+    for _, a, b in (x.split(":") for x in plain_spans(text)):
+        if int(a) >= at:
+            out += text[at : int(a)] + "[SECRET]"
+        at = max(at, int(b))
+    return out + text[at:]
+
+
+@pytest.mark.parametrize(("repeats", "placed"), [(20_000, secrets.PLACED), (6, 1), (6, 3)])
+def test_redaction_of_many_and_overlapping_findings(spark, monkeypatch, repeats, placed):
+    """However many findings are worked on at a time."""
+    monkeypatch.setattr(secrets, "PLACED", placed)
+    text = "é token=abcdefgh " * repeats + "password=token=abcdefghij tail -----BEGIN PRIVATE KEY----- secret:" + "0a" * 20 + " end"
+    docs = frame(spark, [(1, text, "en", "a")])
+    paths = secrets.addressed(docs)
+    hits = secrets.findings(paths.select("sha").distinct(), secrets.scan(paths))
+    assert secrets.redacted(docs, hits).first()["text"] == plain_redaction(text)
+
+
 def test_redaction(spark):
     docs = frame(spark)
     paths = secrets.addressed(docs)
