@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from fixtures import documents, empty, frame
 
@@ -127,6 +128,69 @@ def test_recall(spark, small):
     assert hit / total >= 0.9
 
 
+def found_share(spark, x):
+    """Share of the 20 nearest, by brute force, of every twentieth row that neighbours() finds."""
+    got = {}
+    df = spark.createDataFrame([(i, v.tolist(), 0, 1, "x") for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int, cid long, v string")
+    for r in ann.neighbours(df).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    hit = 0
+    for i in range(0, len(x), 20):
+        scores = x @ x[i]
+        scores[i] = -np.inf
+        hit += len(got[i] & set(np.argpartition(-scores, 20)[:20].tolist()))
+    return hit / (len(x) // 20 * 20)
+
+
+def test_recall_on_fifty_thousand(spark):
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(400, 16))
+    assert found_share(spark, centres[rng.integers(0, 400, 50_000)] + 0.4 * rng.normal(size=(50_000, 16))) >= 0.9
+
+
+def test_ties_beyond_what_is_kept_go_to_smaller_ids():
+    """A block of 300 unlike vectors with one and the same score, and some lower ones: rounding of products decides nothing."""
+    rng = np.random.default_rng(9)
+    rows = [(0, int(i), [5.0, 0.1 * (i % 7), 1e6 / i]) for i in rng.permutation(np.arange(1, 301))] + [(0, i, [4.0, float(i), 1.0]) for i in range(1001, 1101)]
+    asked = pd.DataFrame({"cid": [7000], "v": [[1.0, 0.0, 0.0]], "lists": [[0]]})
+    found = ann._best(20)(asked, pd.DataFrame(rows, columns=["list", "cid", "v"]))
+    assert list(zip(found["cid"], found["score"], strict=True)) == [(i, 5.0) for i in range(1, 22)]
+
+
+def test_samples_are_bounded_by_rows_when_one_id_stands_very_often(spark, monkeypatch):
+    """5,000 rows of one id bring one text of it to the driver."""
+    rows = [(7, f"good text of many plain words {i} " * 5, "en", "a") for i in range(5000)] + [(i, f"other text {i} " * 9, "en", "a") for i in range(20, 60)]
+    docs = frame(spark, rows)
+    labels = spark.createDataFrame([(7, 1, 0), *[(i, i % 2, 0) for i in range(20, 60)]], "doc_id long, quality int, toxic int")
+    seen = []
+    monkeypatch.setattr(quality, "train", lambda rows, counts: seen.append(len(rows)))
+    monkeypatch.setattr(langid, "train", lambda rows: seen.append(len(rows)))
+    quality.fit(docs, labels)
+    langid.fit(docs)
+    assert max(seen) <= 41
+
+
+def test_quality_equals_a_plain_scorer(spark, small):
+    """Every score against plain arithmetic: the two sizes of a text by the model's dictionaries, through its curve."""
+    import zstandard
+
+    docs, labels = spark.read.parquet(f"{small}/documents.parquet"), spark.read.parquet(f"{small}/labels.parquet")
+    model = quality.fit(docs, labels)
+    packers = []
+    for raw in (model.bad, model.good):
+        packers.append(zstandard.ZstdCompressor(level=quality.LEVEL, dict_data=zstandard.ZstdCompressionDict(raw), write_content_size=False, write_checksum=False, write_dict_id=False))
+    rows = {r["doc_id"]: r for r in quality.scored(docs, labels, model).collect()}
+    for doc_id, text in [(r["doc_id"], r["text"] or "") for r in docs.limit(60).collect()]:
+        raw = text.encode()
+        blocks = [raw[i : i + quality.BLOCK] for i in range(0, len(raw), quality.BLOCK)]
+        bad, good = (sum(len(p.compress(b)) for b in blocks) for p in packers)
+        x = (bad - good) / max(bad, good) if blocks else 0.0
+        score = 1 / (1 + np.exp(-(model.slope * x + model.middle))) if model.bad else model.middle
+        assert rows[doc_id]["score"] == pytest.approx(score)
+        assert rows[doc_id]["held_out"] == (zlib.crc32(str(doc_id).encode()) % 3 == 1)
+        assert rows[doc_id]["predicted"] == int(rows[doc_id]["score"] >= 0.5)
+
+
 def test_few_candidates_and_none(spark):
     rows = [(20 * i, [1.0, float(i)], 0, 1, "x") for i in range(3)]
     assert Counter(r["query_id"] for r in ann.neighbours(vectors(spark, rows)).collect()) == {0: 2, 20: 2, 40: 2}
@@ -138,9 +202,9 @@ def test_hot_lists_are_split_without_loss(spark, monkeypatch):
     rng = np.random.default_rng(6)
     rows = [(i, rng.normal(size=6).tolist(), 0, 1, "x") for i in range(400)]
     whole = {(r["query_id"], r["rank"], r["vec_id"]) for r in ann.neighbours(vectors(spark, rows)).collect()}
-    assert {b for _, b, _ in ann.blocks({1: 5, 2: 6, 3: 40, 4: 1})} == {0}
+    assert {b for _, b, _ in ann.blocks({1: 5, 2: 6, 3: 40, 4: 1}, 100)} == {0}
     monkeypatch.setattr(ann, "PART", 30)
-    assert ann.blocks({1: 5, 2: 6, 3: 40, 4: 1, 5: 29, 6: 1}) == [(1, 0, 1), (2, 0, 1), (3, 1, 2), (4, 2, 1), (5, 2, 1), (6, 3, 1)]
+    assert ann.blocks({1: 5, 2: 6, 3: 40, 4: 1, 5: 29, 6: 1}, 30) == [(1, 0, 1), (2, 0, 1), (3, 1, 2), (4, 2, 1), (5, 2, 1), (6, 3, 1)]
     monkeypatch.setattr(ann, "QUERIES", 5)
     assert {(r["query_id"], r["rank"], r["vec_id"]) for r in ann.neighbours(vectors(spark, rows)).collect()} == whole
 
@@ -155,9 +219,3 @@ def test_stages_keep_columns_and_clean_documents(spark):
     kept = {r["doc_id"] for r in stages.near_duplicate_stage(spark, docs, "").collect()}
     assert {1, 9, 11, 12, 100} <= kept
     assert not {2, 101, 139} & kept
-
-
-def test_pipeline_runs(spark, small):
-    from corpus_pipeline import run
-
-    assert run(spark, small).count() > 0
