@@ -107,7 +107,7 @@ def sharded(docs: DataFrame, shards: int = 24) -> DataFrame:
     stored = versions(spark, [first, grow(first, shards), even])
     owners = stored.groupBy("vslot").agg(*[F.max(F.when(F.col("version") == v, F.col("shard"))).alias(c) for v, c in ((1, "shard"), (2, "grown_shard"), (3, "rebalanced_shard"))])
     parts = max(1, -(-max((v[1] for v in by_slot.values()), default=0) // BUCKET_ROWS))
-    rows = rows.withColumn("bucket", F.expr(f"vslot * {parts}L + h2 % {parts}L"))
+    rows = rows.withColumn("bucket", F.expr(f"vslot * {parts}L + (h2 + text_crc32) % {parts}L"))
     rows = rows.join(F.broadcast(owners), "vslot")  # SLOTS rows
     rows = prefix_sums(rows.withColumn("one", F.lit(1)), ["shard"], "bucket", [F.col("doc_id"), F.col("text_crc32"), F.col("size")], F.col("one"), "slot")
     return rows.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", F.col("slot").cast("long").alias("slot"), "grown_shard", "vslot", "rebalanced_shard")
