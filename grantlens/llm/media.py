@@ -130,8 +130,10 @@ def _texts(part: pa.RecordBatch) -> Iterator[tuple[object, bytes]]:
 
 def dictionary(docs: DataFrame) -> bytes:
     """A dictionary for chunks of texts like these; empty where there is too little to learn from."""
-    short = docs.select("text").filter(F.octet_length("text").between(1, SAMPLE_BYTES))
-    texts = short.orderBy(F.xxhash64("text"), "text").limit(SAMPLE).collect()
+    short = docs.select("text").filter(F.octet_length("text").between(1, SAMPLE_BYTES)).withColumn("h", F.xxhash64("text"))
+    # hashes alone are sorted; then only the texts of those that were chosen travel
+    chosen = F.broadcast(short.select("h").distinct().orderBy("h").limit(SAMPLE))
+    texts = short.join(chosen, "h").groupBy("h").agg(F.min("text").alias("text")).orderBy("h").collect()  # SAMPLE rows
     try:
         return zstandard.train_dictionary(DICTIONARY, [wav(payload(r["text"].encode())) for r in texts]).as_bytes()
     except (zstandard.ZstdError, ValueError):
