@@ -6,7 +6,9 @@ nearly as near. A query finds near centroids by walking an in-memory graph, and
 within a ratio of the nearest. Long lists and lists with many queries are split, so no task holds a hot list.
 
 Equal vectors are one entry with its least ids: as many as a result can hold, as ties go to the smaller id. The
-sample has at most SAMPLE vectors (those with the least hash); every vector is indexed.
+sample has about SAMPLE vectors or SAMPLE_NUMBERS components at most (those with the least hash); every vector is indexed.
+There are as many lists as vectors of LIST fill, up to a quarter of the sample, which bounds the graph in memory; beyond
+that many vectors lists grow longer, and recall stays, as the pruning ratio is one of distances.
 
 Defined results for odd input: vectors that are null, zero, of another length than most, or have null or non-finite
 components take no part, nor do rows with a null id; a row repeated with its id and vector counts once; with fewer
@@ -27,9 +29,10 @@ from .common import saved
 K = 20
 EVERY = 20
 #: Sampled vectors and numbers at most; vectors meant for a list; lists at most.
-SAMPLE, SAMPLE_NUMBERS = 8_192, 2_000_000
+SAMPLE, SAMPLE_NUMBERS = 65_536, 4_000_000
 LIST = 128
-MOST_LISTS = 2048
+#: Sampled vectors that a list stands for at least.
+PER_LIST = 4
 #: Links of a centroid, centroids that a walk keeps open at least, nodes it expands at a time.
 LINKS, OPEN, EXPAND = 24, 24, 8
 #: Vectors that walk at a time: what a walk holds is this times the links that it follows.
@@ -38,8 +41,8 @@ WALKERS = 256
 CLOSURE, COPIES = 1.05, 2
 #: The pruning ratio is that which keeps this share of the sample's own neighbours, for so many of the sample as queries.
 SHARE, TRIALS = 0.95, 256
-#: Vectors and queries that one task takes.
-PART, QUERIES = 32_768, 4096
+#: Vectors, components of vectors, and queries that one task takes.
+PART, PART_NUMBERS, QUERIES = 32_768, 4_000_000, 4096
 
 
 @dataclass
@@ -121,12 +124,10 @@ def build(sample: np.ndarray, norm: float, total: int) -> Index:
     index = Index(np.zeros((0, 0)), np.zeros((0, 0), int), np.zeros(0, int), norm)
     lifted = index.lift(sample)
     leaves = 1
-    while leaves * 2 * LIST <= total and leaves * 2 <= min(MOST_LISTS, len(sample) // 4):
+    while leaves * 2 * LIST <= total and leaves * 2 <= len(sample) // PER_LIST:
         leaves *= 2
     centroids = balanced(lifted, leaves)
-    far = ((centroids[:, None] ** 2).sum(-1) + (centroids**2).sum(-1)[None] - 2 * centroids @ centroids.T) if len(centroids) > 1 else np.zeros((1, 1))
-    np.fill_diagonal(far, np.inf)
-    near = np.argsort(far, axis=1)[:, : min(LINKS, max(1, len(centroids) - 1))]
+    near = neighbouring(centroids)
     ring = (np.arange(len(centroids))[:, None] + 1) % len(centroids)  # keeps the graph in one piece
     entries = np.arange(0, len(centroids), max(1, len(centroids) // 32))
     index = Index(centroids, np.concatenate((near, ring), axis=1), entries, norm)
@@ -134,6 +135,18 @@ def build(sample: np.ndarray, norm: float, total: int) -> Index:
     return index
 
 
+def neighbouring(centroids: np.ndarray) -> np.ndarray:
+    """The LINKS nearest other centroids of each, some rows of the distance table at a time."""
+    squares, links, out = (centroids**2).sum(axis=1), min(LINKS, max(1, len(centroids) - 1)), []
+    for lo in range(0, len(centroids), WALKERS):
+        part = centroids[lo : lo + WALKERS]
+        far = squares[lo : lo + WALKERS, None] + squares - 2 * part @ centroids.T
+        far[np.arange(len(part)), lo + np.arange(len(part))] = np.inf if len(centroids) > 1 else 0
+        pick = np.argpartition(far, links - 1, axis=1)[:, :links]
+        out.append(np.take_along_axis(pick, np.argsort(np.take_along_axis(far, pick, 1), axis=1, kind="stable"), 1))
+    return np.concatenate(out)
+
+
 def pruning_ratio(index: Index, sample: np.ndarray, lifted: np.ndarray) -> float:
     """How far beyond the nearest centroid a query must look to meet SHARE of its neighbours in the sample.
 
@@ -143,13 +156,16 @@ def pruning_ratio(index: Index, sample: np.ndarray, lifted: np.ndarray) -> float
     near = np.argsort(-trials @ sample.T, axis=1)[:, 1 : K + 1]
     if not near.size:
         return 1.0
-    holds = np.full((len(sample), len(index.centroids)), np.inf)
-    for lo in range(0, len(sample), WALKERS):
-        rows, lists = index.lists(lifted[lo : lo + WALKERS], CLOSURE, COPIES)
-        holds[lo + rows, lists] = 0
+    held, of = np.unique(near, return_inverse=True)  # the sampled vectors that are some trial's neighbours
+    of = of.reshape(near.shape)
+    chosen = np.full((len(held), COPIES), -1)
+    for lo in range(0, len(held), WALKERS):
+        rows, lists = index.lists(lifted[held[lo : lo + WALKERS]], CLOSURE, COPIES)
+        nth = np.arange(len(rows)) - np.searchsorted(rows, rows)
+        chosen[lo + rows[nth < COPIES], nth[nth < COPIES]] = lists[nth < COPIES]
     aimed = index.aim(trials)
     far = np.sqrt(np.maximum(0, (aimed**2).sum(1)[:, None] - 2 * aimed @ index.centroids.T + (index.centroids**2).sum(1)))
-    need = [(far[i] + holds[near[i]]).min(axis=1) / far[i].min() for i in range(len(trials))]
+    need = [np.where(chosen[of[i]] >= 0, far[i][chosen[of[i]]], np.inf).min(axis=1) / far[i].min() for i in range(len(trials))]
     return float(np.quantile(np.concatenate(need), SHARE)) * (1 + 1e-9)
 
 
@@ -225,6 +241,7 @@ def _best(k: int):
         v, ids, lists = _matrix(stored["v"]), stored["cid"].to_numpy(), stored["list"].to_numpy()
         edges = np.flatnonzero(np.concatenate(([True], lists[1:] != lists[:-1], [True])))
         keep = COPIES * (k + 1)  # a vector may stand in so many lists
+        length = np.sqrt((v * v).sum(axis=1).max())
         out = []
         for lo in range(0, len(queries), WALKERS // 4):
             part = queries.iloc[lo : lo + WALKERS // 4]
@@ -233,25 +250,28 @@ def _best(k: int):
             for i, j in zip(edges[:-1], edges[1:], strict=True):
                 rows = [n for n, w in enumerate(wanted) if lists[i] in w]
                 rough[rows, i:j] = q[rows] @ v[i:j].T
-            near = np.argpartition(-rough, keep - 1, axis=1)[:, :keep] if keep < len(v) else np.broadcast_to(np.arange(len(v)), rough.shape)
-            rows, near = np.repeat(np.arange(len(q)), near.shape[1]), near.ravel()
-            read = np.isfinite(rough[rows, near])
-            rows, near = rows[read], near[read]
-            out.append(pd.DataFrame({"qcid": part["cid"].to_numpy()[rows], "cid": ids[near], "score": exact(q[rows], v[near])}))
-        found = pd.concat(out).drop_duplicates(["qcid", "cid"]).sort_values(["qcid", "score", "cid"], ascending=[True, False, True])
+            for n in range(len(q)):
+                read = np.flatnonzero(np.isfinite(rough[n]))
+                if len(read) > keep:  # all that could be among the best once scores are exact: ties and rounding too
+                    least = np.partition(rough[n][read], len(read) - keep)[len(read) - keep]
+                    read = read[rough[n][read] >= least - 1e-9 * length * np.sqrt(q[n] @ q[n])]
+                score = exact(np.broadcast_to(q[n], (len(read), q.shape[1])), v[read])
+                best = np.lexsort((ids[read], -score))[:keep]
+                out.append((np.full(len(best), part["cid"].to_numpy()[n]), ids[read[best]], score[best]))
+        found = pd.DataFrame(dict(zip(("qcid", "cid", "score"), map(np.concatenate, zip(*out, strict=True)), strict=True))).drop_duplicates(["qcid", "cid"]).sort_values(["qcid", "score", "cid"], ascending=[True, False, True])
         return found.groupby("qcid", sort=False).head(k + 1)
 
     return run
 
 
-def blocks(sizes: dict[int, int]) -> list[tuple[int, int, int]]:
-    """(list, block, parts): lists of neighbouring centroids share a block of up to PART vectors; a longer list is a block in
-    so many parts. At most MOST_LISTS rows."""
+def blocks(sizes: dict[int, int], most: int) -> list[tuple[int, int, int]]:
+    """(list, block, parts): lists of neighbouring centroids share a block of up to `most` vectors; a longer list is a block
+    in so many parts. One row a list."""
     out, block, room = [], -1, 0
     for number in sorted(sizes):
         if sizes[number] > room:
-            block, room = block + 1, PART
-        out.append((number, block, -(-sizes[number] // PART)))
+            block, room = block + 1, most
+        out.append((number, block, -(-sizes[number] // most)))
         room -= sizes[number]
     return out
 
@@ -262,8 +282,11 @@ def fit(distinct: DataFrame) -> Index | None:
     total, dims, largest = distinct.agg(F.count("*"), F.max(F.size("v")), F.max(norm)).first()
     if not total:
         return None
-    sample = distinct.select("v", "cid").orderBy(F.xxhash64("cid"), "cid").limit(min(SAMPLE, max(64, SAMPLE_NUMBERS // dims))).collect()
-    return build(np.array([r["v"] for r in sample], float), largest, total)
+    share = min(SAMPLE, max(64, SAMPLE_NUMBERS // dims)) / total
+    # by a bound on the hash and not by a sort, whose parts would all meet in one task
+    chosen = distinct if share >= 1 else distinct.filter(F.pmod(F.xxhash64("cid"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    sample = chosen.select("v", "cid").toArrow().sort_by("cid").combine_chunks()
+    return build(sample.column("v").combine_chunks().flatten().to_numpy().reshape(-1, dims), largest, total)
 
 
 def neighbours(vectors: DataFrame, k: int = K, every: int = EVERY) -> DataFrame:
@@ -275,13 +298,14 @@ def neighbours(vectors: DataFrame, k: int = K, every: int = EVERY) -> DataFrame:
     schema = "query_id long, rank int, vec_id long, score double"
     if index is None:
         return spark.createDataFrame([], schema)
-    shared = spark.sparkContext.broadcast(index)  # MOST_LISTS centroids at most
+    shared = spark.sparkContext.broadcast(index)  # a quarter of the sample at most
     asking = rows.filter(F.col("vec_id") % every == 0).select("vec_id", "v").distinct()
     asking = asking.join(distinct.select("v", "cid"), "v").select("vec_id", "cid")
     asked = distinct.join(asking.select("cid").distinct(), "cid", "left_semi").select("cid", "v")
     stored = saved(distinct.select("cid", "v").mapInPandas(_assign(shared), "list int, cid long, v array<double>"), "postings")
-    # one row a list, and one a block: MOST_LISTS at most
-    plan = blocks({r["list"]: r["count"] for r in stored.groupBy("list").count().collect()})
+    # one row a list, and one a block: a quarter of the sample at most
+    dims = index.centroids.shape[1]
+    plan = blocks({r["list"]: r["count"] for r in stored.groupBy("list").count().collect()}, max(1, min(PART, PART_NUMBERS // dims)))
     parts = {block: n for _, block, n in plan}
     chosen = saved(asked.mapInPandas(_choose(shared, {number: block for number, block, _ in plan}), "block int, cid long, v array<double>, lists array<int>"), "asked")
     turns = [(r["block"], parts[r["block"]], -(-r["count"] // QUERIES)) for r in chosen.groupBy("block").count().collect()]
