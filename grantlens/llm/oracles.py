@@ -1,12 +1,12 @@
 """DuckDB SQL for the queries that SQL can express.
 
-The others have none: CRC-32 (op5, op10), XXH64 (op9) and tokenization (op2) aren't in SQL; models (op4, op8), graph
-search (op6) and alignment (op1) are procedures. Tests hold those against plain versions.
+The others have none: CRC-32 (op5, op10), XXH64 (op9) and tokenization (op2, op12) aren't in SQL; models (op4, op8), graph
+search (op6), alignment (op1) and eigenvectors (op13) are procedures. Tests hold those against plain versions.
 """
 
 from __future__ import annotations
 
-from . import mixing, secrets
+from . import mixing, secrets, vacode, vectors
 
 
 def _quoted(pattern: str) -> str:
@@ -67,4 +67,29 @@ got AS (SELECT p.rid, sum((least(p.start + p.size, (p.block + 1) * {b}) - greate
 SELECT r.doc_id, r.size, e.source_size, round(e.target, 6) AS target, coalesce(g.taken, 0) AS taken, g.first_shard FROM placed r JOIN e ON r.source IS NOT DISTINCT FROM e.source LEFT JOIN got g ON r.rid = g.rid"""
 
 
-ORACLES: dict[str, str] = {"op3_mixing": _mixing(), "op7_secrets": _secrets()}
+def _vacode() -> str:
+    """Plain sums over all entries; distances as products of doubles, which hold these whole numbers exactly."""
+    p, n, scale = vacode.PARTS, vacode.ENTRIES, vectors.SCALE
+    rounds = [f"""
+e0 AS MATERIALIZED (SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id, rid) - 1 AS entry, v FROM parts QUALIFY entry < {n})"""]
+    near = """SELECT rid, part, min(entry) FILTER (d = least) AS entry, min(least) AS d FROM (SELECT *, min(d) OVER (PARTITION BY rid, part) AS least FROM (
+  SELECT p.rid, p.part, e.entry, list_inner_product(p.v, p.v) - 2 * list_inner_product(p.v, e.v) + list_inner_product(e.v, e.v) AS d FROM parts p JOIN {e} e ON p.part = e.part)) GROUP BY rid, part"""
+    for r in range(vacode.ROUNDS):
+        rounds.append(f"""
+n{r} AS MATERIALIZED ({near.format(e=f"e{r}")}),
+s{r} AS (SELECT n.part, n.entry, i, sum(p.v[i])::HUGEINT AS s, count(*)::HUGEINT AS n FROM n{r} n JOIN parts p ON n.rid = p.rid AND n.part = p.part, (SELECT unnest(range(1, (SELECT max(len(v)) FROM parts) + 1)) AS i) GROUP BY n.part, n.entry, i),
+m{r} AS (SELECT part, entry, list(((s - (s % n + n) % n) // n)::DOUBLE ORDER BY i) AS v FROM s{r} GROUP BY part, entry),
+e{r + 1} AS MATERIALIZED (SELECT e.part, e.entry, coalesce(m.v, e.v) AS v FROM e{r} e LEFT JOIN m{r} m ON e.part = m.part AND e.entry = m.entry)""")
+    last = vacode.ROUNDS
+    return f"""
+WITH kept AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id) AS rid, vec_id, label, list_transform(embedding, lambda c: floor({scale} * c::DOUBLE)) AS x FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+parts AS MATERIALIZED (SELECT rid, vec_id, part, x[(part * len(x) // {p} + 1)::BIGINT:((part + 1) * len(x) // {p})::BIGINT] AS v FROM kept, (SELECT unnest(range({p})) AS part)),{",".join(rounds)},
+n{last} AS MATERIALIZED ({near.format(e=f"e{last}")}),
+coded AS (SELECT rid, string_agg(format('{{:02x}}', entry), '' ORDER BY part) AS code, sum(d)::BIGINT AS error FROM n{last} GROUP BY rid),
+rows AS (SELECT k.vec_id, k.label, c.code, c.error FROM kept k JOIN coded c ON k.rid = c.rid),
+books AS (SELECT sha256(string_agg(list_aggregate(list_transform(v, lambda c: c::BIGINT::VARCHAR), 'string_agg', ','), ',' ORDER BY part, entry)) AS digest FROM e{last})
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, digest AS codebooks_sha256 FROM rows, books"""
+
+
+ORACLES: dict[str, str] = {"op3_mixing": _mixing(), "op7_secrets": _secrets(), "op11_vacode": _vacode()}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, langid, media, mixing, packing, passages, quality, secrets, sharding, simhash
+from . import ann, bpe, langid, media, mixing, packing, passages, quality, secrets, sharding, simhash, vacode, whitening
 from .common import read
 
 
@@ -51,4 +51,16 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.stored(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_passages, op2_packing, op3_mixing, op4_quality, op5_sharding, op6_ann, op7_secrets, op8_langid, op9_simhash, op10_media)}
+def op11_vacode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vacode.report(*vacode.compressed(read(spark, sf_dir, "embeddings")))
+
+
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.report(read(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.report(read(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_passages, op2_packing, op3_mixing, op4_quality, op5_sharding, op6_ann, op7_secrets, op8_langid, op9_simhash, op10_media, op11_vacode, op12_bpe, op13_whitening)}
