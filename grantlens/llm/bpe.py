@@ -10,7 +10,7 @@ is another symbol than the same byte inside a word, so it counts as unknown unti
 
 `Encoder` takes a text in pieces of any size. It normalises up to the last place where that is safe, cuts words, and
 holds of a long word no more than the lookahead and one block; what is final goes out. A bounded table keeps the ids of
-short words. `Decoder` takes ids in pieces of any size: it carries the bytes of an unfinished character, and the
+short runs of text between white space; those that it lacks are merged many at a time (`merged_many`). `Decoder` takes ids in pieces of any size: it carries the bytes of an unfinished character, and the
 separator that is due, from one to the next.
 
 Memory: one row's text and ids, as Arrow carries them, and beside them a bounded state. Only a run of combining marks is
@@ -32,6 +32,7 @@ import unicodedata
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -46,20 +47,25 @@ from .words import portions
 #: Bytes of a long word that are merged at a time, beside the lookahead; characters of a text that are normalised at a time.
 BLOCK = 4096
 CHUNK = 1 << 16
+#: Bytes of texts that are encoded together; a longer text is encoded by itself.
+PORTION = 4 << 20
 #: Ids that are decoded at a time.
 STEP = 1 << 16
-#: Words whose ids a task keeps, and their longest length in characters; bytes of a word that is merged without a heap.
-WORDS, WORD_CHARS = 1 << 20, 48
+#: Runs of text whose ids a worker keeps, and their longest length in characters; runs that wait for their ids at most.
+KNOWN, RUN_CHARS, WAITING = 1 << 20, 48, 1 << 19
+#: Bits of the table of pairs.
+SLOT_BITS = 20
+#: Bytes of a word that is merged without a heap.
 SHORT = 96
 #: Above all ids: a rank and the id that it makes are one number.
 MADE = 1 << 32
+#: The value of a pair that doesn't merge.
+NONE = 1 << 62
 #: Marks a symbol that ends a word.
 ENDS = "</w>"
 
 #: How the vocabulary's words are cut, as its file states it.
 CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
-#: The start of a contraction, which what follows decides.
-UNDECIDED = re.compile(r"'[rvl]?\Z")
 #: Characters on whose classes, case and composition all Unicode versions agree; texts with others go through the file's own rules.
 PLAIN = [*range(0x09, 0x0E), *range(0x20, 0x250), *range(0x300, 0x34F), *range(0x2010, 0x2028), *range(0x2030, 0x205F), *range(0x20A0, 0x20AD)]
 SPACES = " \t\n\r"
@@ -92,7 +98,8 @@ def byte_letters() -> list[str]:
 class Vocabulary:
     """spelled: id to the token as the file writes it; ranks: pair of ids to rank * MADE + the id made; inner, last: byte to its id
     inside and at the end of a word; special: string to id; marks: finds those strings; lookahead: bytes;
-    library: the file in the tokenizers library, for the rules of rare characters; known: ids of short words met so far."""
+    library: the file in the tokenizers library, for the rules of rare characters; known: ids of short runs met so far;
+    slots: ranks as a hashed table (keys, values, probes)."""
 
     spelled: list[str]
     ranks: dict[tuple[int, int], int]
@@ -103,6 +110,7 @@ class Vocabulary:
     lookahead: int
     library: Tokenizer
     known: dict[str, bytes]
+    slots: tuple[np.ndarray, np.ndarray, int]
 
     @classmethod
     def read(cls, path: str) -> Vocabulary:
@@ -117,7 +125,7 @@ class Vocabulary:
         marks = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True))) or r"(?!)")
         merges = [tuple(m.split(" ") if isinstance(m, str) else m) for m in file["model"]["merges"]]
         ranks = {(ids[a], ids[b]): rank * MADE + ids[a + b] for rank, (a, b) in enumerate(merges)}
-        return cls(spelled, ranks, [ids[c] for c in letters], [ids[c + ENDS] for c in letters], special, marks, lookahead(merges, [*letters, *[c + ENDS for c in letters]]), Tokenizer.from_file(path), {})
+        return cls(spelled, ranks, [ids[c] for c in letters], [ids[c + ENDS] for c in letters], special, marks, lookahead(merges, [*letters, *[c + ENDS for c in letters]]), Tokenizer.from_file(path), {}, hashed(ranks))
 
     def word(self, data: bytes) -> list[int]:
         """The ids of a whole word."""
@@ -125,6 +133,36 @@ class Vocabulary:
         symbols = [*[inner[b] for b in data[:-1]], *[self.last[b] for b in data[-1:]]]
         return merged(symbols, self.ranks) if len(data) <= SHORT else merged_long(symbols, self.ranks)[0]
 
+    def words(self, run: str) -> list[str]:
+        """The words of normalised text."""
+        if not RARE.search(run):
+            return WORD.findall(run)
+        return [run[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(run)]
+
+    def learn(self, runs: Iterable[str]) -> None:
+        """Puts the ids of runs of at most RUN_CHARS characters into known."""
+        known = self.known
+        parts = {r: self.words(r) for r in runs}
+        fresh = list({w for words in parts.values() for w in words}.difference(known))
+        known.update(zip(fresh, merged_many(self, [w.encode() for w in fresh]), strict=True))
+        known.update({r: b"".join([known[w] for w in words]) for r, words in parts.items() if len(words) != 1})
+
+    def ids(self, runs: list[str]) -> bytes:
+        """The ids of runs of text without white space."""
+        known, long = self.known, {}
+        missing = set(runs).difference(known)
+        if missing:
+            if len(known) > KNOWN:
+                known.clear()
+                missing = set(runs)
+            self.learn([r for r in missing if len(r) <= RUN_CHARS])
+            for r in missing:
+                if len(r) > RUN_CHARS:
+                    long[r] = b"".join([packed(LongWord.whole(self, w)) for w in self.words(r)])
+        if long:
+            return b"".join([long[r] if r in long else known[r] for r in runs])
+        return b"".join([known[r] for r in runs])
+
     def token_bytes(self) -> list[bytes]:
         """What each id stands for in a text; a word's end is a space."""
         of = {c: b for b, c in enumerate(byte_letters())}
@@ -161,16 +199,16 @@ def vocabulary(path: str) -> Vocabulary:
 
 def merged(symbols: list[int], ranks: dict[tuple[int, int], int]) -> list[int]:
     """The tokens that symbols merge to, the least rank first and the leftmost of equals."""
-    ids, none = list(symbols), 1 << 62
-    found = [ranks.get(pair, none) for pair in zip(ids, ids[1:])]
-    while found and (least := min(found)) < none:
+    ids = list(symbols)
+    found = [ranks.get(pair, NONE) for pair in zip(ids, ids[1:])]
+    while found and (least := min(found)) < NONE:
         i = found.index(least)
         ids[i : i + 2] = [least % MADE]
         del found[i]
         if i:
-            found[i - 1] = ranks.get((ids[i - 1], ids[i]), none)
+            found[i - 1] = ranks.get((ids[i - 1], ids[i]), NONE)
         if i < len(found):
-            found[i] = ranks.get((ids[i], ids[i + 1]), none)
+            found[i] = ranks.get((ids[i], ids[i + 1]), NONE)
     return ids
 
 
@@ -202,6 +240,63 @@ def merged_long(symbols: list[int], ranks: dict[tuple[int, int], int]) -> tuple[
     return [ids[i] for i in kept], [after[i] for i in kept]
 
 
+def hashed(ranks: dict[tuple[int, int], int]) -> tuple[np.ndarray, np.ndarray, int]:
+    """Pairs (as left << 32 | right) in a table with open addresses, their values, and the most probes that one needs."""
+    size, most = 1 << SLOT_BITS, 1
+    keys, values = np.full(size, -1, np.int64), np.full(size, NONE, np.int64)
+    pairs = np.array([a << 32 | b for a, b in ranks], np.int64)
+    for key, at, value in zip(pairs.tolist(), _slot(pairs).tolist(), ranks.values(), strict=True):
+        probes = 1
+        while keys[at] >= 0:
+            at, probes = (at + 1) % size, probes + 1
+        keys[at], values[at], most = key, value, max(most, probes)
+    return keys, values, most
+
+
+def _slot(pairs: np.ndarray) -> np.ndarray:
+    return ((pairs.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
+
+def merged_many(vocab: Vocabulary, words: list[bytes]) -> list[bytes]:
+    """The packed ids of whole words, all of them a merge further at a time."""
+    if not words:
+        return []
+    keys, values, probes = vocab.slots
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    data = np.frombuffer(b"".join(words), np.uint8)
+    ids, word = np.array(vocab.inner, np.int64)[data], np.repeat(np.arange(len(words)), size)
+    ends = np.cumsum(size) - 1
+    ids[ends] = np.array(vocab.last, np.int64)[data[ends]]
+    done_ids, done_words = [], []
+    while len(ids):
+        pair = (ids[:-1] << 32 | ids[1:])[(inside := word[:-1] == word[1:])]
+        slot = _slot(pair)
+        value = np.where(keys[slot] == pair, values[slot], NONE)
+        left = np.flatnonzero((value == NONE) & (keys[slot] >= 0))  # another pair is there
+        for n in range(1, probes):
+            if not len(left):
+                break
+            at = (slot[left] + n) % len(keys)
+            value[left] = np.where(keys[at] == pair[left], values[at], NONE)
+            left = left[(keys[at] >= 0) & (value[left] == NONE)]
+        rank = np.full(len(ids), NONE)
+        rank[:-1][inside] = value
+        begin = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
+        best = np.repeat(np.minimum.reduceat(rank, begin), np.diff(np.append(begin, len(ids))))
+        over = best == NONE
+        done_ids.append(ids[over])
+        done_words.append(word[over])
+        hit = np.flatnonzero((rank == best) & ~over)
+        hit = hit[np.concatenate(([True], word[hit[1:]] != word[hit[:-1]]))[: len(hit)]]  # the leftmost of each word
+        ids[hit] = rank[hit] % MADE
+        over[hit + 1] = True  # goes, as its left neighbour holds it now
+        ids, word = ids[~over], word[~over]
+    word = np.concatenate(done_words)
+    order = np.argsort(word, kind="stable")
+    flat, ends = np.concatenate(done_ids)[order].astype("<u4").tobytes(), (4 * np.cumsum(np.bincount(word, minlength=len(words)))).tolist()
+    return [flat[lo:hi] for lo, hi in zip([0, *ends], ends)]
+
+
 class LongWord:
     """One word's bytes in, ids out as soon as they are final. Holds no more than the lookahead and a block."""
 
@@ -224,6 +319,12 @@ class LongWord:
         data, self.held = self.held, b""
         return self.vocab.word(data)
 
+    @classmethod
+    def whole(cls, vocab: Vocabulary, word: str) -> Iterator[int]:
+        one = cls(vocab)
+        yield from one.feed(word.encode())
+        yield from one.finish()
+
 
 def safe(c: str) -> bool:
     """Whether nothing before c can compose with it or be ordered after it."""
@@ -231,7 +332,8 @@ def safe(c: str) -> bool:
 
 
 class Encoder:
-    """Text in pieces of any size in, little-endian unsigned 32-bit ids out."""
+    """Text in pieces of any size in, little-endian unsigned 32-bit ids out, or, by lines(), lists of runs of text (for
+    Vocabulary.ids) among ids: whoever encodes many texts can learn many new runs at once."""
 
     def __init__(self, vocab: Vocabulary) -> None:
         self.vocab = vocab
@@ -240,40 +342,38 @@ class Encoder:
         self.alike = ""  # a character that what continues it goes on from
 
     def feed(self, text: str) -> Iterator[bytes]:
-        for lo in range(0, len(text), CHUNK):
-            self.raw += text[lo : lo + CHUNK]
-            yield from self._specials()
-            yield from self._up_to(self._cut())
+        return (x if isinstance(x, bytes) else self.vocab.ids(x) for x in self.lines(text))
 
     def finish(self) -> Iterator[bytes]:
-        yield from self._up_to(len(self.raw))
-        yield from self._words("", True)
+        return (x if isinstance(x, bytes) else self.vocab.ids(x) for x in self.last_lines())
 
-    def _specials(self) -> Iterator[bytes]:
-        while "<" in self.raw and (mark := self.vocab.marks.search(self.raw)):
-            rest, self.raw = self.raw[mark.end() :], self.raw[: mark.start()]
-            yield from self.finish()  # nothing is normalised or merged across it
-            yield packed([self.vocab.special[mark.group()]])
-            self.raw = rest
+    def lines(self, text: str) -> Iterator[bytes | list[str]]:
+        for lo in range(0, len(text), CHUNK):
+            self.raw += text[lo : lo + CHUNK]
+            while "<" in self.raw and (mark := self.vocab.marks.search(self.raw)):
+                rest, self.raw = self.raw[mark.end() :], self.raw[: mark.start()]
+                yield from self.last_lines()  # nothing is normalised or merged across it
+                yield packed([self.vocab.special[mark.group()]])
+                self.raw = rest
+            if cut := self._cut():
+                head, self.raw = self.raw[:cut], self.raw[cut:]
+                yield from self._words(self.normalised(head), False)
+
+    def last_lines(self) -> Iterator[bytes | list[str]]:
+        head, self.raw = self.raw, ""
+        yield from self._words(self.normalised(head), True)
 
     def _cut(self) -> int:
         """The last place up to which raw can be normalised now: behind white space, or else before a safe character."""
         n = len(self.raw)
-        for special in self.vocab.special:  # the start of one may stand at the end
-            for k in range(min(len(special) - 1, n), 0, -1):
-                if self.raw.endswith(special[:k]):
-                    n = min(n, len(self.raw) - k)
-                    break
+        if "<" in self.raw[-max(map(len, self.vocab.special), default=0) :]:
+            for special in self.vocab.special:  # the start of one may stand at the end
+                n = min(n, next((len(self.raw) - k for k in range(len(special) - 1, 0, -1) if self.raw.endswith(special[:k])), n))
         space = max(self.raw.rfind(c, 0, n) for c in SPACES) + 1
         if space:
             return space
         return next((i for i in range(min(n, len(self.raw) - 1), 0, -1) if safe(self.raw[i])), 0)
 
-    def _up_to(self, cut: int) -> Iterator[bytes]:
-        if cut:
-            head, self.raw = self.raw[:cut], self.raw[cut:]
-            yield from self._words(self.normalised(head), False)
-
     def normalised(self, text: str) -> str:
         """As the file's rules say, which fold white space too; words don't depend on that."""
         if text.isascii():
@@ -282,52 +382,40 @@ class Encoder:
             return unicodedata.normalize("NFC", text).lower()
         return self.vocab.library.normalizer.normalize_str(text)
 
-    def cut_words(self, text: str) -> list[str]:
-        if not RARE.search(text):
-            return WORD.findall(text)
-        return [text[a:b] for _, (a, b) in self.vocab.library.pre_tokenizer.pre_tokenize_str(text)]
-
-    def _words(self, text: str, last: bool) -> Iterator[bytes]:
-        """Cuts words; one that touches the end stays open unless the text ends here."""
+    def _words(self, text: str, last: bool) -> Iterator[bytes | list[str]]:
+        """Cuts runs; a word that touches the end stays open unless the text ends here."""
         text, self.rest = self.rest + text, ""
         if self.word is not None:
-            end = len(self.cut_words(self.alike + text)[0]) - 1
+            end = len(self.vocab.words(self.alike + text)[0]) - 1
             if end:
                 yield packed(self.word.feed(text[:end].encode()))
             if end == len(text) and not last:
                 return
             yield packed(self.word.finish())
             self.word, text = None, text[end:]
-        if not last and (start := UNDECIDED.search(text)) and self.cut_words(text[: start.start() + 1])[-1] == "'":
-            self.rest, text = text[start.start() :], text[: start.start()]
-        words = self.cut_words(text)
-        alike = self.kind(words[-1]) if words and not last and text.endswith(words[-1]) else ""
-        tail = words.pop() if alike else ""
-        yield self.ids(words)
+        rare = RARE.search(text)
+        runs = self.vocab.words(text) if rare else text.split()
+        tail = ""
+        if runs and not last and text.endswith(runs[-1]):
+            if not rare:
+                runs += self.vocab.words(runs.pop())
+            if runs[-1] == "'" or (runs[-1] in ("r", "v", "l") and runs[-2:-1] == ["'"] and text.endswith("'" + runs[-1])):
+                self.rest = "'" + runs.pop().removeprefix("'")  # the start of a contraction, maybe
+                if runs and len(self.rest) > 1:
+                    runs.pop()
+            else:
+                self.alike = self.kind(runs[-1])
+                tail = runs.pop() if self.alike else ""
+        yield runs
         if tail:
-            self.word, self.alike = LongWord(self.vocab), alike
+            self.word = LongWord(self.vocab)
             yield packed(self.word.feed(tail.encode()))
 
     def kind(self, word: str) -> str:
         """A character that a word goes on from like this one; none if nothing may be added to it."""
         if word in CONTRACTIONS:
             return ""
-        return next((c for c in "a!" if len(self.cut_words(c + word[0])) == 1), "")
-
-    def ids(self, words: list[str]) -> bytes:
-        vocab, known = self.vocab, self.vocab.known
-        if len(known) > WORDS:
-            known.clear()
-        long = {}
-        for w in set(words).difference(known):
-            if len(w) <= WORD_CHARS:
-                known[w] = packed(vocab.word(w.encode()))
-            else:
-                one = LongWord(vocab)
-                long[w] = packed([*one.feed(w.encode()), *one.finish()])
-        if long:
-            return b"".join([known[w] if w in known else long[w] for w in words])
-        return b"".join([known[w] for w in words])
+        return next((c for c in "a!" if len(self.vocab.words(c + word[0])) == 1), "")
 
 
 def packed(ids: Iterable[int]) -> bytes:
@@ -364,16 +452,45 @@ def _encoded(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path)
         for batch in batches:
-            for part in portions(batch, "text"):
-                found = []
-                for text in part.column("text"):
-                    encoder = Encoder(vocab)
-                    found.append(b"".join([*encoder.feed(text.as_py() or ""), *encoder.finish()]))
+            for part in portions(batch, "text", PORTION):
+                found = encode_many(vocab, [text.as_py() or "" for text in part.column("text")])
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(found, pa.binary())], ["doc_id", "ids"])
 
     return run
 
 
+def encode_many(vocab: Vocabulary, texts: Iterable[str]) -> list[bytes]:
+    """The packed ids of each text. New runs are learnt whenever about WAITING runs have come together."""
+    done: list[list] = []
+    waiting: list[tuple[list, int]] = []
+    count = 0
+
+    def settle() -> None:
+        nonlocal count
+        missing = {r for line, i in waiting for r in line[i]}.difference(vocab.known)
+        if len(vocab.known) > KNOWN:
+            vocab.known.clear()
+            missing = {r for line, i in waiting for r in line[i]}
+        vocab.learn([r for r in missing if len(r) <= RUN_CHARS])
+        for line, i in waiting:
+            line[i] = vocab.ids(line[i])
+        waiting.clear()
+        count = 0
+
+    for text in texts:
+        encoder, line = Encoder(vocab), []
+        done.append(line)
+        for one in chain(encoder.lines(text), encoder.last_lines()):
+            line.append(one)
+            if not isinstance(one, bytes):
+                waiting.append((line, len(line) - 1))
+                count += len(one)
+                if count > WAITING:
+                    settle()
+    settle()
+    return [b"".join(line) for line in done]
+
+
 def _decoded(path: str, spelled: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path)

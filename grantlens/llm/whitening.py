@@ -160,7 +160,7 @@ def _products(shared):
     return run
 
 
-def _merge(key, frame: pd.DataFrame) -> pd.DataFrame:
+def _merge(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
     frame = frame.sort_values("task")
     high, low = total(np.stack(frame["high"].to_numpy()), np.stack(frame["low"].to_numpy()))
     return pd.DataFrame({"task": [key[1]], "block": [key[0]], "high": [high], "low": [low]})
@@ -188,10 +188,11 @@ def covariance(rows: DataFrame, mean: Mean) -> tuple[np.ndarray, np.ndarray]:
     return high, ((out[0] - p) - e + out[1]) / mean.n
 
 
-def eigen(high: np.ndarray, low: np.ndarray, rounds: int = 2) -> tuple[np.ndarray, np.ndarray]:
+def eigen(high: np.ndarray, low: np.ndarray, rounds: int = 8) -> tuple[np.ndarray, np.ndarray]:
     """Eigenvalues, falling, and unit eigenvectors as columns, their largest entry positive.
 
-    The solver's vectors are refined by Ogita and Aishima's iteration in extended precision.
+    The solver's vectors are refined by Ogita and Aishima's iteration in extended precision, until a step changes nothing
+    that a double could hold.
     """
     a = high.astype(np.longdouble) + low
     values, start = np.linalg.eigh(high)
@@ -201,11 +202,15 @@ def eigen(high: np.ndarray, low: np.ndarray, rounds: int = 2) -> tuple[np.ndarra
     for _ in range(rounds if size > 0 else 0):
         r = np.eye(len(a), dtype=np.longdouble) - x.T @ x
         s = x.T @ (a @ x)
+        r, s = (r + r.T) / 2, (s + s.T) / 2  # a rounding that isn't symmetric would grow by close eigenvalues
         lam = np.diag(s) / (1 - np.diag(r))
         gap = lam[None, :] - lam[:, None]
         near = 2 * (np.linalg.norm((s - np.diag(np.diag(s))).astype(np.float64)) + size * np.linalg.norm(r.astype(np.float64)))
         apart = np.abs(gap) > max(near, 1e-18 * size)
-        x = x + x @ np.where(apart, (s + lam[None, :] * r) / np.where(apart, gap, 1), r / 2)
+        step = np.where(apart, (s + lam[None, :] * r) / np.where(apart, gap, 1), r / 2)
+        x = x + x @ step
+        if np.abs(step).max() < 1e-17:
+            break
     order = np.argsort(-lam, kind="stable")
     values, x = lam[order].astype(np.float64), x[:, order].astype(np.float64)
     sign = np.sign(x[np.abs(x).argmax(axis=0), np.arange(x.shape[1])])
