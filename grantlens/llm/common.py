@@ -48,6 +48,14 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def table_at(spark: SparkSession, folder: str, schema: str) -> DataFrame | None:
+    """The Parquet table in a folder, or None where there is none yet."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        return None
+    return spark.read.schema(schema).parquet(folder)
+
+
 def ranged(df: DataFrame, keys: list[str], out: str, name: str) -> DataFrame:
     """df as a table sorted into ranges of keys (nulls first), with out: the number of a row's range, which no density of keys makes uneven."""
     parts = df.repartitionByRange(*[F.col(k).asc_nulls_first() for k in keys]).withColumn(out, F.spark_partition_id())

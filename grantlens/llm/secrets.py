@@ -18,7 +18,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import boxed, shared_dir, unboxed
+from .common import boxed, shared_dir, table_at, unboxed
 
 #: Fixed rules, by name: version, pattern, least length, the group that the length counts (0: all of the match).
 RULES = {
@@ -119,10 +119,7 @@ def scan(paths: DataFrame, ledger: DataFrame | None = None, rules: list[str] | N
 
 def stored(spark: SparkSession, folder: str) -> DataFrame | None:
     """The ledger in a folder, or None where there is none yet."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
-        return None
-    return spark.read.schema(LEDGER).parquet(folder)
+    return table_at(spark, folder, LEDGER)
 
 
 def incremental(paths: DataFrame, folder: str | None = None, rules: list[str] | None = None) -> DataFrame:

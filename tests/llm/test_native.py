@@ -103,6 +103,29 @@ def test_a_source_with_sparse_and_null_ids(spark):
     assert Counter((r["doc_id"], r["size"], r["taken"]) for r in rows) == Counter((d, i + 1, i + 1) for i, (d, _, _, _) in enumerate(docs))
 
 
+def test_a_stored_map_is_read_and_edited(spark, tmp_path):
+    """A second run reads what the first stored; other bytes append a version that starts from the last one."""
+    folder, docs = f"{tmp_path}/map", documents()
+    heavy = [(1000 + i, "x" * 5_000 * (i % 9 == 0), "en", "a") for i in range(400)]
+    first = sorted(map(tuple, sharding.sharded(frame(spark, docs + heavy), folder=folder).collect()), key=repr)
+    known = {(r["version"], r["parent"], r["shards"], r["change"]) for r in sharding.SlotMap(spark, folder).versions().collect()}
+    assert known == {(1, None, 24, "first"), (2, 1, 25, "grown"), (3, 1, 24, "rebalanced")}
+    # a slot moved by hand in a later version: the next run starts from it
+    slots = sharding.SlotMap(spark, folder)
+    owner = slots.last(24, ["rebalanced"])[1]
+    moved = [(s + 1) % 24 if i == 7 else s for i, s in enumerate(owner)]
+    assert slots.append(24, "rebalanced", 3, moved)[0] == 4
+    empty_slots = {k: 0 for k in range(sharding.SLOTS)}
+    assert slots.rebalanced(24, empty_slots) == (4, moved)  # nothing to move: no new version
+    again = sorted(map(tuple, sharding.sharded(frame(spark, docs + heavy), folder=folder).collect()), key=repr)
+    assert [r[:8] for r in again] == [r[:8] for r in first]  # the law's columns don't depend on what is stored
+    other = [(1000 + i, "x" * 5_000 * (i % 7 == 0), "en", "a") for i in range(400)]
+    sharding.sharded(frame(spark, docs + other), folder=folder).collect()
+    rows = slots.versions().groupBy("version", "parent", "change").count().orderBy("version").collect()
+    assert rows[-1]["change"] == "rebalanced" and rows[-1]["parent"] == rows[-1]["version"] - 1 and rows[-1]["version"] > 4
+    assert all(r["count"] == sharding.SLOTS for r in rows)
+
+
 def test_sharding_law(spark):
     rows = sharding.sharded(frame(spark)).collect()
     docs = documents()
