@@ -3,17 +3,23 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """df as a reliable checkpoint in the folder of spark.checkpoint.dir. Where none is named, a local run gets a temporary
-    folder; on a cluster that would be no shared place."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not named and sc.master.split("[")[0] != "local":
+    """df written as Parquet in the folder of spark.checkpoint.dir and read back: lineage ends here, sizes are known to the
+    planner, and columns are pruned. Where no folder is named, a local run gets a temporary one; on a cluster that would be
+    no shared place."""
+    spark = df.sparkSession
+    sc = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not named:
+        if sc.master.split("[")[0] != "local":
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="grantlens-"))
-    return df.checkpoint()
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="grantlens-"))
+        named = sc.getCheckpointDir()
+    path = f"{named.rstrip('/')}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -1,8 +1,8 @@
 """Entity resolution against a dimension: candidates by equal keys, disambiguation, fuzzy matches with margins.
 
 A dimension has canonical_id, name, state, city, entity_class and pos (its row order; an id's first row is shown). Names
-to resolve have qid, name, city, state, one row each. Joins are on equal keys throughout: names, prefixes, states,
-tokens. Fuzzy scores are computed for pairs that share a block only, once a distinct pair.
+to resolve have qid, name, city, state, one row each. Joins are on equal keys throughout: names, prefixes, states, rare
+grams and tokens. Fuzzy scores are computed once a distinct pair, for pairs that may reach the floor (see alike).
 """
 
 from __future__ import annotations
@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from ..functions import fixed, text
 from ..functions.lineage import cut
 from ..functions.numbering import first_rows
-from ..functions.similarity import scores, sorted_tokens
+from ..functions.similarity import scores
+from .alike import candidates
+from .anchors import first_rule
 
 HOME_CLASSES = ("IPEDS-US", "non-IPEDS-US")
 
@@ -96,10 +98,10 @@ def federation(members: dict[str, Sequence[str]], shared: Sequence[str], ids: di
     return alone + [(f"{name} {seat}", ident) for name in shared for seat, ident in ids.items()]
 
 
-def overrides(names: DataFrame, by_state: DataFrame, by_city: DataFrame, by_name: DataFrame, contains: Sequence[tuple[str, Sequence[str], str]] = (), by_member: DataFrame | None = None) -> DataFrame:
+def overrides(names: DataFrame, by_state: DataFrame, by_city: DataFrame, by_name: DataFrame, contains: Sequence[tuple[str, Sequence[str], str]] | DataFrame = (), by_member: DataFrame | None = None) -> DataFrame:
     """qid, canonical_id from rule tables, the most specific first: (key, state, id), (key, city, id), (key, id), by_member
     (key, id: colleges of a federation), then (must, excludes, id) in order: the first whose text stands in the name, and
-    none of its exclusions, wins.
+    none of its exclusions, wins. A long list of those is a table (rule_no, must, excludes, id), which an automaton reads.
 
     Rule keys are normalised like names, so a rule can't miss by its spelling. Whether rule tables are broadcast is
     left to their size.
@@ -115,7 +117,12 @@ def overrides(names: DataFrame, by_state: DataFrame, by_city: DataFrame, by_name
         rows = rows.withColumn("id_member", F.lit(None).cast("string"))
     else:
         rows = rows.join(_rules(by_member, {}, "id_member"), F.col("g") == F.col("k_id_member"), "left")
-    return rows.select("qid", F.coalesce("id_state", "id_city", "id_name", "id_member", contains_rule(F.col("g"), contains)).alias("canonical_id")).filter("canonical_id IS NOT NULL")
+    if isinstance(contains, DataFrame):
+        last = F.col("id_rule")
+        rows = rows.join(first_rule(rows.select("g").distinct(), "g", "g", contains).withColumnsRenamed({"g": "k_id_rule", "id": "id_rule"}), F.col("g") == F.col("k_id_rule"), "left")
+    else:
+        last = contains_rule(F.col("g"), contains)
+    return rows.select("qid", F.coalesce("id_state", "id_city", "id_name", "id_member", last).alias("canonical_id")).filter("canonical_id IS NOT NULL")
 
 
 def contains_rule(c: Column, rules: Sequence[tuple[str, Sequence[str], str]]) -> Column:
@@ -163,11 +170,9 @@ def margins(scored: DataFrame, key: str, floor: float, margin: float) -> DataFra
     return out.withColumn("accepted", (F.col("top") >= floor) & (F.col("top") - F.col("second") >= margin))
 
 
-def token_pairs(queries: DataFrame, entries: DataFrame, common: Sequence[str] = fixed.COMMON_TOKENS) -> DataFrame:
-    """q, n: the distinct pairs of names that share a distinctive token. queries: q; entries: n; both normalised."""
-    a = queries.select("q").distinct().select("q", F.explode(text.distinctive_tokens(F.col("q"), common)).alias("t"))
-    b = entries.select("n").distinct().select("n", F.explode(text.distinctive_tokens(F.col("n"), common)).alias("t"))
-    return a.join(b, "t").select("q", "n").distinct()
+def shares_token(a: Column, b: Column, common: Sequence[str] = fixed.COMMON_TOKENS) -> Column:
+    """Whether two normalised names share a distinctive token."""
+    return F.arrays_overlap(text.distinctive_tokens(a, common), text.distinctive_tokens(b, common))
 
 
 def national(names: DataFrame, dim: DataFrame, floor: float = 93, margin: float = 10, least: int = 10, common: Sequence[str] = fixed.COMMON_TOKENS, classes: Sequence[str] | None = HOME_CLASSES) -> DataFrame:
@@ -176,59 +181,17 @@ def national(names: DataFrame, dim: DataFrame, floor: float = 93, margin: float
     if classes is not None:
         d = d.filter(F.col("entity_class").isin(*classes))
     fit = names.filter((F.length("q") >= least) & F.col("q").contains(" "))
-    pairs = token_pairs(fit, d.select(F.col("norm_name").alias("n")), common)
+    pairs = candidates(fit, d.select(F.col("norm_name").alias("n")), "token_set", floor).filter(shares_token(F.col("q"), F.col("n"), common))
     pairs = pairs.withColumn("score", scores("token_set")("q", "n")).filter(F.col("score") >= floor)
     scored = pairs.join(d.select(F.col("norm_name").alias("n"), "canonical_id").distinct(), "n")
     return fit.select("qid", "q").join(margins(scored, "q", floor, margin), "q")
 
 
-def telling_tokens(c: Column, share: float, common: Sequence[str]) -> Column:
-    """Tokens of a name with more than 1 - share of its letters: what shares at least `share` of the name has one of them.
-
-    Longer tokens come first, frequent ones last, so frequent ones are rarely needed.
-    """
-    frequent = F.array(*[F.lit(t) for t in common]).cast("array<string>")
-    ranked = F.array_sort(F.transform(text.tokens(c), lambda t: F.struct(F.array_contains(frequent, t).alias("frequent"), (-F.length(t)).alias("size"), t.alias("t"))))
-    start = F.struct(F.lit(0).alias("letters"), F.array().cast("array<string>").alias("taken"))
-    enough = (1 - share) * F.length(c)
-
-    def step(acc: Column, x: Column) -> Column:
-        more = acc["letters"] <= enough
-        return F.struct((acc["letters"] - x["size"]).alias("letters"), F.when(more, F.concat(acc["taken"], F.array(x["t"]))).otherwise(acc["taken"]).alias("taken"))
-
-    return F.aggregate(ranked, start, step, lambda acc: acc["taken"])
-
-
-def state_pairs(queries: DataFrame, entries: DataFrame, kind: str, floor: float, common: Sequence[str] = fixed.COMMON_TOKENS) -> DataFrame:
-    """q, q_state, n: the distinct pairs of a state that may reach the floor. queries: q, q_state; entries: n, q_state.
-
-    A plain or token-sort ratio needs lengths that are near enough, so names meet on state and length. A token-set ratio
-    also reaches the floor where one name's tokens are nearly all in the other, so names meet on the telling tokens of
-    either as well. No state's names are paired with all of its entries.
-    """
-    share = floor / (200 - floor)  # of the longer text that the shorter one has at least
-    a = queries.select("q", "q_state").distinct()
-    b = entries.select("n", "q_state").distinct()
-    if kind == "token_set":
-        a, b = a.withColumn("a_size", F.length(sorted_tokens(F.col("q"), True))), b.withColumn("size", F.length(sorted_tokens(F.col("n"), True)))
-    else:
-        a, b = a.withColumn("a_size", F.length("q")), b.withColumn("size", F.length("n"))
-    lengths = F.sequence(F.ceil(F.col("a_size") * share - 1e-6).cast("int"), F.floor(F.col("a_size") / share + 1e-6).cast("int"))
-    pairs = a.withColumn("size", F.explode(lengths)).join(b, ["q_state", "size"]).select("q", "q_state", "n")
-    if kind != "token_set":
-        return pairs
-    tokens = lambda df, c, found: df.select(c, "q_state", F.explode(found).alias("t"))
-    for mine, theirs in ((telling_tokens, lambda c, *_: text.tokens(c)), (lambda c, *_: text.tokens(c), telling_tokens)):
-        met = tokens(a, "q", mine(F.col("q"), share, common)).join(tokens(b, "n", theirs(F.col("n"), share, common)), ["q_state", "t"])
-        pairs = pairs.unionByName(met.select("q", "q_state", "n"))
-    return pairs.distinct()
-
-
 def in_state(names: DataFrame, dim: DataFrame, kind: str, floor: float, margin: float, least: int = 6) -> DataFrame:
     """qid with margins() columns, by similarity to names in the same state. names: qid, q, q_state."""
     d = prepared(dim).select(F.col("up_state").alias("q_state"), F.col("norm_name").alias("n"), "canonical_id").distinct()
     fit = names.filter((F.length("q") >= least) & (F.col("q_state") != ""))
-    pairs = state_pairs(fit, d, kind, floor)
+    pairs = candidates(fit, d, kind, floor, ["q_state"])
     pairs = pairs.withColumn("score", scores(kind)("q", "n")).filter(F.col("score") >= floor)
     scored = pairs.join(d, ["q_state", "n"]).withColumn("key", F.concat_ws("\x01", "q", "q_state"))
     return fit.withColumn("key", F.concat_ws("\x01", "q", "q_state")).join(margins(scored, "key", floor, margin), "key").drop("key")

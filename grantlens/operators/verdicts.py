@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed, text
 from ..functions.numbering import numbered
-from ..functions.similarity import could_reach, scores
-from .matching import token_pairs
+from ..functions.similarity import scores
+from .alike import candidates
+from .matching import shares_token
 
 
 def foreign_signal(country: Column, state: Column, code: Column, home: Sequence[str] = tuple(fixed.HOME_COUNTRIES), states: Sequence[str] = fixed.STATES) -> Column:
@@ -19,10 +20,11 @@ def foreign_signal(country: Column, state: Column, code: Column, home: Sequence[
     return ~country.isin(*home) | ((F.length(state) >= 2) & ~F.upper(state).isin(*states)) | ((code != "") & ~code.rlike(fixed.ZIP_PATTERN))
 
 
-def territory_name(state: Column, foreign: Column) -> Column:
-    """The formal name of a territory; other codes stay; abroad: empty."""
+def territory_name(state: Column, foreign: Column, states: Sequence[str] = fixed.STATES) -> Column:
+    """The formal name of a territory; other codes of states stay as they are; empty abroad and for what is no state's code."""
     names = F.create_map(*[F.lit(x) for p in fixed.TERRITORIES.items() for x in p])
-    return F.when(foreign, "").otherwise(F.coalesce(F.try_element_at(names, F.upper(state)), state))
+    code = F.upper(F.coalesce(state, F.lit("")))
+    return F.when(foreign | ~code.isin(*states), "").otherwise(F.coalesce(F.try_element_at(names, code), state))
 
 
 def heavy_rename(raw: Column, proposed: Column, floor: float = 55, subunits: str = fixed.SUBUNITS) -> Column:
@@ -88,24 +90,13 @@ def waterfall(c: Column, rules: Sequence[tuple[str, str, str, float, str]]) -> C
     return out
 
 
-def longest_anchor(texts: DataFrame, key: str, column: str, anchors: DataFrame) -> DataFrame:
-    """key, anchor: the longest anchor that stands in the text between word bounds (the least of equals).
-
-    Texts and anchors meet on the anchor's first word, an equal key, before the text is searched.
-    """
-    a = anchors.select("anchor").distinct().withColumn("t", F.element_at(F.split("anchor", " "), 1))
-    words = texts.select(key, F.col(column).alias("s"), F.explode(F.array_distinct(F.split(F.col(column), " "))).alias("t"))
-    met = words.join(a, "t").filter(F.instr(F.concat(F.lit(" "), F.col("s"), F.lit(" ")), F.concat(F.lit(" "), F.col("anchor"), F.lit(" "))) > 0)
-    return met.groupBy(key).agg(F.min_by("anchor", F.struct(-F.length("anchor"), F.col("anchor"))).alias("anchor"))
-
-
 def snapped(names: DataFrame, anchors: DataFrame, floor: float = 90) -> DataFrame:
     """q, anchor, score: the nearest anchor of each name by ratio, the least of equals, if it is near enough.
 
-    Names and anchors meet on a shared word, so a name that shares none has no anchor; a distinct pair is scored once.
+    A name that shares no word with an anchor has none; a distinct pair is scored once.
     """
-    pairs = token_pairs(names, anchors.select(F.col("anchor").alias("n")), common=())
-    near = pairs.filter(could_reach(F.col("q"), F.col("n"), floor)).withColumn("score", scores("ratio")("q", "n")).filter(F.col("score") >= floor)
+    pairs = candidates(names, anchors.select(F.col("anchor").alias("n")), "ratio", floor).filter(shares_token(F.col("q"), F.col("n"), ()))
+    near = pairs.withColumn("score", scores("ratio")("q", "n")).filter(F.col("score") >= floor)
     best = near.groupBy("q").agg(F.min(F.struct((-F.col("score")).alias("away"), F.col("n").alias("anchor"))).alias("best"))
     return best.select("q", "best.anchor", (-F.col("best.away")).alias("score"))
 

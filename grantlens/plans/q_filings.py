@@ -135,7 +135,8 @@ def lpt_partition(spark, sf_dir):
 
 # ---- XML ------------------------------------------------------------------------------------------------------
 def customer_returns(spark: SparkSession, sf_dir: str, variants: bool = False, broken: bool = False) -> DataFrame:
-    """Orders as XML returns: path, value. variants: element names by key parity; broken: every seventh is cut off."""
+    """Orders as XML returns: path, value. variants: element names, and how deep fields lie, by key parity; broken: every
+    seventh is cut off."""
     l = table(spark, sf_dir, "lineitem")  # noqa: E741
     old = (F.col("l_orderkey") % 2 == 1) if variants else F.lit(False)
 
@@ -150,6 +151,7 @@ def customer_returns(spark: SparkSession, sf_dir: str, variants: bool = False, b
         tag("Amt", "AmountOfCashGrant", F.col("l_quantity").cast("decimal(12,2)").cast("string")),
         tag("PurposeOfGrantTxt", "PurposeOfGrant", F.col("l_linestatus")),
     )
+    inner = F.when(old, F.concat(F.lit("<Detail><Part>"), inner, F.lit("</Part></Detail>"))).otherwise(inner)
     group = F.concat(F.lit("<RecipientTable>"), inner, F.lit("</RecipientTable>"))
     groups = l.groupBy("l_orderkey").agg(F.array_join(F.array_sort(F.collect_list(group)), "").alias("groups"))
     o = table(spark, sf_dir, "orders").join(groups, F.col("l_orderkey") == F.col("o_orderkey"))
@@ -190,13 +192,13 @@ def xml_unflagged(spark, sf_dir):
 
 
 @query("""WITH r AS (SELECT o_orderkey, o_orderstatus, o_orderkey % 7 = 0 AS bad, EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_quantity >= 45) AS bearing FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem))
-SELECT count(*) AS recorded, count(*) FILTER (NOT bad AND bearing) AS kept, count(*) FILTER (NOT bad AND NOT bearing) AS deleted, count(*) FILTER (bad) AS failed, count(*) FILTER (o_orderstatus = 'F') AS supporting_org FROM r""")
+SELECT count(*) AS recorded, count(*) FILTER (NOT bad AND bearing) AS kept, count(*) FILTER (NOT bad AND NOT bearing) AS deleted, count(*) FILTER (bad) AS failed, count(*) FILTER (o_orderstatus = 'F' AND NOT bad) AS supporting_org FROM r""")
 def run_counters(spark, sf_dir):
-    """What became of each return of a run."""
+    """What became of the returns of a run, counted while their log is written."""
     files = returns.filings(customer_returns(spark, sf_dir, broken=True))
-    bearing = returns.grants(files).filter(F.col("grant_amount").cast("double") >= 45).select(F.col("xml_file").alias("k")).distinct()
-    log = files.join(bearing, F.col("xml_file") == F.col("k"), "left").withColumn("grant_bearing", F.col("k").isNotNull())
-    return stages.run_counters(log)
+    log = files.withColumn("grant_bearing", stages.bearing(lambda g: returns.amount(g).cast("double") >= 45)).drop("groups")
+    _, counts = stages.recorded(log)
+    return spark.createDataFrame([counts], "recorded long, kept long, deleted long, failed long, supporting_org long")
 
 
 @query("""SELECT o_orderkey || '_public.xml' AS xml_file FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem) AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')
@@ -241,9 +243,9 @@ def address_union(spark, sf_dir):
     c = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     home = F.concat(F.lit("<AddressUS><State>"), F.col("n_name"), F.lit("</State></AddressUS>"))
     abroad = F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("<AddressForeign><ProvinceOrState>P"), F.col("n_nationkey").cast("string"), F.lit("</ProvinceOrState><Country>"), F.col("r_name"), F.lit("</Country></AddressForeign>"))).otherwise("")
-    block = F.concat(F.lit("<g>"), F.when(F.col("r_name") == "AMERICA", F.concat(abroad, home)).otherwise(abroad), F.lit("</g>"))
-    g = F.from_xml(block, returns.GROUP, {"rowTag": "g"})
-    return c.select("c_custkey", returns.address(g).alias("a")).select("c_custkey", "a.state", "a.country", "a.type")
+    block = F.concat(F.lit("<Return><Filer/><RecipientTable>"), F.when(F.col("r_name") == "AMERICA", F.concat(abroad, home)).otherwise(abroad), F.lit("</RecipientTable></Return>"))
+    g = returns.parsed(c.select(F.col("c_custkey").cast("string").alias("path"), block.alias("value"))).select(F.col("path").cast("long").alias("c_custkey"), F.col("groups")[0]["blocks"].alias("blocks"))
+    return g.select("c_custkey", returns.address(F.col("blocks")).alias("a")).select("c_custkey", "a.state", "a.country", "a.type")
 
 
 @query("""SELECT event_id, strftime(CASE event_id % 4 WHEN 0 THEN date_trunc('second', ts) WHEN 1 THEN date_trunc('second', ts) - INTERVAL 5 HOUR WHEN 2 THEN date_trunc('day', ts) ELSE TIMESTAMP '0001-01-01' END, '%Y-%m-%d %H:%M:%S') AS return_ts FROM events""")
@@ -260,4 +262,5 @@ def filer_flags_any(spark, sf_dir):
     """Flags anywhere in a return; the first element of a tag counts."""
     k = F.get_json_object("props", "$.k").cast("int")
     value = F.concat(F.lit("<Return><a><HospitalInd>"), F.when(k % 5 == 0, " x ").otherwise("0"), F.lit("</HospitalInd><HospitalInd>X</HospitalInd></a>"), F.when(F.col("event_type") == "error", '<SchoolInd ref="1">X</SchoolInd>').otherwise("<SchoolInd/>"), F.lit("</Return>"))
-    return table(spark, sf_dir, "events").select("event_id", returns.flagged(value).alias("flagged"))
+    found = returns.parsed(table(spark, sf_dir, "events").select(F.col("event_id").cast("string").alias("path"), value.alias("value")))
+    return found.select(F.col("path").cast("long").alias("event_id"), returns.flagged(F.col("root")).alias("flagged"))

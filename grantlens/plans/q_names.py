@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed, similarity, text
 from ..functions.lineage import cut
-from ..operators import grams, matching, reporting, verdicts
+from ..operators import anchors, grams, matching, minting, reporting, verdicts
 from . import stages
 from .common import registry, sql_lcs, sql_norm, sql_strip, table
 
@@ -115,8 +115,11 @@ def federation_members(spark, sf_dir):
 
 @query("SELECT p_partkey, CASE WHEN p_name LIKE '%ring%' AND p_name NOT LIKE '%red%' AND p_name NOT LIKE '%old%' THEN 'A' WHEN p_name LIKE '%ed w%' THEN 'B' WHEN p_name LIKE '%red%' THEN 'C' END AS rule FROM part")
 def contains_rules(spark, sf_dir):
-    rules = [("ring", ["red", "old"], "A"), ("ed w", [], "B"), ("red", [], "C")]
-    return table(spark, sf_dir, "part").select("p_partkey", matching.contains_rule(F.col("p_name"), rules).alias("rule"))
+    """A table of rules, read by an automaton; each distinct name once."""
+    rules = spark.createDataFrame([(1, "ring", ["red", "old"], "A"), (2, "ed w", [], "B"), (3, "red", [], "C")], "rule_no int, must string, excludes array<string>, id string")
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    found = anchors.first_rule(part.select("p_name").distinct(), "p_name", "p_name", rules)
+    return part.join(found, "p_name", "left").select("p_partkey", F.col("id").alias("rule"))
 
 
 @query("WITH " + DIM + ", " + ASKED + ", q AS (SELECT *, " + sql_norm("name") + " AS q0, " + strip_sql("name") + " AS q1 FROM asked)"
@@ -258,8 +261,8 @@ def accuracy_by_source(spark, sf_dir):
 @query("""WITH w AS (SELECT doc_id, lower(text) AS t FROM documents), a AS (SELECT * FROM (VALUES ('the'), ('the with'), ('of the'), ('and'), ('de la'), ('en'), ('die')) v(anchor)),
 hit AS (SELECT doc_id, anchor FROM w, a WHERE contains(' ' || t || ' ', ' ' || anchor || ' ')) SELECT doc_id, arg_min(anchor, (-length(anchor), anchor)) AS anchor FROM hit GROUP BY doc_id""")
 def longest_anchor_substring(spark, sf_dir):
-    anchors = spark.createDataFrame([(a,) for a in ("the", "the with", "of the", "and", "de la", "en", "die")], "anchor string")
-    return verdicts.longest_anchor(table(spark, sf_dir, "documents").select("doc_id", F.lower("text").alias("t")), "doc_id", "t", anchors)
+    names = spark.createDataFrame([(a,) for a in ("the", "the with", "of the", "and", "de la", "en", "die")], "anchor string")
+    return anchors.longest_anchor(table(spark, sf_dir, "documents").select("doc_id", F.lower("text").alias("t")), "doc_id", "t", names)
 
 
 GRAMS = """e AS (SELECT DISTINCT p_name AS n FROM part), q AS (SELECT DISTINCT CASE WHEN p_partkey % 2 = 0 THEN replace(p_name, 'i', 'y') ELSE p_name || ' co' END AS n FROM part),
@@ -292,8 +295,8 @@ def reconcile_guesses(spark, sf_dir):
 @query(f"WITH {TYPOS}, anchors AS (SELECT DISTINCT upper(p_name) AS n FROM part), pairs AS (SELECT DISTINCT t.q, a.n FROM typos t JOIN anchors a ON len(list_intersect(string_split(t.q, ' '), string_split(a.n, ' '))) > 0), scored AS (SELECT q, n, {sql_ratio('q', 'n')} AS score FROM pairs) SELECT q, arg_min(n, (-score, n)) AS anchor, round(max(score), 6) AS score FROM scored WHERE score >= 85 GROUP BY q")
 def snap_to_anchor(spark, sf_dir):
     """Typos snapped to the names that they come from."""
-    anchors = table(spark, sf_dir, "part").select(F.upper("p_name").alias("anchor")).distinct()
-    return verdicts.snapped(typo_names(spark, sf_dir).select("q").distinct(), anchors, 85).withColumn("score", F.round("score", 6))
+    names = table(spark, sf_dir, "part").select(F.upper("p_name").alias("anchor")).distinct()
+    return verdicts.snapped(typo_names(spark, sf_dir).select("q").distinct(), names, 85).withColumn("score", F.round("score", 6))
 
 
 @query("""WITH q AS (SELECT DISTINCT c_mktsegment AS s, c_custkey % 4 AS k FROM customer) SELECT s || k AS qid, CASE WHEN k IN (0, 1) AND s IN ('BUILDING', 'MACHINERY') THEN s END AS known_id FROM q WHERE k IN (0, 1) AND s IN ('BUILDING', 'MACHINERY')""")
@@ -330,7 +333,7 @@ def rename_guard(spark, sf_dir):
 @query("""WITH c AS (SELECT c_custkey, CASE WHEN n_regionkey = 1 THEN 'US' WHEN c_nationkey % 3 = 0 THEN 'United States' WHEN c_custkey % 11 = 0 THEN 'Puerto Rico' WHEN c_custkey % 11 = 1 THEN 'Guam' ELSE n_name END AS country, CASE c_custkey % 4 WHEN 0 THEN 'TX' WHEN 1 THEN 'PR' WHEN 2 THEN 'ON' ELSE '' END AS state,
   CASE WHEN c_custkey % 5 = 0 THEN 'K1A 0B1' WHEN c_custkey % 5 = 1 THEN '' ELSE lpad((c_custkey % 100000)::VARCHAR, 5, '0') END AS zip FROM customer JOIN nation ON c_nationkey = n_nationkey)
 SELECT c_custkey, country NOT IN ('', 'US', 'USA', 'United States', 'Puerto Rico', 'Guam') OR state = 'ON' OR (zip <> '' AND NOT regexp_matches(zip, '^[0-9]{5}(-[0-9]{4})?$')) AS intended, country NOT IN ('', 'United States') OR state = 'ON' OR (zip <> '' AND NOT regexp_matches(zip, '^[0-9]{5}(-[0-9]{4})?$')) AS literal,
-  CASE WHEN country NOT IN ('', 'US', 'USA', 'United States', 'Puerto Rico', 'Guam') THEN '' WHEN state = 'PR' THEN 'Puerto Rico' ELSE state END AS territory FROM c""")
+  CASE WHEN country NOT IN ('', 'US', 'USA', 'United States', 'Puerto Rico', 'Guam') THEN '' WHEN state = 'PR' THEN 'Puerto Rico' WHEN state = 'TX' THEN state ELSE '' END AS territory FROM c""")
 def foreign_signal(spark, sf_dir):
     """The intended rule, and the literal one, by which `US` isn't home."""
     c = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
@@ -367,3 +370,28 @@ def mint_surrogates(spark, sf_dir):
     dim = spark.createDataFrame([("SG00041",), ("P7",), ("SG00003",)], "canonical_id string")
     out = verdicts.mint(table(spark, sf_dir, "documents"), "text", "doc_id", matching.next_surrogate(dim), digits=6)
     return out.select(F.md5("key").alias("key_md5"), "first_pos", "canonical_id")
+
+
+MINTED = "CASE p_partkey % 4 WHEN 0 THEN replace(p_name, 'l', 'll') WHEN 1 THEN replace(p_name, 'd', 'dd') ELSE p_name END || ' ' || p_type || ' works'"
+
+
+@query(f"""WITH RECURSIVE rows AS MATERIALIZED (SELECT p_partkey AS qid, upper({MINTED}) AS q, CASE WHEN p_size > 45 THEN 90.0 ELSE 0 END AS best FROM part),
+firsts AS MATERIALIZED (SELECT q, min(qid) AS led, row_number() OVER (ORDER BY min(qid)) AS i FROM rows WHERE best = 0 GROUP BY q),
+pairs AS (SELECT DISTINCT r.q AS a, f.q AS b FROM rows r JOIN firsts f ON r.q <> f.q AND len(list_intersect(string_split(r.q, ' '), string_split(f.q, ' '))) > 0), {SETS.format(src='pairs')},
+scored AS MATERIALIZED (SELECT a, b, {SET_SCORE} AS score FROM joined),
+waits AS MATERIALIZED (SELECT f.i, list(e.i) AS earlier FROM scored s JOIN firsts f ON f.q = s.a JOIN firsts e ON e.q = s.b WHERE e.i < f.i AND score >= 88 GROUP BY f.i),
+fold AS (SELECT 0::BIGINT AS i, []::BIGINT[] AS leaders UNION ALL
+  SELECT fold.i + 1, CASE WHEN list_has_any(leaders, coalesce(w.earlier, [])) THEN leaders ELSE list_append(leaders, fold.i + 1) END FROM fold LEFT JOIN waits w ON w.i = fold.i + 1 WHERE fold.i < (SELECT count(*) FROM firsts)),
+led AS MATERIALIZED (SELECT f.* FROM firsts f, (SELECT leaders FROM fold ORDER BY i DESC LIMIT 1) WHERE list_contains(leaders, f.i)),
+found AS (SELECT r.qid, s.b, s.score FROM rows r JOIN scored s ON s.a = r.q JOIN led l ON l.q = s.b AND l.led < r.qid WHERE s.score >= 87 UNION ALL SELECT r.qid, r.q, 102 FROM rows r JOIN led l ON r.q = l.q AND l.led <= r.qid),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, b DESC) AS nth FROM found),
+two AS (SELECT qid, max(b) FILTER (nth = 1) AS b, max(score) AS mine, coalesce(max(score) FILTER (nth = 2), 0) AS rival FROM ranked WHERE nth <= 2 GROUP BY qid),
+j AS (SELECT r.qid, r.best, t.b, coalesce(t.mine, 0) AS mine, coalesce(t.rival, 0) AS rival, l.led IS NOT NULL AS leads FROM rows r LEFT JOIN two t ON r.qid = t.qid LEFT JOIN led l ON r.qid = l.led),
+v AS (SELECT *, greatest(mine, best) AS top, CASE WHEN mine > best THEN greatest(rival, best) ELSE mine END AS other FROM j),
+d AS (SELECT *, CASE WHEN leads THEN 'leads' WHEN mine > 100 OR (top >= 93 AND top - other >= 6 AND mine > best) THEN 'joins' WHEN top >= 93 AND top - other >= 6 THEN 'stays' WHEN top >= 88 THEN 'near' ELSE 'alone' END AS verdict FROM v)
+SELECT qid, CASE WHEN verdict IN ('leads', 'joins') THEN b END AS leader, round(least(top, 100), 6) AS top, verdict FROM d""")
+def mint_in_order(spark, sf_dir):
+    """Every part as a new name of one run, in the order of keys; those of large parts resemble one that is known already."""
+    name = F.upper(F.expr(MINTED))
+    rows = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("qid"), F.col("p_partkey").alias("place"), name.alias("key"), name.alias("q"), (F.col("p_size") <= 45).alias("may_lead"), F.when(F.col("p_size") > 45, 90.0).alias("best"), F.lit(None).cast("double").alias("second"))
+    return minting.settled(rows, margin=6, common=(), least=0).withColumn("top", F.round("top", 6))

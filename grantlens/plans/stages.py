@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import fixed, text
 from ..functions.lineage import cut
 from ..functions.numbering import first_rows
-from ..operators import matching, reporting, tagging, verdicts
+from ..operators import matching, minting, reporting, tagging, verdicts
 from ..sources import index, returns, tables
 
 
@@ -22,7 +22,7 @@ class Parsed:
 
 
 def parse(
-    found: DataFrame, done: DataFrame | None = None, recipients: Callable[[Column], Column] | None = text.keyword_filter, prior: DataFrame | None = None, exclusions: DataFrame | None = None
+    found: DataFrame, done: DataFrame | None = None, recipients: Callable[[Column], Column] | None = text.keyword_filter, prior: DataFrame | None = None, exclusions: DataFrame | None = None, save=cut
 ) -> Parsed:
     """PARSED rows of new returns, and their log: every return is logged, malformed ones too. found: path, value; done:
     xml_file; prior: filer_ein, return_year already emitted; exclusions: filer_ein to leave out.
@@ -32,16 +32,21 @@ def parse(
     files = wanted(returns.filings(found), prior, exclusions)
     if done is not None:
         files = index.unprocessed(files, done, "xml_file")
-    files = files.withColumn("form_type", F.when(F.col("value").contains("<IRS990PF"), "990PF").otherwise("990"))
+    files = save(files.withColumn("form_type", F.when(F.col("foundation_form"), "990PF").otherwise("990")))  # parsed once
     rows = returns.grants(files).join(files.select(F.col("xml_file").alias("_x"), "form_type"), F.col("xml_file") == F.col("_x")).drop("_x")
+    kept = (lambda g: recipients(returns.grantee(g))) if recipients is not None else lambda g: F.lit(True)
     if recipients is not None:
         rows = rows.filter(recipients(F.col("grantee")))
-    kept = rows.select(F.col("xml_file").alias("_k")).distinct().withColumn("grant_bearing", F.lit(True))
-    log = files.join(kept, F.col("xml_file") == F.col("_k"), "left").withColumn("grant_bearing", F.coalesce("grant_bearing", F.lit(False)))
+    log = files.withColumn("grant_bearing", bearing(kept))
     log = log.select("xml_file", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"), "form_type", "filer_name", "filer_ein", "filer_support_org", "return_year", "status", "grant_bearing")
     return Parsed(rows.select(*tables.PARSED.names, "pos"), log)
 
 
+def bearing(kept: Callable[[Column], Column]) -> Column:
+    """Whether a filing has a grant group that is kept."""
+    return (F.col("status") == "ok") & F.coalesce(F.exists("groups", kept), F.lit(False))
+
+
 def wanted(files: DataFrame, prior: DataFrame | None = None, exclusions: DataFrame | None = None) -> DataFrame:
     """Filings without those of filers to leave out, and without those of a filer and year emitted before."""
     if exclusions is not None:
@@ -52,10 +57,13 @@ def wanted(files: DataFrame, prior: DataFrame | None = None, exclusions: DataFra
     return files
 
 
-def run_counters(log: DataFrame) -> DataFrame:
-    """One row about a log of parse(): recorded, kept (with a grant), deleted (without), failed, and supporting organisations."""
-    ok = F.col("status") == "ok"
-    return reporting.counters(log, {"kept": ok & F.col("grant_bearing"), "deleted": ok & ~F.col("grant_bearing"), "failed": ~ok, "supporting_org": F.col("filer_support_org")})
+def recorded(log: DataFrame, save=cut) -> tuple[DataFrame, dict[str, int]]:
+    """The log of parse(), saved, and what was counted while it was written: recorded, kept (with a grant), deleted
+    (without), failed, and supporting organisations."""
+    ok, seen = F.col("status") == "ok", Observation()
+    counts = {"kept": ok & F.col("grant_bearing"), "deleted": ok & ~F.col("grant_bearing"), "failed": ~ok, "supporting_org": F.col("filer_support_org")}
+    saved = save(log.observe(seen, F.count(F.lit(1)).alias("recorded"), *[F.count_if(c).alias(n) for n, c in counts.items()]))
+    return saved, dict(seen.get)
 
 
 def log_upload(log: DataFrame) -> DataFrame:
@@ -74,7 +82,7 @@ def _key(name: str, city: str, state: str) -> list[Column]:
     return [text.qnorm(F.col(name)), F.upper(F.coalesce(city, F.lit(""))), F.upper(F.coalesce(state, F.lit("")))]
 
 
-def match(grants: DataFrame, dim: DataFrame, rules: dict | None = None, answers: Callable[[DataFrame], DataFrame] | None = None, flagship: str | None = None) -> Matched:
+def match(grants: DataFrame, dim: DataFrame, rules: dict | None = None, answers: Callable[[DataFrame], DataFrame] | None = None, flagship: str | None = fixed.FLAGSHIPS) -> Matched:
     """grants (PARSED) with canonical ids; new dimension rows; the audit by grantee.
 
     dim: DIM columns. Each distinct grantee is resolved once. answers: asked about the grantees that the cascade leaves
@@ -109,9 +117,10 @@ def verdict_outcomes(left: DataFrame, dim: DataFrame, answers: DataFrame | None,
         return left.select("qid", F.lit("NA").alias("canonical_id"), F.lit("no_verdict").alias("decision_source"), F.lit(False).alias("minted")), none
     said = cut(left.join(answers.select("qid", "v_type", "v_name", "v_country"), "qid", "left"))
     proposed = said.filter("v_name IS NOT NULL").select("qid", F.col("v_name").alias("name"), "city", "state")
-    again = matching.cascade(proposed, dim, None, save=cut).select("qid", F.col("canonical_id").alias("cascade_id"))
+    again = matching.cascade(proposed, dim, None, save=cut).select("qid", F.col("canonical_id").alias("cascade_id"), F.col("decision_source").alias("tier"))
     q = proposed.select("qid", text.strip_wrappers(F.col("name")).alias("q"), F.upper(F.coalesce("state", F.lit(""))).alias("q_state"))
-    tops = matching.national(q, dim, 88, 0).select("qid", F.col("top").alias("national_top"))
+    # as low as a rival may be and still keep another from being sure
+    tops = matching.national(q, dim, minting.JOIN - minting.MARGIN, 0).select("qid", F.col("top").alias("national_top"), F.col("second").alias("national_second"))
     alike = matching.has_similar(q.withColumn("q", text.norm(F.col("q"))), dim).withColumn("similar", F.lit(True))
     known = matching.prepared(dim).groupBy(F.col("norm_name").alias("n")).agg(F.min("canonical_id").alias("known_id"))
     abroad = known_abroad(said.filter("v_name IS NOT NULL").select("qid", "v_name"), known)
@@ -121,24 +130,49 @@ def verdict_outcomes(left: DataFrame, dim: DataFrame, answers: DataFrame | None,
     said = said.withColumn("flagship", text.norm(F.col("name")).rlike(flagship) if flagship else F.lit(False))
     said = said.withColumn("heavy", F.coalesce(verdicts.heavy_rename(F.col("name"), F.coalesce("v_name", F.lit(""))), F.lit(False)))
     said = said.withColumn("unshared", verdicts.no_shared_token(F.col("name"), F.col("v_name")))
-    done = cut(verdicts.dispositions(said))
+    done = cut(against_mints(verdicts.dispositions(said), cut))
     foreign = F.col("v_type") == "foreign"
     mints = done.filter("outcome = 'mint'").withColumn("shown_name", F.when(foreign, F.concat(F.col("v_name"), F.lit(" (Foreign)"))).otherwise(F.col("v_name")))
     # numbered in the order in which the grants name them first
     mints = mints.withColumn("order", F.col("place")).withColumn("key", text.norm(F.col("shown_name")))
     new = verdicts.mint(mints, "shown_name", "order", matching.next_surrogate(dim))
     new = cut(new.join(first_rows(mints.select("key", "order", "shown_name", "state", "city", "v_country", "v_type"), ["key"], "order").drop("order"), "key"))
-    mapped = mints.select("qid", "key").join(new.select("key", F.col("canonical_id").alias("minted_id")), "key").drop("key")
+    joined = done.filter("outcome = 'matched' AND leader IS NOT NULL").select("qid", F.col("leader").alias("key"))
+    mapped = mints.select("qid", "key").unionByName(joined).join(new.select("key", F.col("canonical_id").alias("minted_id")), "key").drop("key")
     out = done.select("qid", "canonical_id", "outcome").join(mapped, "qid", "left")
     out = out.select("qid", F.coalesce("minted_id", "canonical_id").alias("canonical_id"), F.concat(F.lit("verdict_"), F.col("outcome")).alias("decision_source"), F.col("minted_id").isNotNull().alias("minted"))
     home = F.col("v_type") != "foreign"
     rows = new.select(
         "canonical_id", F.col("shown_name").alias("grantee_normalized"), verdicts.territory_name(F.coalesce("state", F.lit("")), ~home).alias("state"),
-        F.when(home, "US").otherwise(F.coalesce("v_country", F.lit(""))).alias("country"), F.when(home, "non-IPEDS-US").otherwise("foreign").alias("entity_class"), F.coalesce("city", F.lit("")).alias("city"),
+        F.when(home, fixed.HOME_NAME).otherwise(F.coalesce("v_country", F.lit(""))).alias("country"), F.when(home, "non-IPEDS-US").otherwise("foreign").alias("entity_class"), F.coalesce("city", F.lit("")).alias("city"),
     )
     return out, rows
 
 
+def against_mints(rows: DataFrame, save=cut) -> DataFrame:
+    """dispositions() rows in the light of the run's own mints: adds leader, the key of the mint that a row joins.
+
+    A name at home that no rule or exact look-up settles meets the mints before it as it meets the dimension. It joins one
+    (unless the rename is heavy and shares no word); is reviewed if a mint is too near for it to be new, or for a national
+    match to be sure; and is minted, or keeps its match, otherwise.
+    """
+    # the tiers before similarity are settled without the mints
+    open_ = rows.filter("v_type <> 'foreign' AND outcome <> 'NA' AND coalesce(tier, '') NOT IN ('override', 'exact')")
+    asked = open_.select("qid", "place", text.norm(F.col("v_name")).alias("key"), text.strip_wrappers(F.col("v_name")).alias("q"), (F.col("outcome") == "mint").alias("may_lead"), F.col("national_top").alias("best"), F.col("national_second").alias("second"))
+    found = minting.settled(asked, save=save).select("qid", "leader", "verdict")
+    met = rows.join(found, "qid", "left")
+    unsure = F.col("verdict").isin("near", "alone")
+    outcome = (
+        F.when((F.col("verdict") == "joins") & F.col("heavy") & F.col("unshared"), "review")
+        .when(F.col("verdict") == "joins", "matched")
+        .when(unsure & ((F.col("tier") == "national") | ((F.col("outcome") == "mint") & (F.col("verdict") == "near"))), "review")
+        .otherwise(F.col("outcome"))
+    )
+    met = met.withColumn("outcome", outcome).withColumn("leader", F.when(F.col("outcome") == "matched", F.col("leader")))
+    # an id of the dimension stays only where its match does
+    return met.withColumn("canonical_id", F.when(F.col("outcome") == "review", "").when(F.col("leader").isNotNull(), F.lit(None)).otherwise(F.col("canonical_id"))).drop("verdict")
+
+
 def known_abroad(said: DataFrame, known: DataFrame) -> DataFrame:
     """qid, known_id of verdicts abroad whose formal name is known, as it is or without wrappers ("The"). said: qid, v_name; known: n, known_id."""
     name = F.col("v_name")

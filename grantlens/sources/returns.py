@@ -1,84 +1,118 @@
 """XML returns of several schema generations, flattened to grants.
 
-Files are read whole. The header and the grant groups are cut out by their tags, and each piece is parsed once by
-from_xml into strings (never inferred: identifiers keep their zeros). Element names come from functions.fixed, in order
-of preference. Two rules differ on purpose: names fall through empty elements; other fields take the first element
-that exists, even an empty one.
+Files are read whole, and each is parsed once, whatever its namespace prefix or nesting: a return becomes scopes (the
+return itself, its filer, and every grant group with its address blocks), and a scope is a map from element names, and
+from parent/child names, to the text of the first such element anywhere within it. Every rule is a look-up in those maps.
+Texts stay strings (never inferred: identifiers keep their zeros). Element names come from functions.fixed, in order of
+preference. Two rules differ on purpose: names fall through empty elements; other fields take the first element that
+exists, even an empty one.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from xml.etree import ElementTree
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed, text
 
-ADDRESS_FIELDS = [*fixed.LINE1, *fixed.LINE2, *fixed.CITY, *fixed.DOMESTIC_STATE, *fixed.DOMESTIC_ZIP, *fixed.FOREIGN_STATE, *fixed.FOREIGN_ZIP, *fixed.FOREIGN_COUNTRY]
-CORRUPT = "_corrupt_record"
-
-
-def _strings(names: Sequence[str]) -> str:
-    return ", ".join(f"`{n}` array<string>" for n in dict.fromkeys(names))
-
-
-def _nested(paths: Sequence[str]) -> str:
-    """DDL of two-step paths: arrays of structs of arrays of strings."""
-    by: dict[str, list[str]] = {}
-    for p in paths:
-        outer, inner = p.split("/")
-        by.setdefault(outer, []).append(inner)
-    return ", ".join(f"`{k}` array<struct<{', '.join(f'`{x}`: array<string>' for x in dict.fromkeys(v))}>>" for k, v in by.items())
-
-
-GROUP = ", ".join([
-    _nested(fixed.RECIPIENT_NAMES),
-    _strings([*fixed.PERSON_NAMES, *fixed.RECIPIENT_EINS, *fixed.AMOUNTS, *fixed.PURPOSES]),
-    _nested([f"{b}/{f}" for b in [*fixed.DOMESTIC_BLOCKS, *fixed.FOREIGN_BLOCKS] for f in ADDRESS_FIELDS]),
-    f"`{CORRUPT}` string",
-])
-FILER = ", ".join([_nested(fixed.FILER_NAMES), _strings(["EIN"])])
-HEADER = f"`ReturnTs` array<string>, {_strings([*fixed.TAX_YEAR, *fixed.PERIOD_END])}, `Filer` array<struct<{FILER.replace('` array', '`: array')}>>, `{CORRUPT}` string"
-
-
-def existing(parent: Column, names: Sequence[str]) -> Column:
+#: A scope's texts; a group's tag, texts, and those of its blocks by tag.
+MAP = "map<string, string>"
+SCOPES = f"path string, bad boolean, root {MAP}, filer {MAP}, groups array<struct<tag: string, texts: {MAP}, blocks: map<string, {MAP}>>>"
+_MAP = pa.map_(pa.string(), pa.string())
+_GROUPS = pa.list_(pa.struct([("tag", pa.string()), ("texts", _MAP), ("blocks", pa.map_(pa.string(), _MAP))]))
+
+
+class Scopes:
+    """One return's scopes. Only elements in the root's namespace count, as names without it."""
+
+    def __init__(self, value: str) -> None:
+        root = ElementTree.fromstring(value)
+        self.space = root.tag[: root.tag.find("}") + 1] if root.tag.startswith("{") else ""
+        found = self.named(root, {"Filer", *fixed.GROUPS})
+        self.root = self.texts(root)
+        self.filer = self.texts(found["Filer"][0]) if found["Filer"] else None
+        blocks = {*fixed.DOMESTIC_BLOCKS, *fixed.FOREIGN_BLOCKS}
+        self.groups = []
+        for tag in fixed.GROUPS:
+            for group in found[tag]:
+                inner = {name: self.texts(some[0]) for name, some in self.named(group, blocks).items() if some}
+                self.groups.append({"tag": tag, "texts": list(self.texts(group).items()), "blocks": [(name, list(t.items())) for name, t in inner.items()]})
+
+    def name(self, element: ElementTree.Element) -> str | None:
+        tag = element.tag
+        if not isinstance(tag, str) or not tag.startswith(self.space):
+            return None
+        tag = tag[len(self.space) :]
+        return None if tag.startswith("{") else tag
+
+    def named(self, scope: ElementTree.Element, tags: set[str]) -> dict[str, list[ElementTree.Element]]:
+        """The elements of each tag below scope, in the document's order."""
+        found: dict[str, list[ElementTree.Element]] = {t: [] for t in tags}
+        for element in scope.iter():
+            if element is not scope and (name := self.name(element)) in found:
+                found[name].append(element)
+        return found
+
+    def texts(self, scope: ElementTree.Element) -> dict[str, str]:
+        """The first text of each name, and of each name below each, anywhere within scope; an element without text has an empty one."""
+        found: dict[str, str] = {}
+        for parent in scope.iter():
+            outer = self.name(parent)
+            if outer is not None and parent is not scope:
+                found.setdefault(outer, (parent.text or "").strip())
+            for child in parent:
+                if outer is not None and (inner := self.name(child)) is not None:
+                    found.setdefault(f"{outer}/{inner}", (child.text or "").strip())
+        return found
+
+
+def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        bad, roots, filers, groups = [], [], [], []
+        for value in batch.column("value").to_pylist():
+            try:
+                one = Scopes(value or "")
+            except ElementTree.ParseError:
+                one = None
+            bad.append(one is None)
+            roots.append(None if one is None else list(one.root.items()))
+            filers.append(None if one is None or one.filer is None else list(one.filer.items()))
+            groups.append([] if one is None else one.groups)
+        yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(bad), pa.array(roots, _MAP), pa.array(filers, _MAP), pa.array(groups, _GROUPS)], ["path", "bad", "root", "filer", "groups"])
+
+
+def parsed(returns: DataFrame) -> DataFrame:
+    """SCOPES of returns (path, value); bad: not well-formed, with no scopes."""
+    return returns.select("path", "value").mapInArrow(_parsed, SCOPES)
+
+
+def existing(texts: Column, names: Sequence[str]) -> Column:
     """The text of the first element that exists, empty if it has none; null if none exists."""
-    return F.coalesce(*[F.when(parent[n].isNotNull(), F.trim(F.coalesce(F.get(parent[n], F.lit(0)), F.lit("")))) for n in names])
+    return F.coalesce(*[F.try_element_at(texts, F.lit(n)) for n in names])
 
 
-def filled(parent: Column, paths: Sequence[str]) -> Column:
+def filled(texts: Column, paths: Sequence[str]) -> Column:
     """The first text that isn't empty."""
-    found = []
-    for p in paths:
-        outer, inner = p.split("/")
-        found.append(F.nullif(F.trim(F.get(F.get(parent[outer], F.lit(0))[inner], F.lit(0))), F.lit("")))
-    return F.coalesce(*found)
+    return F.coalesce(*[F.nullif(F.try_element_at(texts, F.lit(p)), F.lit("")) for p in paths])
 
 
-def block(tags: Sequence[str]) -> str:
-    return rf"(?s)<(?:\w+:)?({'|'.join(tags)})(?:\s[^>]*)?(?<!/)>.*?</(?:\w+:)?\1>"
-
-
-def unprefixed(c: Column) -> Column:
-    """Element names without namespace prefixes."""
-    return F.when(c.rlike(r"</?\w+:\w"), F.regexp_replace(c, r"(</?)\w+:(?=\w)", "$1")).otherwise(c)
-
-
-def flagged(value: Column, tags: Sequence[str] = fixed.FILER_FLAGS) -> Column:
+def flagged(root: Column, tags: Sequence[str] = fixed.FILER_FLAGS) -> Column:
     """Whether the first element of any of the tags holds X."""
     hit = F.lit(False)
     for t in tags:
-        hit = hit | (F.upper(F.trim(F.regexp_extract(value, rf"<{t}(?:\s[^>]*)?>([^<]*)<", 1))) == "X")
-    # one search tells most returns apart: those where no element of them all holds X
-    return F.when(value.rlike(rf"<({'|'.join(tags)})(?:\s[^>]*)?>\s*[xX]\s*<"), hit).otherwise(F.lit(False))
+        hit = hit | F.coalesce(F.upper(F.try_element_at(root, F.lit(t))) == "X", F.lit(False))
+    return hit
 
 
-def address(g: Column) -> Column:
+def address(blocks: Column) -> Column:
     """line1, line2, city, state, zip, country, type: a domestic block wins over a foreign one; neither: empty."""
 
     def first_block(names: Sequence[str]) -> Column:
-        return F.coalesce(*[F.get(g[n], F.lit(0)) for n in names])
+        return F.coalesce(*[F.try_element_at(blocks, F.lit(n)) for n in names])
 
     def made(b: Column, state: Sequence[str], code: Sequence[str], country: Column, kind: str) -> Column:
         value = lambda names: F.coalesce(existing(b, names), F.lit(""))
@@ -103,51 +137,51 @@ def listed(returns: DataFrame, manifest: DataFrame) -> DataFrame:
 
 
 def filings(returns: DataFrame) -> DataFrame:
-    """One row a return that has a filer: its file, header fields, flag, status and text. status: ok or malformed."""
-    df = returns.withColumn("value", unprefixed(F.col("value")))
-    options = {"rowTag": "Return", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    whole = F.from_xml(F.col("value"), f"`ReturnHeader` array<string>, `{CORRUPT}` string", options)
-    df = df.withColumn("bad", whole[CORRUPT].isNotNull())
-    head = F.regexp_extract("value", block(["ReturnHeader"]), 0)
-    df = df.withColumn("head", F.from_xml(F.when(~F.col("bad"), head), HEADER, {"rowTag": "ReturnHeader", **{k: v for k, v in options.items() if k != "rowTag"}}))
-    filer = F.get(F.col("head")["Filer"], F.lit(0))
+    """One row a return that has a filer: its file, header fields, flag, status, whether it holds the form of foundations,
+    and its groups. status: ok or malformed."""
+    root, filer = F.col("root"), F.col("filer")
     file = F.element_at(F.split("path", "/"), -1)
-    year = F.coalesce(F.nullif(existing(F.col("head"), fixed.TAX_YEAR), F.lit("")), F.substring(F.nullif(existing(F.col("head"), fixed.PERIOD_END), F.lit("")), 1, 4), F.lit(""))
-    return df.filter(F.col("bad") | filer.isNotNull()).select(
+    year = F.coalesce(F.nullif(existing(root, fixed.TAX_YEAR), F.lit("")), F.substring(F.nullif(existing(root, fixed.PERIOD_END), F.lit("")), 1, 4), F.lit(""))
+    return parsed(returns).filter(F.col("bad") | filer.isNotNull()).select(
         file.alias("xml_file"),
         F.when(F.col("bad"), "malformed").otherwise("ok").alias("status"),
         F.coalesce(filled(filer, fixed.FILER_NAMES), F.lit("")).alias("filer_name"),
         F.coalesce(existing(filer, ["EIN"]), F.lit("")).alias("filer_ein"),
         year.alias("return_year"),
-        text.timestamp_or_first(existing(F.col("head"), ["ReturnTs"])).alias("return_ts"),
+        text.timestamp_or_first(existing(root, ["ReturnTs"])).alias("return_ts"),
         F.regexp_extract(file, r"^(\d*)", 1).alias("submission_id"),
-        flagged(F.col("value")).alias("filer_support_org"),
-        F.col("value"),
+        flagged(root).alias("filer_support_org"),
+        F.coalesce(F.map_contains_key(root, fixed.FOUNDATION_FORM), F.lit(False)).alias("foundation_form"),
+        "groups",
     )
 
 
+def grantee(group: Column) -> Column:
+    """The name of a group's recipient: an organisation's before a person's."""
+    texts = group["texts"]
+    return F.coalesce(filled(texts, fixed.RECIPIENT_NAMES), F.nullif(existing(texts, fixed.PERSON_NAMES), F.lit("")), F.lit(""))
+
+
+def amount(group: Column) -> Column:
+    return F.coalesce(existing(group["texts"], fixed.AMOUNTS), F.lit(""))
+
+
 def grants(files: DataFrame, keep_flagged: bool = True) -> DataFrame:
     """One row a grant group, in the order of tags and then of the document (pos). keep_flagged: or drop such filers' returns."""
     df = files.filter("status = 'ok'")
     if not keep_flagged:
         df = df.filter("NOT filer_support_org")
-    none = F.array().cast("array<string>")
-    blocks = F.flatten(F.array(*[F.when(F.col("value").contains(f"{t}"), F.regexp_extract_all("value", F.lit(block([t])), F.lit(0))).otherwise(none) for t in fixed.GROUPS]))
-    df = df.select("xml_file", "filer_name", "filer_ein", "return_year", "filer_support_org", F.posexplode(blocks).alias("pos", "block"))
-    inner = F.regexp_replace(F.regexp_replace("block", r"^<[^>]*>", "<g>"), r"</[^>]*>$", "</g>")
-    df = df.withColumn("g", F.from_xml(inner, GROUP, {"rowTag": "g", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}))
-    g = F.col("g")
-    person = F.nullif(existing(g, fixed.PERSON_NAMES), F.lit(""))
-    empty = lambda c: F.coalesce(c, F.lit(""))
-    df = df.withColumn("addr", address(g))
+    df = df.select("xml_file", "filer_name", "filer_ein", "return_year", "filer_support_org", F.posexplode("groups").alias("pos", "g"))
+    g, empty = F.col("g"), lambda c: F.coalesce(c, F.lit(""))
+    df = df.withColumn("addr", address(g["blocks"]))
     return df.select(
         "xml_file", "filer_name", "filer_ein", "return_year", "filer_support_org", "pos",
-        empty(F.coalesce(filled(g, fixed.RECIPIENT_NAMES), person)).alias("grantee"),
-        empty(existing(g, fixed.RECIPIENT_EINS)).alias("recipient_ein"),
+        grantee(g).alias("grantee"),
+        empty(existing(g["texts"], fixed.RECIPIENT_EINS)).alias("recipient_ein"),
         F.col("addr.line1").alias("grantee_addr1"), F.col("addr.line2").alias("grantee_addr2"), F.col("addr.city").alias("grantee_city"),
         F.col("addr.state").alias("grantee_state"), F.col("addr.zip").alias("grantee_zip"), F.col("addr.country").alias("grantee_country"), F.col("addr.type").alias("grantee_addr_type"),
-        empty(existing(g, fixed.AMOUNTS)).alias("grant_amount"),
-        empty(existing(g, fixed.PURPOSES)).alias("grant_purpose"),
+        amount(g).alias("grant_amount"),
+        empty(existing(g["texts"], fixed.PURPOSES)).alias("grant_purpose"),
     )
 
 

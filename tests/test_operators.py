@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from grantlens.functions import labels, similarity, text
 from grantlens.functions.numbering import numbered
-from grantlens.operators import dedupe, matching, reporting, tagging, verdicts
+from grantlens.operators import alike, dedupe, matching, reporting, tagging, verdicts
 from grantlens.plans import registry
 from grantlens.sources import index, sinks, tables
 from grantlens.streaming import ingest
@@ -204,7 +204,7 @@ def test_pairs_of_a_state_lose_none_that_reaches_the_floor(spark, kind, floor):
     words = ["UNIVERSITY", "COLLEGE", "OF", "STATE", "ALPHA", "ALPHAS", "BETA", "GAMMA", "DELTA", "NORTHERN", "NORTHEN", "A", "TEXAS", "MINING"]
     name = lambda: " ".join(rng.choice(words) for _ in range(rng.randint(1, 6)))
     q, n = [(name(), rng.choice("XY")) for _ in range(150)], [(name(), rng.choice("XY")) for _ in range(150)]
-    got = {tuple(r) for r in matching.state_pairs(spark.createDataFrame(q, "q string, q_state string"), spark.createDataFrame(n, "n string, q_state string"), kind, floor).collect()}
+    got = {tuple(r) for r in alike.candidates(spark.createDataFrame(q, "q string, q_state string"), spark.createDataFrame(n, "n string, q_state string"), kind, floor, ["q_state"]).select("q", "q_state", "n").collect()}
     want = {(a, s, b) for a, s in q for b, z in n if s == z and similarity.SCORERS[kind](a, b) >= floor}
     assert want <= got
     assert want
