@@ -52,7 +52,7 @@ PORTION = 4 << 20
 #: Ids that are decoded at a time.
 STEP = 1 << 16
 #: Runs of text whose ids a worker keeps, and their longest length in characters; runs that wait for their ids at most.
-KNOWN, RUN_CHARS, WAITING = 1 << 20, 48, 1 << 19
+KNOWN, RUN_CHARS, WAITING = 1 << 18, 48, 1 << 18
 #: Bits of the table of pairs.
 SLOT_BITS = 20
 #: Bytes of a word that is merged without a heap.
