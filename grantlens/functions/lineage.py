@@ -5,14 +5,12 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df written as Parquet in the folder of spark.checkpoint.dir and read back: lineage ends here, sizes are known to the
-    planner, and columns are pruned. Where no folder is named, a local run gets a temporary one; on a cluster that would be
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir. Where none is named, a local run gets a temporary one; on a cluster that would be
     no shared place."""
-    spark = df.sparkSession
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not named:
@@ -20,6 +18,12 @@ def cut(df: DataFrame) -> DataFrame:
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="grantlens-"))
         named = sc.getCheckpointDir()
-    path = f"{named.rstrip('/')}/cut-{uuid.uuid4().hex}"
+    return named.rstrip("/")
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """df written as Parquet in the shared folder and read back: lineage ends here, sizes are known to the planner, and
+    columns are pruned."""
+    path = f"{shared_folder(df.sparkSession)}/cut-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

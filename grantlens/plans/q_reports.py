@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..functions.lineage import cut
+from ..functions.lineage import shared_folder
 from ..operators import dedupe, matching, reporting, verdicts
 from ..sources import sinks, tables
 from ..streaming import ingest
@@ -119,14 +119,9 @@ def upload_projection(spark, sf_dir):
 @query("SELECT event_id, event_type FROM events")
 def stream_ingest_dedupe(spark, sf_dir):
     """Events as a stream of files, into a table with one row a key; a second run adds nothing."""
-    base = f"{_shared(spark)}/stream-{uuid.uuid4().hex}"
+    base = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
     events = table(spark, sf_dir, "events").select("event_id", "event_type")
     events.write.parquet(f"{base}/in/a")
     for _ in range(2):
         ingest.ingest_once(ingest.stream_files(spark, f"{base}/in/*", events.schema, most=4), f"{base}/out", f"{base}/state", "event_id")
     return spark.read.parquet(f"{base}/out").select("event_id", "event_type")
-
-
-def _shared(spark: SparkSession) -> str:
-    cut(spark.range(1))
-    return spark.sparkContext.getCheckpointDir()

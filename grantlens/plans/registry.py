@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import q_filings, q_names, q_reports, q_tags
+from . import q_filings, q_names, q_reports, q_state, q_tags
 
-MODULES = (q_names, q_filings, q_tags, q_reports)
+MODULES = (q_names, q_filings, q_tags, q_reports, q_state)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
