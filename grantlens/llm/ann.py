@@ -39,8 +39,9 @@ LINKS, OPEN, EXPAND = 24, 24, 8
 WALKERS = 256
 #: A vector goes to lists within this ratio of its nearest, and to so many at most.
 CLOSURE, COPIES = 1.05, 2
-#: The pruning ratio is that which keeps this share of the sample's own neighbours, for so many of the sample as queries.
-SHARE, TRIALS = 0.95, 256
+#: The pruning ratio is that which keeps this share of the sample's own neighbours, for so many of the sample as queries; and
+#: which lets the same share of those queries keep EACH of their own.
+SHARE, TRIALS, EACH = 0.95, 256, 0.9
 #: Vectors, components of vectors, and queries that one task takes.
 PART, PART_NUMBERS, QUERIES = 32_768, 4_000_000, 4096
 
@@ -166,7 +167,9 @@ def pruning_ratio(index: Index, sample: np.ndarray, lifted: np.ndarray) -> float
     aimed = index.aim(trials)
     far = np.sqrt(np.maximum(0, (aimed**2).sum(1)[:, None] - 2 * aimed @ index.centroids.T + (index.centroids**2).sum(1)))
     need = [np.where(chosen[of[i]] >= 0, far[i][chosen[of[i]]], np.inf).min(axis=1) / far[i].min() for i in range(len(trials))]
-    return float(np.quantile(np.concatenate(need), SHARE)) * (1 + 1e-9)
+    # enough for all neighbours taken together, and for most queries taken one by one
+    each = np.quantile(np.stack(need), EACH, axis=1)
+    return float(max(np.quantile(np.concatenate(need), SHARE), np.quantile(each, SHARE))) * (1 + 1e-9)
 
 
 def usable(vectors: DataFrame) -> DataFrame:
