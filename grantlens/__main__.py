@@ -6,6 +6,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
+from .functions import lineage
 from .plans import stages
 from .sources import returns, sinks, tables
 
@@ -43,6 +44,7 @@ def main(args: list[str] | None = None) -> None:
     if "tag" in steps:
         out = stages.tag(spark.read.parquet(stage("matched")), stages.by_words)
         sinks.write_increment(out, tables.GRANTS, f"{o.out}/grantsdb", o.stamp)
+    lineage.clear(spark)
 
 
 if __name__ == "__main__":

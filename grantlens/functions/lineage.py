@@ -21,9 +21,20 @@ def shared_folder(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+def own_folder(spark: SparkSession) -> str:
+    """The application's own folder in the shared one."""
+    return f"{shared_folder(spark)}/run-{spark.sparkContext.applicationId}"
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """df written as Parquet in the shared folder and read back: lineage ends here, sizes are known to the planner, and
-    columns are pruned."""
-    path = f"{shared_folder(df.sparkSession)}/cut-{uuid.uuid4().hex}"
+    """df written as Parquet in the application's folder and read back: lineage ends here, sizes are known to the planner,
+    and columns are pruned."""
+    path = f"{own_folder(df.sparkSession)}/cut-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear(spark: SparkSession) -> None:
+    """Removes all that cut() wrote in this application. What was read from there can't be read after."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(own_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

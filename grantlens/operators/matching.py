@@ -203,7 +203,7 @@ def has_similar(names: DataFrame, dim: DataFrame, floor: float = 85) -> DataFram
 
 
 def cascade(names: DataFrame, dim: DataFrame, rules: dict[str, DataFrame] | None = None, save=cut) -> DataFrame:
-    """qid, canonical_id, decision_source; each tier sees only what the ones before left open.
+    """qid, canonical_id, decided_by; each tier sees only what the ones before left open.
 
     save: cuts lineage between tiers (a function of a DataFrame), so that no tier is computed twice.
     """
@@ -212,7 +212,7 @@ def cascade(names: DataFrame, dim: DataFrame, rules: dict[str, DataFrame] | None
 
     def settle(found: DataFrame, tier: str) -> None:
         nonlocal left
-        found = save(found.select("qid", "canonical_id", F.lit(tier).alias("decision_source")))
+        found = save(found.select("qid", "canonical_id", F.lit(tier).alias("decided_by")))
         out.append(found)
         left = left.join(found.select("qid"), "qid", "left_anti")
 
@@ -227,4 +227,4 @@ def cascade(names: DataFrame, dim: DataFrame, rules: dict[str, DataFrame] | None
     found = out[0]
     for more in out[1:]:
         found = found.unionByName(more)
-    return names.select("qid").join(found, "qid", "left").withColumn("decision_source", F.coalesce("decision_source", F.lit("unresolved")))
+    return names.select("qid").join(found, "qid", "left").withColumn("decided_by", F.coalesce("decided_by", F.lit("unresolved")))

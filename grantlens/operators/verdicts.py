@@ -82,11 +82,11 @@ def reconcile(rule: Column, gram: Column, gram_score: Column, strong: float, rul
 
 
 def waterfall(c: Column, rules: Sequence[tuple[str, str, str, float, str]]) -> Column:
-    """A struct category, name, confidence, source of the first rule whose pattern fits; rules: (pattern, category, name or '' for c, confidence, source)."""
-    made = lambda cat, name, conf, src: F.struct(F.lit(cat).alias("category"), (F.lit(name) if name else c).alias("name"), F.lit(float(conf)).alias("confidence"), F.lit(src).alias("source"))
+    """A struct category, name, confidence, rule of the first rule whose pattern fits; rules: (pattern, category, name or '' for c, confidence, rule)."""
+    made = lambda cat, name, conf, rule: F.struct(F.lit(cat).alias("category"), (F.lit(name) if name else c).alias("name"), F.lit(float(conf)).alias("confidence"), F.lit(rule).alias("rule"))
     out = made("review", "", 0.0, "none")
-    for pattern, category, name, confidence, source in reversed(rules):
-        out = F.when(c.rlike(pattern), made(category, name, confidence, source)).otherwise(out)
+    for pattern, category, name, confidence, rule in reversed(rules):
+        out = F.when(c.rlike(pattern), made(category, name, confidence, rule)).otherwise(out)
     return out
 
 

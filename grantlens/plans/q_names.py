@@ -241,8 +241,8 @@ CASCADE = (
     f" pairs2 AS (SELECT r.a, r.q_state, p.n AS b, p.canonical_id FROM rest2 r JOIN plain p ON r.q_state = p.up_state), {SETS.format(src='pairs2').replace('sets AS', 'sets2 AS').replace('FROM sets)', 'FROM sets2)').replace('joined AS', 'joined2 AS')},"
     f" st2 AS (SELECT a, q_state, arg_max(canonical_id, score) AS canonical_id, max(score) AS top, coalesce(list_sort(list(score), 'DESC')[2], 0) AS second FROM (SELECT a, q_state, canonical_id, {SET_SCORE} AS score FROM joined2) WHERE score >= 95 GROUP BY a, q_state),"
     f" setted AS (SELECT q.qid, s.canonical_id FROM q JOIN st2 s ON q.q1 = s.a AND q.q_state = s.q_state WHERE s.top - s.second >= 8 AND q.qid NOT IN (SELECT qid FROM exact UNION ALL SELECT qid FROM national UNION ALL SELECT qid FROM sorted)),"
-    f" found AS (SELECT *, 'exact' AS decision_source FROM exact UNION ALL SELECT *, 'national' FROM national UNION ALL SELECT *, 'state_token_sort' FROM sorted UNION ALL SELECT *, 'state_token_set' FROM setted),"
-    f" resolved AS (SELECT a.qid, f.canonical_id, coalesce(f.decision_source, 'unresolved') AS decision_source FROM asked a LEFT JOIN found f ON a.qid = f.qid)"
+    f" found AS (SELECT *, 'exact' AS decided_by FROM exact UNION ALL SELECT *, 'national' FROM national UNION ALL SELECT *, 'state_token_sort' FROM sorted UNION ALL SELECT *, 'state_token_set' FROM setted),"
+    f" resolved AS (SELECT a.qid, f.canonical_id, coalesce(f.decided_by, 'unresolved') AS decided_by FROM asked a LEFT JOIN found f ON a.qid = f.qid)"
 )
 
 
@@ -251,11 +251,11 @@ def cascade_resolve(spark, sf_dir):
     return resolved(spark, sf_dir)
 
 
-@query(CASCADE + " SELECT r.decision_source, count(*) AS n, round(avg(CASE WHEN r.canonical_id = upper(replace(p.p_name, ' ', '_')) THEN 1.0 ELSE 0.0 END), 9) AS accuracy FROM resolved r JOIN part p ON r.qid = p.p_partkey GROUP BY r.decision_source")
+@query(CASCADE + " SELECT r.decided_by, count(*) AS n, round(avg(CASE WHEN r.canonical_id = upper(replace(p.p_name, ' ', '_')) THEN 1.0 ELSE 0.0 END), 9) AS accuracy FROM resolved r JOIN part p ON r.qid = p.p_partkey GROUP BY r.decided_by")
 def accuracy_by_source(spark, sf_dir):
     rows = resolved(spark, sf_dir).join(table(spark, sf_dir, "part"), F.col("qid") == F.col("p_partkey"))
     correct = F.coalesce(F.col("canonical_id") == F.upper(F.regexp_replace("p_name", " ", "_")), F.lit(False))
-    return reporting.accuracy(rows, "decision_source", correct).withColumn("accuracy", F.round("accuracy", 9))
+    return reporting.accuracy(rows, "decided_by", correct).withColumn("accuracy", F.round("accuracy", 9))
 
 
 @query("""WITH w AS (SELECT doc_id, lower(text) AS t FROM documents), a AS (SELECT * FROM (VALUES ('the'), ('the with'), ('of the'), ('and'), ('de la'), ('en'), ('die')) v(anchor)),
@@ -316,7 +316,7 @@ WATERFALL = [("^(red|blue)", "US", "", 0.95, "colour"), ("rod$", "NA", "NA", 0.9
 @query("""SELECT p_partkey, CASE WHEN regexp_matches(p_name, '^(red|blue)') THEN 'US' WHEN regexp_matches(p_name, 'rod$') THEN 'NA' WHEN regexp_matches(p_name, '^old') THEN 'foreign' WHEN contains(p_name, 'gizmo') THEN 'NCI' ELSE 'review' END AS category,
 CASE WHEN regexp_matches(p_name, '^(red|blue)') THEN p_name WHEN regexp_matches(p_name, 'rod$') THEN 'NA' WHEN regexp_matches(p_name, '^old') THEN p_name WHEN contains(p_name, 'gizmo') THEN 'NCI' ELSE p_name END AS name,
 CASE WHEN regexp_matches(p_name, '^(red|blue)') THEN 0.95 WHEN regexp_matches(p_name, 'rod$') THEN 0.9 WHEN regexp_matches(p_name, '^old') THEN 0.8 WHEN contains(p_name, 'gizmo') THEN 1.0 ELSE 0.0 END::DOUBLE AS confidence,
-CASE WHEN regexp_matches(p_name, '^(red|blue)') THEN 'colour' WHEN regexp_matches(p_name, 'rod$') THEN 'na_trigger' WHEN regexp_matches(p_name, '^old') THEN 'foreign_word' WHEN contains(p_name, 'gizmo') THEN 'hard_nci' ELSE 'none' END AS source FROM part""")
+CASE WHEN regexp_matches(p_name, '^(red|blue)') THEN 'colour' WHEN regexp_matches(p_name, 'rod$') THEN 'na_trigger' WHEN regexp_matches(p_name, '^old') THEN 'foreign_word' WHEN contains(p_name, 'gizmo') THEN 'hard_nci' ELSE 'none' END AS rule FROM part""")
 def waterfall_resolve(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", verdicts.waterfall(F.col("p_name"), WATERFALL).alias("w")).select("p_partkey", "w.*")
 

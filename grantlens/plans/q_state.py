@@ -1,4 +1,4 @@
-"""Queries on what outlives a run: event-time state, a dimension's history, a store of answers, a bucketed log."""
+"""Queries on what outlives a run: event-time state, a dimension's history, a store of answers, a bucketed log, text tables."""
 
 from __future__ import annotations
 
@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.lineage import shared_folder
-from ..operators import history, ledger, provider
+from ..operators import history, ledger, provider, reporting
+from ..sources import index, sinks, tables
 from ..sources.log import BucketedLog
 from ..streaming import ingest, windows
 from .common import registry, table
@@ -97,3 +98,54 @@ def bucketed_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = kept.merge(rows.filter(early).drop("ts"), "event_id")
     second = kept.merge(rows.filter(~early).drop("ts"), "event_id")
     return first.select(F.lit("first").alias("run"), "*").unionByName(second.select(F.lit("second").alias("run"), "*"))
+
+
+# ---- text tables ----------------------------------------------------------------------------------------------
+def _folder(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query("""SELECT lpad(c_custkey::VARCHAR, 6, '0') AS canonical_id, CASE WHEN c_custkey % 5 = 0 THEN 'A "quoted", name' ELSE c_name END AS grantee_normalized, CASE WHEN c_custkey % 3 = 0 THEN '' ELSE 'S' || c_nationkey END AS state, 'NA' AS country, c_mktsegment AS entity_class, '' AS city FROM customer""")
+def text_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two stamped increments of the dimension, one written twice, read back as text: zeros, quotes, sentinels and empties stay."""
+    folder, c = _folder(spark, "increments"), table(spark, sf_dir, "customer")
+    name = F.when(F.col("c_custkey") % 5 == 0, 'A "quoted", name').otherwise(F.col("c_name"))
+    rows = c.select(F.lpad(F.col("c_custkey").cast("string"), 6, "0").alias("canonical_id"), name.alias("grantee_normalized"), F.when(F.col("c_custkey") % 3 != 0, F.concat(F.lit("S"), "c_nationkey")).alias("state"), F.lit("NA").alias("country"), F.col("c_mktsegment").alias("entity_class"))
+    late = F.col("canonical_id") > "000100"
+    for some, stamp in ((rows, "1"), (rows.filter(~late), "1"), (rows.filter(late), "2")):
+        sinks.write_increment(some, tables.DIM, folder, stamp)
+    parts = [tables.read_text_table(spark, f"{folder}/stamp={stamp}", tables.DIM) for stamp in ("1", "2")]
+    return parts[0].unionByName(parts[1])
+
+
+@query("""SELECT event_id::VARCHAR AS xml_file, '' AS timestamp, event_type AS form_type, '' AS filer_name, lpad(user_id::VARCHAR, 9, '0') AS filer_ein, CASE WHEN event_type = 'error' THEN 'True' ELSE 'False' END AS filer_support_org, '' AS return_year FROM events""")
+def log_appends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log of two runs, appended."""
+    folder, e = _folder(spark, "log"), table(spark, sf_dir, "events")
+    rows = e.select(F.col("event_id").cast("string").alias("xml_file"), F.col("event_type").alias("form_type"), F.lpad(F.col("user_id").cast("string"), 9, "0").alias("filer_ein"), (F.col("event_type") == "error").alias("filer_support_org"))
+    for some in (rows.filter("form_type = 'error'"), rows.filter("form_type <> 'error'")):
+        sinks.append_log(some, tables.LOG, folder)
+    return spark.read.parquet(folder)
+
+
+@query("SELECT lpad(event_id::VARCHAR, 9, '0') AS objectid, CASE WHEN event_type = 'error' THEN 'NULL' ELSE event_type END AS formtype, NULL::VARCHAR AS taxyear FROM events")
+def index_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An index with headers in mixed spellings: all text, nothing inferred, NULL is a word, an empty field is null."""
+    folder, e = _folder(spark, "index"), table(spark, sf_dir, "events")
+    rows = e.select(F.lpad(F.col("event_id").cast("string"), 9, "0").alias("Object ID"), F.when(F.col("event_type") == "error", "NULL").otherwise(F.col("event_type")).alias("FORM_TYPE"), F.lit("").alias("tax-year"))
+    rows.write.option("header", True).option("emptyValue", "").csv(folder)
+    return index.read_index(spark, folder).select("objectid", "formtype", "taxyear")
+
+
+@query("""WITH a AS (SELECT c_mktsegment AS grantee, c_nationkey::VARCHAR AS grantee_state, CASE c_nationkey % 4 WHEN 0 THEN 'new_mint' WHEN 1 THEN 'review' WHEN 2 THEN 'matched' ELSE 'NA' END AS disposition, count(*) AS n_grants, round(sum(c_acctbal), 2) AS total_amount FROM customer GROUP BY 1, 2, 3)
+SELECT row_number() OVER (ORDER BY list_position(['new_mint', 'review', 'matched', 'NCI', 'NA'], disposition), total_amount DESC, grantee, grantee_state) AS place, grantee, grantee_state, disposition, n_grants::VARCHAR AS n_grants FROM a""")
+def audit_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit by segment and nation, as the one sorted file that people read."""
+    folder, c = _folder(spark, "audit"), table(spark, sf_dir, "customer")
+    which = F.col("c_nationkey") % 4
+    kind = F.when(which == 0, "new_mint").when(which == 1, "review").when(which == 2, "matched").otherwise("NA")
+    rows = reporting.audit(c.select(F.col("c_mktsegment").alias("grantee"), F.col("c_nationkey").cast("string").alias("grantee_state"), kind.alias("disposition"), F.col("c_acctbal").cast("string").alias("amount")), ["grantee", "grantee_state", "disposition"], "amount")
+    ordered = reporting.audit_order(rows.withColumn("pos", F.struct("grantee", "grantee_state")))
+    sinks.write_report(sinks.as_text(ordered, tables.AUDIT), folder)
+    found = tables.read_text_table(spark, folder).withColumn("place", F.monotonically_increasing_id() + 1)
+    return found.select("place", "grantee", "grantee_state", "disposition", "n_grants")

@@ -97,9 +97,9 @@ def match(grants: DataFrame, dim: DataFrame, rules: dict | None = None, answers:
     found = cut(matching.cascade(names, d, rules, save=cut))
     left = names.join(found.filter("canonical_id IS NULL").select("qid"), "qid")
     outcome, fresh = verdict_outcomes(left, d, cut(answers(left)) if answers else None, flagship)
-    ids = found.filter("canonical_id IS NOT NULL").select("qid", "canonical_id", "decision_source").withColumn("minted", F.lit(False)).unionByName(outcome)
+    ids = found.filter("canonical_id IS NOT NULL").select("qid", "canonical_id", "decided_by").withColumn("minted", F.lit(False)).unionByName(outcome)
     ids = cut(ids.join(names.select("qid", "k0", "k1", "k2"), "qid"))
-    out = rows.join(ids.select(F.col("k0").alias("r0"), F.col("k1").alias("r1"), F.col("k2").alias("r2"), "canonical_id", "decision_source", "minted"), (F.col("k0") == F.col("r0")) & (F.col("k1") == F.col("r1")) & (F.col("k2") == F.col("r2")), "left")
+    out = rows.join(ids.select(F.col("k0").alias("r0"), F.col("k1").alias("r1"), F.col("k2").alias("r2"), "canonical_id", "decided_by", "minted"), (F.col("k0") == F.col("r0")) & (F.col("k1") == F.col("r1")) & (F.col("k2") == F.col("r2")), "left")
     own = F.when(F.col("canonical_id").rlike("^SG") | F.col("canonical_id").isin("NA", "NCI"), "").otherwise(F.col("canonical_id"))
     out = out.withColumn("canonical_id", F.coalesce("canonical_id", F.lit(""))).withColumn("ipeds_unitid", F.coalesce(own, F.lit("")))
     seen = reporting.audit(out.withColumn("disposition", reporting.disposition(F.col("canonical_id"), F.col("minted"))), ["k0", "k1", "k2", "disposition", "canonical_id", "ipeds_unitid", "minted"], "grant_amount")
@@ -111,13 +111,13 @@ def match(grants: DataFrame, dim: DataFrame, rules: dict | None = None, answers:
 
 
 def verdict_outcomes(left: DataFrame, dim: DataFrame, answers: DataFrame | None, flagship: str | None) -> tuple[DataFrame, DataFrame]:
-    """(qid, canonical_id, decision_source, minted) of open names, and the new dimension rows."""
+    """(qid, canonical_id, decided_by, minted) of open names, and the new dimension rows."""
     if answers is None:
         none = left.sparkSession.createDataFrame([], tables.DIM)
-        return left.select("qid", F.lit("NA").alias("canonical_id"), F.lit("no_verdict").alias("decision_source"), F.lit(False).alias("minted")), none
+        return left.select("qid", F.lit("NA").alias("canonical_id"), F.lit("no_verdict").alias("decided_by"), F.lit(False).alias("minted")), none
     said = cut(left.join(answers.select("qid", "v_type", "v_name", "v_country"), "qid", "left"))
     proposed = said.filter("v_name IS NOT NULL").select("qid", F.col("v_name").alias("name"), "city", "state")
-    again = matching.cascade(proposed, dim, None, save=cut).select("qid", F.col("canonical_id").alias("cascade_id"), F.col("decision_source").alias("tier"))
+    again = matching.cascade(proposed, dim, None, save=cut).select("qid", F.col("canonical_id").alias("cascade_id"), F.col("decided_by").alias("tier"))
     q = proposed.select("qid", text.strip_wrappers(F.col("name")).alias("q"), F.upper(F.coalesce("state", F.lit(""))).alias("q_state"))
     # as low as a rival may be and still keep another from being sure
     tops = matching.national(q, dim, minting.JOIN - minting.MARGIN, 0).select("qid", F.col("top").alias("national_top"), F.col("second").alias("national_second"))
@@ -140,7 +140,7 @@ def verdict_outcomes(left: DataFrame, dim: DataFrame, answers: DataFrame | None,
     joined = done.filter("outcome = 'matched' AND leader IS NOT NULL").select("qid", F.col("leader").alias("key"))
     mapped = mints.select("qid", "key").unionByName(joined).join(new.select("key", F.col("canonical_id").alias("minted_id")), "key").drop("key")
     out = done.select("qid", "canonical_id", "outcome").join(mapped, "qid", "left")
-    out = out.select("qid", F.coalesce("minted_id", "canonical_id").alias("canonical_id"), F.concat(F.lit("verdict_"), F.col("outcome")).alias("decision_source"), F.col("minted_id").isNotNull().alias("minted"))
+    out = out.select("qid", F.coalesce("minted_id", "canonical_id").alias("canonical_id"), F.concat(F.lit("verdict_"), F.col("outcome")).alias("decided_by"), F.col("minted_id").isNotNull().alias("minted"))
     home = F.col("v_type") != "foreign"
     rows = new.select(
         "canonical_id", F.col("shown_name").alias("grantee_normalized"), verdicts.territory_name(F.coalesce("state", F.lit("")), ~home).alias("state"),

@@ -102,7 +102,7 @@ def test_cascade(spark):
         "by_city": spark.createDataFrame([], "key string, city string, id string"),
         "by_name": spark.createDataFrame([("The Special Name Foundation", "X9")], "key string, id string"),
     }
-    rows = {r["qid"]: (r["canonical_id"], r["decision_source"]) for r in matching.cascade(names, dim, rules).collect()}
+    rows = {r["qid"]: (r["canonical_id"], r["decided_by"]) for r in matching.cascade(names, dim, rules).collect()}
     assert rows == {i: (want, source) for i, (_, _, _, want, source) in enumerate(ASKED)}
     assert matching.next_surrogate(dim).first()["top"] == 41
 
