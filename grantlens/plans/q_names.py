@@ -395,3 +395,13 @@ def mint_in_order(spark, sf_dir):
     name = F.upper(F.expr(MINTED))
     rows = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("qid"), F.col("p_partkey").alias("place"), name.alias("key"), name.alias("q"), (F.col("p_size") <= 45).alias("may_lead"), F.when(F.col("p_size") > 45, 90.0).alias("best"), F.lit(None).cast("double").alias("second"))
     return minting.settled(rows, margin=6, common=(), least=0).withColumn("top", F.round("top", 6))
+
+
+@query("""WITH d AS (SELECT 'N' || c_nationkey AS canonical_id, arg_min(c_name, c_custkey) AS canonical_name, arg_min(c_mktsegment, c_custkey) AS entity_class FROM customer GROUP BY c_nationkey)
+SELECT s_suppkey, canonical_name, entity_class FROM supplier LEFT JOIN d ON canonical_id = 'N' || (s_nationkey + CASE WHEN s_suppkey % 4 = 0 THEN 100 ELSE 0 END)""")
+def id_info(spark, sf_dir):
+    """What an id is shown as: its first row's name and class; an id that the dimension lacks has none."""
+    dim = table(spark, sf_dir, "customer").select(F.concat(F.lit("N"), "c_nationkey").alias("canonical_id"), F.col("c_name").alias("canonical_name"), F.col("c_mktsegment").alias("entity_class"), F.col("c_custkey").alias("pos"))
+    ident = F.concat(F.lit("N"), (F.col("s_nationkey") + F.when(F.col("s_suppkey") % 4 == 0, 100).otherwise(0)).cast("string"))
+    asked = table(spark, sf_dir, "supplier").select("s_suppkey", ident.alias("id"))
+    return asked.join(matching.shown(dim), F.col("id") == F.col("canonical_id"), "left").select("s_suppkey", "canonical_name", "entity_class")
