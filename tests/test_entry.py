@@ -9,7 +9,7 @@ def test_names():
     assert len(queries) >= 60
     assert all(callable(f) for f in queries.values())
     if e.corpus_pipeline is not None:
-        assert {f"op{n}" for n in range(1, 11)} | {"pipeline"} == {q.split("_")[0] for q in queries if q.startswith("op") and q[2:3].isdigit() or q == "pipeline"}
+        assert {f"op{n}" for n in range(1, 14)} | {"pipeline"} == {q.split("_")[0] for q in queries if q.startswith("op") and q[2:3].isdigit() or q == "pipeline"}
 
 
 def test_entry(spark, small):
