@@ -372,7 +372,7 @@ def mint_surrogates(spark, sf_dir):
     return out.select(F.md5("key").alias("key_md5"), "first_pos", "canonical_id")
 
 
-MINTED = "CASE p_partkey % 4 WHEN 0 THEN replace(p_name, 'l', 'll') WHEN 1 THEN replace(p_name, 'd', 'dd') ELSE p_name END || ' ' || p_type || ' works'"
+MINTED = "CASE p_partkey % 4 WHEN 0 THEN replace(p_name, 'l', 'll') WHEN 1 THEN replace(p_name, 'd', 'dd') ELSE p_name END || ' national works'"
 
 
 @query(f"""WITH RECURSIVE rows AS MATERIALIZED (SELECT p_partkey AS qid, upper({MINTED}) AS q, CASE WHEN p_size > 45 THEN 90.0 ELSE 0 END AS best FROM part),
