@@ -10,7 +10,8 @@ from grantlens.llm.queries import QUERIES
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_its_oracle(spark, small, name):
     c = duckdb.connect()
-    c.execute(f"CREATE VIEW documents AS SELECT * FROM '{small}/documents.parquet'")
+    for t in ("documents", "embeddings"):
+        c.execute(f"CREATE VIEW {t} AS SELECT * FROM '{small}/{t}.parquet'")
     df = QUERIES[name](spark, small)
     result = c.execute(ORACLES[name])
     columns = [x[0] for x in result.description]
