@@ -48,6 +48,15 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def merged(df: DataFrame) -> DataFrame:
+    """df as a side of a join that sorts and merges, whatever the planner takes its size for.
+
+    Before a run sizes are guessed from the bytes of Parquet files, and rows that come of an explode count as nothing. A
+    side that grows with the input would be broadcast, through the driver, long after it has outgrown it.
+    """
+    return df.hint("merge")
+
+
 def table_at(spark: SparkSession, folder: str, schema: str) -> DataFrame | None:
     """The Parquet table in a folder, or None where there is none yet."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)

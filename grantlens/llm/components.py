@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import merged, saved
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -15,7 +15,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     else:
         edges = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     least = edges.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("x"), F.least("u", "m").alias("m"))
-    met = edges.join(least, F.col("u") == F.col("x"))
+    met = edges.join(merged(least), F.col("u") == F.col("x"))
     if large:
         out = met.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, short_batches
+from .common import merged, saved, short_batches
 from .components import components
 from .words import portions
 
@@ -90,11 +90,11 @@ def links(prints: DataFrame) -> DataFrame:
     halves = _halves(prints)
     homes = halves.select(F.expr(_key("side", "own")).alias("key"), "fp", "other")
     sizes = homes.groupBy("key").agg(F.count("*").alias("n"))
-    homes = homes.join(sizes, "key")
+    homes = homes.join(merged(sizes), "key")
     flips = "transform(sequence(0, 32), i -> if(i = 32, own, own ^ shiftleft(1L, i)))"
     asks = halves.select("fp", "side", "own", F.explode(F.expr(flips)).alias("value")).select(F.expr(_key("side", "value")).alias("key"), F.col("fp").alias("ask"))
     few = homes.filter(F.col("n") <= BUCKET).select("key", "fp")
-    pairs = asks.join(few, "key").filter((F.col("fp") < F.col("ask")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("ask"))) <= DISTANCE))
+    pairs = asks.join(merged(few), "key").filter((F.col("fp") < F.col("ask")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("ask"))) <= DISTANCE))
     many = saved(homes.filter(F.col("n") > BUCKET).select("key", "fp", "other"), "crowded")
     edges = pairs.select(F.col("fp").alias("u"), F.col("ask").alias("v"))
     if many.isEmpty():
@@ -121,7 +121,7 @@ def crowded(many: DataFrame, asks: DataFrame) -> DataFrame:
     two = many.select("key", "fp", F.explode(F.expr(far)).alias("centre"))
     from_askers = askers.select("key", "fp", F.explode(F.expr(near)).alias("centre"))
     around = one.unionByName(two).unionByName(from_askers)
-    met = around.join(hubs, ["key", "centre"]).filter(F.col("fp") != F.col("hub"))
+    met = around.join(merged(hubs), ["key", "centre"]).filter(F.col("fp") != F.col("hub"))
     met = met.filter(F.bit_count(F.col("fp").bitwiseXOR(F.col("hub"))) <= DISTANCE)
     return met.select(F.least("fp", "hub").alias("u"), F.greatest("fp", "hub").alias("v"))
 
@@ -131,10 +131,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rows = saved(fingerprints(docs), "fingerprints")
     prints = rows.groupBy("fp").agg(F.min("doc_id").alias("least_id"))
     roots = components(links(prints.select("fp")))
-    prints = prints.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    prints = prints.join(merged(roots.select(F.col("node").alias("fp"), "root")), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = prints.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    named = prints.join(least, "root").select(F.col("fp").alias("p"), "component_id")
-    return rows.join(named, F.col("fp") == F.col("p")).select("doc_id", "fp", "component_id")
+    named = prints.join(merged(least), "root").select(F.col("fp").alias("p"), "component_id")
+    return rows.join(merged(named), F.col("fp") == F.col("p")).select("doc_id", "fp", "component_id")
 
 
 def fingerprint_hex(fp: str = "fp"):
