@@ -1,0 +1,14 @@
+"""Joins with a dimension sort and merge: what its Parquet files weigh says little of its rows."""
+
+from grantlens.operators import matching
+from grantlens.plans import q_names
+
+
+def planned(df):
+    return df._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_exact_look_ups_are_not_broadcast(spark, small):
+    assert "Broadcast" not in planned(matching.exact(q_names.asked(spark, small), q_names.dimension(spark, small)))
+
+
