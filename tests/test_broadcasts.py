@@ -12,3 +12,5 @@ def test_exact_look_ups_are_not_broadcast(spark, small):
     assert "Broadcast" not in planned(matching.exact(q_names.asked(spark, small), q_names.dimension(spark, small)))
 
 
+def test_what_the_cascade_left_open_is_not_broadcast(spark, small):
+    assert "Broadcast" not in planned(q_names.cascade_resolve(spark, small))
