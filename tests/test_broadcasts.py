@@ -14,3 +14,7 @@ def test_exact_look_ups_are_not_broadcast(spark, small):
 
 def test_what_the_cascade_left_open_is_not_broadcast(spark, small):
     assert "Broadcast" not in planned(q_names.cascade_resolve(spark, small))
+
+
+def test_accuracy_joins_parts_without_a_broadcast(spark, small):
+    assert "Broadcast" not in planned(q_names.accuracy_by_source(spark, small))
