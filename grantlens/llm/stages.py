@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import langid, mixing, packing, secrets, simhash
-from .common import boxed, read, saved, unboxed
+from .common import boxed, merged, read, saved, unboxed
 
 #: A document is rejected when its language is `und`, or less likely than this.
 LEAST_LANGUAGE_SCORE = 0.3
@@ -34,9 +34,9 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     found = simhash.near_duplicates(keyed.select(F.col("own_key").alias("doc_id"), F.col("box_text").alias("text"))).select("doc_id", "component_id")
     # keys, ids and digests alone settle who stays; only then do texts move
     rank = F.struct(F.col("box_doc_id").isNull(), F.col("box_doc_id"), F.sha2(F.col("box_text").cast("binary"), 256), F.col("own_key"))
-    ranked = keyed.select("own_key", rank.alias("rank")).join(found, F.col("own_key") == F.col("doc_id"))
+    ranked = keyed.select("own_key", rank.alias("rank")).join(merged(found), F.col("own_key") == F.col("doc_id"))
     keep = ranked.groupBy("component_id").agg(F.min_by("own_key", "rank").alias("keep_key")).select("keep_key")
-    return unboxed(keyed.join(keep, F.col("own_key") == F.col("keep_key")), docs)
+    return unboxed(keyed.join(merged(keep), F.col("own_key") == F.col("keep_key")), docs)
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
