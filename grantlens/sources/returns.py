@@ -1,8 +1,9 @@
 """XML returns of several schema generations, flattened to grants.
 
 Files are read whole, and each is parsed once, whatever its namespace prefix or nesting: a return becomes scopes (the
-return itself, its filer, and every grant group with its address blocks), and a scope is a map from element names, and
-from parent/child names, to the text of the first such element anywhere within it. Every rule is a look-up in those maps.
+return itself, its filer, and every grant group with its address blocks), and a scope is a map from the element names, and
+parent/child names, that rules ask for to the text of the first such element anywhere within it. Every rule is a look-up in
+those maps.
 Texts stay strings (never inferred: identifiers keep their zeros). Element names come from functions.fixed, in order of
 preference. Two rules differ on purpose: names fall through empty elements; other fields take the first element that
 exists, even an empty one.
@@ -22,72 +23,136 @@ from ..functions import fixed, text
 #: A scope's texts; a group's tag, texts, and those of its blocks by tag.
 MAP = "map<string, string>"
 SCOPES = f"path string, bad boolean, root {MAP}, filer {MAP}, groups array<struct<tag: string, texts: {MAP}, blocks: map<string, {MAP}>>>"
-_MAP = pa.map_(pa.string(), pa.string())
-_GROUPS = pa.list_(pa.struct([("tag", pa.string()), ("texts", _MAP), ("blocks", pa.map_(pa.string(), _MAP))]))
+#: The names that rules look up in each kind of scope; texts of others stay out of the maps.
+NAMES = {
+    "root": ["ReturnTs", fixed.FOUNDATION_FORM, *fixed.TAX_YEAR, *fixed.PERIOD_END, *fixed.FILER_FLAGS],
+    "filer": ["EIN", *fixed.FILER_NAMES],
+    "group": [*fixed.RECIPIENT_NAMES, *fixed.PERSON_NAMES, *fixed.RECIPIENT_EINS, *fixed.AMOUNTS, *fixed.PURPOSES],
+    "block": [*fixed.LINE1, *fixed.LINE2, *fixed.CITY, *fixed.DOMESTIC_STATE, *fixed.DOMESTIC_ZIP, *fixed.FOREIGN_STATE, *fixed.FOREIGN_ZIP, *fixed.FOREIGN_COUNTRY],
+}
+BLOCKS = [*fixed.DOMESTIC_BLOCKS, *fixed.FOREIGN_BLOCKS]
+#: Returns whose scopes a Python worker holds at a time.
+HELD = 256
+
+
+def _looked_up(space: str, names: Sequence[str], marked: Sequence[str]) -> dict[str, tuple]:
+    """By tag, in a namespace: (the name, if it is one of names; names parent/child by the child's tag; whether it is marked)."""
+    found: dict[str, list] = {}
+    at = lambda name: found.setdefault(space + name, [None, {}, None])
+    for name in names:
+        outer, _, inner = name.partition("/")
+        if inner:
+            at(outer)[1][space + inner] = name
+        else:
+            at(outer)[0] = name
+    for name in marked:
+        at(name)[2] = name
+    return {tag: tuple(x) for tag, x in found.items()}
 
 
 class Scopes:
-    """One return's scopes. Only elements in the root's namespace count, as names without it."""
-
-    def __init__(self, value: str) -> None:
-        root = ElementTree.fromstring(value)
-        self.space = root.tag[: root.tag.find("}") + 1] if root.tag.startswith("{") else ""
-        found = self.named(root, {"Filer", *fixed.GROUPS})
-        self.root = self.texts(root)
-        self.filer = self.texts(found["Filer"][0]) if found["Filer"] else None
-        blocks = {*fixed.DOMESTIC_BLOCKS, *fixed.FOREIGN_BLOCKS}
-        self.groups = []
-        for tag in fixed.GROUPS:
-            for group in found[tag]:
-                inner = {name: self.texts(some[0]) for name, some in self.named(group, blocks).items() if some}
-                self.groups.append({"tag": tag, "texts": list(self.texts(group).items()), "blocks": [(name, list(t.items())) for name, t in inner.items()]})
-
-    def name(self, element: ElementTree.Element) -> str | None:
-        tag = element.tag
-        if not isinstance(tag, str) or not tag.startswith(self.space):
-            return None
-        tag = tag[len(self.space) :]
-        return None if tag.startswith("{") else tag
-
-    def named(self, scope: ElementTree.Element, tags: set[str]) -> dict[str, list[ElementTree.Element]]:
-        """The elements of each tag below scope, in the document's order."""
-        found: dict[str, list[ElementTree.Element]] = {t: [] for t in tags}
-        for element in scope.iter():
-            if element is not scope and (name := self.name(element)) in found:
-                found[name].append(element)
-        return found
-
-    def texts(self, scope: ElementTree.Element) -> dict[str, str]:
-        """The first text of each name, and of each name below each, anywhere within scope; an element without text has an empty one."""
+    """Reads a return's scopes, each in one pass. Only elements in the root's namespace count, as names without it."""
+
+    def __init__(self, names: dict[str, Sequence[str]], groups: bool) -> None:
+        self.names, self.tags, self.known = names, fixed.GROUPS if groups else [], {}
+
+    def rules(self, space: str) -> list[dict[str, tuple]]:
+        if space not in self.known:
+            if len(self.known) >= 64:  # returns may name as many namespaces as they like
+                self.known.clear()
+            marked = {"root": ["Filer", *self.tags], "filer": [], "group": BLOCKS, "block": []}
+            self.known[space] = [_looked_up(space, self.names[kind], marked[kind]) for kind in marked]
+        return self.known[space]
+
+    def texts(self, scope: ElementTree.Element, rules: dict[str, tuple]) -> tuple[dict[str, str], dict[str, list[ElementTree.Element]]]:
+        """The first text of each name, and of each name below each, anywhere within scope (an element without text has an
+        empty one), and the marked elements below it, in the document's order."""
         found: dict[str, str] = {}
-        for parent in scope.iter():
-            outer = self.name(parent)
-            if outer is not None and parent is not scope:
-                found.setdefault(outer, (parent.text or "").strip())
-            for child in parent:
-                if outer is not None and (inner := self.name(child)) is not None:
-                    found.setdefault(f"{outer}/{inner}", (child.text or "").strip())
-        return found
-
-
-def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        bad, roots, filers, groups = [], [], [], []
-        for value in batch.column("value").to_pylist():
-            try:
-                one = Scopes(value or "")
-            except ElementTree.ParseError:
-                one = None
-            bad.append(one is None)
-            roots.append(None if one is None else list(one.root.items()))
-            filers.append(None if one is None or one.filer is None else list(one.filer.items()))
-            groups.append([] if one is None else one.groups)
-        yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(bad), pa.array(roots, _MAP), pa.array(filers, _MAP), pa.array(groups, _GROUPS)], ["path", "bad", "root", "filer", "groups"])
-
-
-def parsed(returns: DataFrame) -> DataFrame:
-    """SCOPES of returns (path, value); bad: not well-formed, with no scopes."""
-    return returns.select("path", "value").mapInArrow(_parsed, SCOPES)
+        marked: dict[str, list[ElementTree.Element]] = {}
+        get = rules.get
+        for element in scope.iter():
+            rule = get(element.tag)
+            if rule is None:
+                continue
+            name, inner, mark = rule
+            if element is not scope:
+                if name is not None and name not in found:
+                    found[name] = (element.text or "").strip()
+                if mark is not None:
+                    marked.setdefault(mark, []).append(element)
+            if inner:
+                for child in element:
+                    both = inner.get(child.tag)
+                    if both is not None and both not in found:
+                        found[both] = (child.text or "").strip()
+        return found, marked
+
+    def __call__(self, value: str) -> tuple[dict, dict | None, list[tuple[str, dict, dict[str, dict]]]]:
+        """Texts of the return and of its filer, and (tag, texts, texts of blocks) of each group."""
+        root = ElementTree.fromstring(value)
+        in_root, in_filer, in_group, in_block = self.rules(root.tag[: root.tag.find("}") + 1] if root.tag.startswith("{") else "")
+        own, marked = self.texts(root, in_root)
+        filer = self.texts(marked["Filer"][0], in_filer)[0] if "Filer" in marked else None
+        groups = []
+        for tag in self.tags:
+            for group in marked.get(tag, ()):
+                texts, blocks = self.texts(group, in_group)
+                groups.append((tag, texts, {name: self.texts(some[0], in_block)[0] for name, some in blocks.items()}))
+        return own, filer, groups
+
+
+class _Maps:
+    """A column of maps, entry by entry."""
+
+    def __init__(self) -> None:
+        self.at, self.keys, self.values = [], [], []
+
+    def add(self, entries: dict | None) -> None:
+        self.at.append(None if entries is None else len(self.keys))
+        if entries:
+            self.keys += entries
+            self.values += entries.values()
+
+    def array(self, values: pa.Array | None = None) -> pa.Array:
+        at = pa.array([*self.at, len(self.keys)], pa.int32())
+        return pa.MapArray.from_arrays(at, pa.array(self.keys, pa.string()), pa.array(self.values, pa.string()) if values is None else values)
+
+
+def _scopes(read: Scopes, batch: pa.RecordBatch) -> pa.RecordBatch:
+    bad, tags, starts = [], [], []
+    roots, filers, texts, blocks, inner = _Maps(), _Maps(), _Maps(), _Maps(), _Maps()
+    for value in batch.column("value").to_pylist():
+        try:
+            root, filer, groups = read(value or "")
+        except ElementTree.ParseError:
+            root, filer, groups = None, None, []
+        bad.append(root is None)
+        roots.add(root)
+        filers.add(filer)
+        starts.append(len(tags))
+        for tag, own, within in groups:
+            tags.append(tag)
+            texts.add(own)
+            blocks.add(within)
+            for some in within.values():
+                inner.add(some)
+    grouped = pa.StructArray.from_arrays([pa.array(tags, pa.string()), texts.array(), blocks.array(inner.array())], ["tag", "texts", "blocks"])
+    grouped = pa.ListArray.from_arrays(pa.array([*starts, len(tags)], pa.int32()), grouped)
+    return pa.RecordBatch.from_arrays([batch.column("path"), pa.array(bad), roots.array(), filers.array(), grouped], ["path", "bad", "root", "filer", "groups"])
+
+
+def parsed(returns: DataFrame, names: dict[str, Sequence[str]] | None = None, groups: bool = True) -> DataFrame:
+    """SCOPES of returns (path, value); bad: not well-formed, with no scopes. names: what to look for in each kind of scope,
+    else NAMES; groups: or leave them empty, where only the header counts."""
+    names = NAMES | (names or {})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        read = Scopes(names, groups)
+        for batch in batches:
+            for lo in range(0, batch.num_rows, HELD):
+                yield _scopes(read, batch.slice(lo, HELD))
+
+    return returns.select("path", "value").mapInArrow(run, SCOPES)
 
 
 def existing(texts: Column, names: Sequence[str]) -> Column:
@@ -136,13 +201,13 @@ def listed(returns: DataFrame, manifest: DataFrame) -> DataFrame:
     return returns.join(of, F.col("path") == F.col("listed_path")).drop("listed_path")
 
 
-def filings(returns: DataFrame) -> DataFrame:
+def filings(returns: DataFrame, groups: bool = True) -> DataFrame:
     """One row a return that has a filer: its file, header fields, flag, status, whether it holds the form of foundations,
-    and its groups. status: ok or malformed."""
+    and its groups (groups: or none of them, where only the header counts). status: ok or malformed."""
     root, filer = F.col("root"), F.col("filer")
     file = F.element_at(F.split("path", "/"), -1)
     year = F.coalesce(F.nullif(existing(root, fixed.TAX_YEAR), F.lit("")), F.substring(F.nullif(existing(root, fixed.PERIOD_END), F.lit("")), 1, 4), F.lit(""))
-    return parsed(returns).filter(F.col("bad") | filer.isNotNull()).select(
+    return parsed(returns, groups=groups).filter(F.col("bad") | filer.isNotNull()).select(
         file.alias("xml_file"),
         F.when(F.col("bad"), "malformed").otherwise("ok").alias("status"),
         F.coalesce(filled(filer, fixed.FILER_NAMES), F.lit("")).alias("filer_name"),
