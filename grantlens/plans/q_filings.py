@@ -134,32 +134,50 @@ def lpt_partition(spark, sf_dir):
 
 
 # ---- XML ------------------------------------------------------------------------------------------------------
-def customer_returns(spark: SparkSession, sf_dir: str, variants: bool = False, broken: bool = False) -> DataFrame:
+def customer_returns(spark: SparkSession, sf_dir: str, variants: bool = False, broken: bool = False, prefix: str = "") -> DataFrame:
     """Orders as XML returns: path, value. variants: element names, and how deep fields lie, by key parity; broken: every
-    seventh is cut off."""
-    l = table(spark, sf_dir, "lineitem")  # noqa: E741
-    old = (F.col("l_orderkey") % 2 == 1) if variants else F.lit(False)
-
-    def tag(new: str, other: str, body):
-        return F.when(old, F.concat(F.lit(f"<{other}>"), body, F.lit(f"</{other}>"))).otherwise(F.concat(F.lit(f"<{new}>"), body, F.lit(f"</{new}>")))
-
-    part = F.concat(F.lit("Part &amp; "), F.lpad(F.col("l_partkey").cast("string"), 9, "0"))
-    inner = F.concat(
-        tag("RecipientBusinessName", "RecipientNameBusiness", tag("BusinessNameLine1Txt", "BusinessNameLine1", part)),
-        F.when(F.col("l_suppkey") % 3 == 0, F.concat(F.lit("<USAddress>"), tag("CityNm", "City", F.col("l_suppkey").cast("string")), F.lit("<ZIPCd>01234</ZIPCd></USAddress>"))).when(F.col("l_suppkey") % 3 == 1, F.concat(F.lit("<ForeignAddress><CountryCd>"), F.col("l_returnflag"), F.lit("</CountryCd></ForeignAddress>"))).otherwise(""),
-        tag("RecipientEIN", "EINOfRecipient", F.lpad(F.col("l_suppkey").cast("string"), 9, "0")),
-        tag("Amt", "AmountOfCashGrant", F.col("l_quantity").cast("decimal(12,2)").cast("string")),
-        tag("PurposeOfGrantTxt", "PurposeOfGrant", F.col("l_linestatus")),
-    )
-    inner = F.when(old, F.concat(F.lit("<Detail><Part>"), inner, F.lit("</Part></Detail>"))).otherwise(inner)
-    group = F.concat(F.lit("<RecipientTable>"), inner, F.lit("</RecipientTable>"))
-    groups = l.groupBy("l_orderkey").agg(F.array_join(F.array_sort(F.collect_list(group)), "").alias("groups"))
-    o = table(spark, sf_dir, "orders").join(groups, F.col("l_orderkey") == F.col("o_orderkey"))
-    head = F.concat(F.lit('<?xml version="1.0"?><Return xmlns="http://example.org/r"><ReturnHeader><ReturnTs>'), F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z</ReturnTs><Filer><EIN>"), F.lpad(F.col("o_custkey").cast("string"), 9, "0"), F.lit("</EIN><BusinessName><BusinessNameLine1Txt/><BusinessNameLine1>Filer "), F.col("o_custkey").cast("string"), F.lit("</BusinessNameLine1></BusinessName></Filer><TaxYr>"), F.year("o_orderdate").cast("string"), F.lit("</TaxYr></ReturnHeader><ReturnData><SchoolInd>"), F.when(F.col("o_orderstatus") == "F", "x").otherwise(""), F.lit("</SchoolInd>"))
-    value = F.concat(head, F.col("groups"), F.lit("</ReturnData></Return>"))
+    seventh is cut off; prefix: of every element's name.
+
+    Lines are grouped as they are; their texts are made once a return has them all, so only fields are shuffled.
+    """
+
+    def tag(name: str, *body) -> list:
+        return [F.lit(f"<{prefix}{name}>"), *body, F.lit(f"</{prefix}{name}>")]
+
+    def group(old: bool):
+        named = lambda new, other: other if old else new
+
+        def text_of(x):
+            home = F.concat(*tag("USAddress", *tag(named("CityNm", "City"), x["l_suppkey"].cast("string")), *tag("ZIPCd", F.lit("01234"))))
+            abroad = F.concat(*tag("ForeignAddress", *tag("CountryCd", x["l_returnflag"])))
+            inner = [
+                *tag(named("RecipientBusinessName", "RecipientNameBusiness"), *tag(named("BusinessNameLine1Txt", "BusinessNameLine1"), F.lit("Part &amp; "), F.lpad(x["l_partkey"].cast("string"), 9, "0"))),
+                F.when(x["l_suppkey"] % 3 == 0, home).when(x["l_suppkey"] % 3 == 1, abroad).otherwise(""),
+                *tag(named("RecipientEIN", "EINOfRecipient"), F.lpad(x["l_suppkey"].cast("string"), 9, "0")),
+                *tag(named("Amt", "AmountOfCashGrant"), x["l_quantity"].cast("decimal(12,2)").cast("string")),
+                *tag(named("PurposeOfGrantTxt", "PurposeOfGrant"), x["l_linestatus"]),
+            ]
+            return F.concat(*tag("RecipientTable", *(tag("Detail", *tag("Part", *inner)) if old else inner)))
+
+        return F.array_join(F.sort_array(F.transform("lines", text_of)), "")
+
+    fields = F.struct("l_partkey", "l_suppkey", "l_returnflag", "l_quantity", "l_linestatus")
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_list(fields).alias("lines"))
+    o = table(spark, sf_dir, "orders").join(lines, F.col("l_orderkey") == F.col("o_orderkey"))
+    groups = F.when(F.col("o_orderkey") % 2 == 1, group(True)).otherwise(group(False)) if variants else group(False)
+    space = f':{prefix.rstrip(":")}' if prefix else ""
+    head = [
+        F.lit(f'<?xml version="1.0"?><{prefix}Return xmlns{space}="http://example.org/r"><{prefix}ReturnHeader>'),
+        *tag("ReturnTs", F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z")),
+        *tag("Filer", *tag("EIN", F.lpad(F.col("o_custkey").cast("string"), 9, "0")), *tag("BusinessName", F.lit(f"<{prefix}BusinessNameLine1Txt/>"), *tag("BusinessNameLine1", F.lit("Filer "), F.col("o_custkey").cast("string")))),
+        *tag("TaxYr", F.year("o_orderdate").cast("string")), F.lit(f"</{prefix}ReturnHeader>"),
+    ]
+    data = tag("ReturnData", *tag("SchoolInd", F.when(F.col("o_orderstatus") == "F", "x").otherwise("")), groups)
+    o = o.withColumn("value", F.concat(*head, *data, F.lit(f"</{prefix}Return>")))
     if broken:
-        value = F.when(F.col("o_orderkey") % 7 == 0, F.substring(value, F.lit(1), F.length(value) - 9)).otherwise(value)
-    return o.select(F.concat(F.lit("/x/"), F.col("o_orderkey").cast("string"), F.lit("_public.xml")).alias("path"), value.alias("value"))
+        cut_off = F.when(F.col("o_orderkey") % 7 == 0, 9).otherwise(0)
+        o = o.withColumn("value", F.substring(F.col("value"), F.lit(1), F.length("value") - cut_off))
+    return o.select(F.concat(F.lit("/x/"), F.col("o_orderkey").cast("string"), F.lit("_public.xml")).alias("path"), "value")
 
 
 XML_SQL = """SELECT o_orderkey || '_public.xml' AS xml_file, 'Filer ' || o_custkey AS filer_name, lpad(o_custkey::VARCHAR, 9, '0') AS filer_ein, year(o_orderdate)::VARCHAR AS return_year, o_orderstatus = 'F' AS filer_support_org, 'Part & ' || lpad(l_partkey::VARCHAR, 9, '0') AS grantee, lpad(l_suppkey::VARCHAR, 9, '0') AS recipient_ein,

@@ -1,5 +1,6 @@
-"""What is read of a return."""
+"""What is read of a return, and what is shuffled to write one."""
 
+from grantlens.plans import q_filings
 from grantlens.sources import returns
 
 ONE = "<Return><Filer><EIN>1</EIN><Phone>2</Phone></Filer><Other/><RecipientTable><Amt>3</Amt><Note>4</Note><USAddress><City>a</City><Door>5</Door></USAddress></RecipientTable></Return>"
@@ -25,3 +26,9 @@ def test_headers_alone(spark):
 def test_scopes_are_held_for_few_returns_at_a_time(spark):
     df = spark.createDataFrame([(f"/x/{i}.xml", ONE) for i in range(2 * returns.HELD + 5)], "path string, value string").coalesce(1)
     assert returns.parsed(df).filter("filer['EIN'] = '1' AND size(groups) = 1").count() == 2 * returns.HELD + 5
+
+
+def test_fields_are_shuffled_not_texts(spark, small):
+    plan = q_filings.customer_returns(spark, small, variants=True)._jdf.queryExecution().optimizedPlan().toString()
+    (grouped,) = [x for x in plan.splitlines() if "Aggregate" in x]
+    assert "concat" not in grouped
