@@ -233,7 +233,7 @@ def exclusions_and_prior(spark, sf_dir):
     ein = lambda c: F.lpad(F.col(c).cast("string"), 9, "0")
     gone = table(spark, sf_dir, "customer").filter("c_mktsegment = 'BUILDING'").select(ein("c_custkey").alias("filer_ein"))
     prior = table(spark, sf_dir, "orders").filter("o_orderpriority = '1-URGENT'").select(ein("o_custkey").alias("filer_ein"), F.year("o_orderdate").cast("string").alias("return_year"))
-    return stages.wanted(returns.filings(customer_returns(spark, sf_dir)), prior, gone).select("xml_file")
+    return stages.wanted(returns.filings(customer_returns(spark, sf_dir), groups=False), prior, gone).select("xml_file")
 
 
 @query("""SELECT '/x/' || o_orderkey || '_public.xml' AS path, CASE WHEN o_orderstatus = 'F' THEN '990PF' ELSE '990' END AS form_type FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem) AND o_orderstatus <> 'P'""")
