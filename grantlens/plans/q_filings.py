@@ -207,7 +207,7 @@ def xml_prefixed(spark, sf_dir):
 
 @query("SELECT o_orderkey || '_public.xml' AS xml_file, CASE WHEN o_orderkey % 7 = 0 THEN 'malformed' ELSE 'ok' END AS status, CASE WHEN o_orderkey % 7 = 0 THEN '0001-01-01 00:00:00' ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS return_ts, o_orderkey::VARCHAR AS submission_id FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)")
 def xml_malformed_skipped(spark, sf_dir):
-    return returns.filings(customer_returns(spark, sf_dir, broken=True)).select("xml_file", "status", F.date_format("return_ts", "yyyy-MM-dd HH:mm:ss").alias("return_ts"), "submission_id")
+    return returns.filings(customer_returns(spark, sf_dir, broken=True), groups=False).select("xml_file", "status", F.date_format("return_ts", "yyyy-MM-dd HH:mm:ss").alias("return_ts"), "submission_id")
 
 
 @query(XML_SQL + " WHERE o_orderstatus <> 'F'")
