@@ -201,8 +201,7 @@ def xml_variants(spark, sf_dir):
 @query(XML_SQL)
 def xml_prefixed(spark, sf_dir):
     """Every element under a namespace prefix."""
-    value = F.regexp_replace(F.regexp_replace("value", r"(</?)(\w)", "$1r:$2"), 'xmlns="', 'xmlns:r="')
-    return returns.grants(returns.filings(customer_returns(spark, sf_dir).withColumn("value", value))).select(*XML_COLUMNS)
+    return returns.grants(returns.filings(customer_returns(spark, sf_dir, prefix="r:"))).select(*XML_COLUMNS)
 
 
 @query("SELECT o_orderkey || '_public.xml' AS xml_file, CASE WHEN o_orderkey % 7 = 0 THEN 'malformed' ELSE 'ok' END AS status, CASE WHEN o_orderkey % 7 = 0 THEN '0001-01-01 00:00:00' ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS return_ts, o_orderkey::VARCHAR AS submission_id FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)")
