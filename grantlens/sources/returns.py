@@ -14,15 +14,19 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from xml.etree import ElementTree
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed, text
+from .scan import Scan
 
 #: A scope's texts; a group's tag, texts, and those of its blocks by tag.
 MAP = "map<string, string>"
 SCOPES = f"path string, bad boolean, root {MAP}, filer {MAP}, groups array<struct<tag: string, texts: {MAP}, blocks: map<string, {MAP}>>>"
+KEPT = ["path", "bad", "root", "filer", "groups"]
 #: The names that rules look up in each kind of scope; texts of others stay out of the maps.
 NAMES = {
     "root": ["ReturnTs", fixed.FOUNDATION_FORM, *fixed.TAX_YEAR, *fixed.PERIOD_END, *fixed.FILER_FLAGS],
@@ -31,8 +35,8 @@ NAMES = {
     "block": [*fixed.LINE1, *fixed.LINE2, *fixed.CITY, *fixed.DOMESTIC_STATE, *fixed.DOMESTIC_ZIP, *fixed.FOREIGN_STATE, *fixed.FOREIGN_ZIP, *fixed.FOREIGN_COUNTRY],
 }
 BLOCKS = [*fixed.DOMESTIC_BLOCKS, *fixed.FOREIGN_BLOCKS]
-#: Returns whose scopes a Python worker holds at a time.
-HELD = 256
+#: Returns, and bytes of them, whose scopes a Python worker holds at a time; a return of more is held alone.
+HELD, HELD_BYTES = 512, 4 << 20
 
 
 def _looked_up(space: str, names: Sequence[str], marked: Sequence[str]) -> dict[str, tuple]:
@@ -119,6 +123,7 @@ class _Maps:
 
 
 def _scopes(read: Scopes, batch: pa.RecordBatch) -> pa.RecordBatch:
+    """SCOPES, return by return: what holds for any XML."""
     bad, tags, starts = [], [], []
     roots, filers, texts, blocks, inner = _Maps(), _Maps(), _Maps(), _Maps(), _Maps()
     for value in batch.column("value").to_pylist():
@@ -138,7 +143,33 @@ def _scopes(read: Scopes, batch: pa.RecordBatch) -> pa.RecordBatch:
                 inner.add(some)
     grouped = pa.StructArray.from_arrays([pa.array(tags, pa.string()), texts.array(), blocks.array(inner.array())], ["tag", "texts", "blocks"])
     grouped = pa.ListArray.from_arrays(pa.array([*starts, len(tags)], pa.int32()), grouped)
-    return pa.RecordBatch.from_arrays([batch.column("path"), pa.array(bad), roots.array(), filers.array(), grouped], ["path", "bad", "root", "filer", "groups"])
+    return pa.RecordBatch.from_arrays([batch.column("path"), pa.array(bad), roots.array(), filers.array(), grouped], KEPT)
+
+
+def _read(scan: Scan, read: Scopes, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """SCOPES of a batch: plain returns together, odd ones each by itself."""
+    plain, bad, odd = scan(batch.column("value"))
+    paths = batch.column("path")
+    for rows, root, filer, groups in plain:
+        yield pa.RecordBatch.from_arrays([paths.take(pa.array(rows)), pa.array(np.zeros(len(rows), bool)), root, filer, groups], KEPT)
+    if len(bad):
+        texts = pa.map_(pa.string(), pa.string())
+        group = pa.struct([("tag", pa.string()), ("texts", texts), ("blocks", pa.map_(pa.string(), texts))])
+        none = pa.ListArray.from_arrays(pa.array(np.zeros(len(bad) + 1, np.int32)), pa.array([], group))
+        yield pa.RecordBatch.from_arrays([paths.take(pa.array(bad)), pa.array(np.ones(len(bad), bool)), pa.nulls(len(bad), texts), pa.nulls(len(bad), texts), none], KEPT)
+    if len(odd):
+        yield _scopes(read, batch.take(pa.array(odd)))
+
+
+def _portions(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of HELD returns and HELD_BYTES at most."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column("value")), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    lo = 0
+    while lo < batch.num_rows:
+        most = int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + HELD_BYTES, "right"))
+        hi = min(max(most, lo + 1), lo + HELD, batch.num_rows)
+        yield batch.slice(lo, hi - lo)
+        lo = hi
 
 
 def parsed(returns: DataFrame, names: dict[str, Sequence[str]] | None = None, groups: bool = True) -> DataFrame:
@@ -147,10 +178,10 @@ def parsed(returns: DataFrame, names: dict[str, Sequence[str]] | None = None, gr
     names = NAMES | (names or {})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        read = Scopes(names, groups)
+        read, scan = Scopes(names, groups), Scan(names, fixed.GROUPS if groups else [], BLOCKS)
         for batch in batches:
-            for lo in range(0, batch.num_rows, HELD):
-                yield _scopes(read, batch.slice(lo, HELD))
+            for some in _portions(batch):
+                yield from _read(scan, read, some)
 
     return returns.select("path", "value").mapInArrow(run, SCOPES)
 
@@ -173,20 +204,26 @@ def flagged(root: Column, tags: Sequence[str] = fixed.FILER_FLAGS) -> Column:
     return hit
 
 
-def address(blocks: Column) -> Column:
-    """line1, line2, city, state, zip, country, type: a domestic block wins over a foreign one; neither: empty."""
+def _first_block(blocks: Column, names: Sequence[str]) -> Column:
+    return F.coalesce(*[F.try_element_at(blocks, F.lit(n)) for n in names])
+
 
-    def first_block(names: Sequence[str]) -> Column:
-        return F.coalesce(*[F.try_element_at(blocks, F.lit(n)) for n in names])
+def _address(home: Column, block: Column) -> dict[str, Column]:
+    """The parts of an address in a block; home: whether it is a domestic one."""
+    value = lambda names: F.coalesce(existing(block, names), F.lit(""))
+    either = lambda domestic, foreign: F.when(home, domestic).when(block.isNotNull(), foreign).otherwise("")
+    return {
+        "line1": value(fixed.LINE1), "line2": value(fixed.LINE2), "city": value(fixed.CITY),
+        "state": either(value(fixed.DOMESTIC_STATE), value(fixed.FOREIGN_STATE)), "zip": either(value(fixed.DOMESTIC_ZIP), value(fixed.FOREIGN_ZIP)),
+        "country": either(F.lit("US"), value(fixed.FOREIGN_COUNTRY)), "type": either(F.lit("US"), F.lit("Foreign")),
+    }
 
-    def made(b: Column, state: Sequence[str], code: Sequence[str], country: Column, kind: str) -> Column:
-        value = lambda names: F.coalesce(existing(b, names), F.lit(""))
-        return F.struct(value(fixed.LINE1).alias("line1"), value(fixed.LINE2).alias("line2"), value(fixed.CITY).alias("city"), value(state).alias("state"), value(code).alias("zip"), country.alias("country"), F.lit(kind).alias("type"))
 
-    home, abroad = first_block(fixed.DOMESTIC_BLOCKS), first_block(fixed.FOREIGN_BLOCKS)
-    none = F.struct(*[F.lit("").alias(n) for n in ("line1", "line2", "city", "state", "zip", "country", "type")])
-    foreign = made(abroad, fixed.FOREIGN_STATE, fixed.FOREIGN_ZIP, F.coalesce(existing(abroad, fixed.FOREIGN_COUNTRY), F.lit("")), "Foreign")
-    return F.when(home.isNotNull(), made(home, fixed.DOMESTIC_STATE, fixed.DOMESTIC_ZIP, F.lit("US"), "US")).when(abroad.isNotNull(), foreign).otherwise(none)
+def address(blocks: Column) -> Column:
+    """line1, line2, city, state, zip, country, type: a domestic block wins over a foreign one; neither: empty."""
+    home = _first_block(blocks, fixed.DOMESTIC_BLOCKS)
+    parts = _address(home.isNotNull(), F.coalesce(home, _first_block(blocks, fixed.FOREIGN_BLOCKS)))
+    return F.struct(*[c.alias(n) for n, c in parts.items()])
 
 
 def read_returns(spark: SparkSession, path: str) -> DataFrame:
@@ -237,14 +274,15 @@ def grants(files: DataFrame, keep_flagged: bool = True) -> DataFrame:
     if not keep_flagged:
         df = df.filter("NOT filer_support_org")
     df = df.select("xml_file", "filer_name", "filer_ein", "return_year", "filer_support_org", F.posexplode("groups").alias("pos", "g"))
-    g, empty = F.col("g"), lambda c: F.coalesce(c, F.lit(""))
-    df = df.withColumn("addr", address(g["blocks"]))
+    # the block is a column of its own, so it is looked up once a grant and not once a look-up in it
+    df = df.withColumn("home", _first_block(F.col("g.blocks"), fixed.DOMESTIC_BLOCKS))
+    df = df.withColumn("block", F.coalesce("home", _first_block(F.col("g.blocks"), fixed.FOREIGN_BLOCKS)))
+    g, empty, parts = F.col("g"), lambda c: F.coalesce(c, F.lit("")), _address(F.col("home").isNotNull(), F.col("block"))
     return df.select(
         "xml_file", "filer_name", "filer_ein", "return_year", "filer_support_org", "pos",
         grantee(g).alias("grantee"),
         empty(existing(g["texts"], fixed.RECIPIENT_EINS)).alias("recipient_ein"),
-        F.col("addr.line1").alias("grantee_addr1"), F.col("addr.line2").alias("grantee_addr2"), F.col("addr.city").alias("grantee_city"),
-        F.col("addr.state").alias("grantee_state"), F.col("addr.zip").alias("grantee_zip"), F.col("addr.country").alias("grantee_country"), F.col("addr.type").alias("grantee_addr_type"),
+        *[parts[n].alias(f"grantee_{c}") for n, c in (("line1", "addr1"), ("line2", "addr2"), ("city", "city"), ("state", "state"), ("zip", "zip"), ("country", "country"), ("type", "addr_type"))],
         amount(g).alias("grant_amount"),
         empty(existing(g["texts"], fixed.PURPOSES)).alias("grant_purpose"),
     )
