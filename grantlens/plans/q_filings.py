@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import text
+from ..functions import fixed, text
 from ..operators import dedupe
 from ..sources import index, returns
 from . import stages
@@ -218,9 +218,10 @@ def xml_unflagged(spark, sf_dir):
 @query("""WITH r AS (SELECT o_orderkey, o_orderstatus, o_orderkey % 7 = 0 AS bad, EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_quantity >= 45) AS bearing FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem))
 SELECT count(*) AS recorded, count(*) FILTER (NOT bad AND bearing) AS kept, count(*) FILTER (NOT bad AND NOT bearing) AS deleted, count(*) FILTER (bad) AS failed, count(*) FILTER (o_orderstatus = 'F' AND NOT bad) AS supporting_org FROM r""")
 def run_counters(spark, sf_dir):
-    """What became of the returns of a run, counted while their log is written."""
-    files = returns.filings(customer_returns(spark, sf_dir, broken=True))
-    log = files.withColumn("grant_bearing", stages.bearing(lambda g: returns.amount(g).cast("double") >= 45)).drop("groups")
+    """What became of the returns of a run, counted while their log is written. Of groups only amounts are looked up."""
+    files = returns.filings(customer_returns(spark, sf_dir, broken=True), names={"group": fixed.AMOUNTS, "block": []})
+    log = files.withColumn("grant_bearing", stages.bearing(lambda g: returns.amount(g).cast("double") >= 45))
+    log = log.select("xml_file", "filer_name", "filer_ein", "filer_support_org", "return_year", "status", "grant_bearing")
     _, counts = stages.recorded(log)
     return spark.createDataFrame([counts], "recorded long, kept long, deleted long, failed long, supporting_org long")
 

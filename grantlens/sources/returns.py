@@ -238,13 +238,13 @@ def listed(returns: DataFrame, manifest: DataFrame) -> DataFrame:
     return returns.join(of, F.col("path") == F.col("listed_path")).drop("listed_path")
 
 
-def filings(returns: DataFrame, groups: bool = True) -> DataFrame:
+def filings(returns: DataFrame, groups: bool = True, names: dict[str, Sequence[str]] | None = None) -> DataFrame:
     """One row a return that has a filer: its file, header fields, flag, status, whether it holds the form of foundations,
-    and its groups (groups: or none of them, where only the header counts). status: ok or malformed."""
+    and its groups (groups: or none of them, where only the header counts; names: as in parsed()). status: ok or malformed."""
     root, filer = F.col("root"), F.col("filer")
     file = F.element_at(F.split("path", "/"), -1)
     year = F.coalesce(F.nullif(existing(root, fixed.TAX_YEAR), F.lit("")), F.substring(F.nullif(existing(root, fixed.PERIOD_END), F.lit("")), 1, 4), F.lit(""))
-    return parsed(returns, groups=groups).filter(F.col("bad") | filer.isNotNull()).select(
+    return parsed(returns, names, groups).filter(F.col("bad") | filer.isNotNull()).select(
         file.alias("xml_file"),
         F.when(F.col("bad"), "malformed").otherwise("ok").alias("status"),
         F.coalesce(filled(filer, fixed.FILER_NAMES), F.lit("")).alias("filer_name"),

@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from grantlens.functions import fixed
-from grantlens.plans import q_filings
+from grantlens.plans import q_filings, stages
 from grantlens.sources import returns, scan
 
 GROUP = "<RecipientTable><RecipientBusinessName><BusinessNameLine1Txt> A &amp;amp; B &lt;c&gt; </BusinessNameLine1Txt></RecipientBusinessName><USAddress><City>x</City><City>y</City></USAddress><Amt>1</Amt></RecipientTable>"
@@ -94,3 +94,18 @@ def test_portions_by_bytes(monkeypatch):
 def test_an_address_block_is_looked_up_once(spark, small):
     plan = returns.grants(returns.filings(q_filings.customer_returns(spark, small)))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("RecipientForeignAddress") == plan.count("RecipientUSAddress") == 1
+
+
+def test_filings_look_up_the_names_asked_for(spark):
+    df = spark.createDataFrame([("/x/1.xml", PLAIN[0])], "path string, value string")
+    (row,) = returns.filings(df, names={"group": fixed.AMOUNTS, "block": []}).select("filer_name", "groups").collect()
+    assert [g.asDict(recursive=True) for g in row["groups"]] == [{"tag": "RecipientTable", "texts": {"Amt": "1"}, "blocks": {"USAddress": {}}}]
+    assert row["filer_name"] == "F"
+
+
+def test_the_log_of_a_counted_run_has_the_columns_of_a_log(spark, small, monkeypatch):
+    seen = []
+    count = stages.recorded
+    monkeypatch.setattr(stages, "recorded", lambda log: seen.append(log.columns) or count(log))
+    q_filings.run_counters(spark, small)
+    assert seen == [["xml_file", "filer_name", "filer_ein", "filer_support_org", "return_year", "status", "grant_bearing"]]
